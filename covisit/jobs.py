@@ -16,7 +16,7 @@ from covisit.plans import reports
 from covisit.plans.click_window import latest_clicks
 from covisit.plans.graph import graph_edges, graph_vertices
 from covisit.plans.ingest import ingest_actions, parse_actions, split_parsed
-from covisit.plans.similarity import ALPHA, SCORE_DIGITS, TOP_K, USER_CAP, SizedSimilarity
+from covisit.plans.similarity import ALPHA, SCORE_DIGITS, TOP_K, USER_CAP, StagedSimilarity
 from covisit.schemas import CLICK, CLICK_CODE, SIMILARITY
 from covisit.session import Staged, session_builder
 from covisit.sources import graph_store, messages, tables
@@ -80,9 +80,9 @@ def similarity(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.shuffle_partitions > 0:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     tables.ensure_database(spark, a.dst_db)
-    with SizedSimilarity(
-        spark.table(f"{a.src_db}.{a.src_table}"), a.alpha, a.user_cap, top_k=a.top_k,
-        symmetric=a.symmetric, min_score=a.min_score, score_digits=a.score_digits,
+    with StagedSimilarity(
+        spark.table(f"{a.src_db}.{a.src_table}"), a.alpha, a.top_k, a.user_cap,
+        a.symmetric, a.min_score, a.score_digits,
     ) as neighbours:
         return tables.replace_snapshot(neighbours, f"{a.dst_db}.{a.dst_table}", SIMILARITY)
 

@@ -43,36 +43,32 @@ def pair_count() -> Column:
     return F.coalesce(F.sum(F.call_function("div", deg * (deg - 1), F.lit(2))), F.lit(0))
 
 
-def item_pairs(sets: DataFrame, largest_set: int) -> DataFrame:
-    """One row per user and unordered pair of that user's items, smaller id first.
+def anchors(sets: DataFrame, largest_set: int) -> DataFrame:
+    """Every user's items, each with the larger items of that user: ``item_i, weight, later``.
 
-    Columns ``item_i, item_j, w, w2``. Up to ``BLOCK`` items per user this is a narrow step: two
-    generators over the sorted array. Beyond it, a single user could keep a task busy with
-    billions of pairs, so the arrays are cut into blocks and the pairs of blocks are spread
-    over the cluster before they are expanded.
+    The compact form of all pairs, eight bytes a pair. Up to ``BLOCK`` items per user it is a
+    narrow step over the sorted array. Beyond that a single user could keep a task busy with
+    billions of pairs, so the arrays are cut into blocks, the pairs of blocks are spread over the
+    cluster, and an item comes with its larger items one block at a time.
     """
     sets = sets.where(F.size("items") >= 2)
-    pairs = _narrow_pairs(sets) if largest_set <= BLOCK else _blocked_pairs(sets)
-    return pairs.select(
-        "item_i", "item_j", F.col("weight").alias("w"), (F.col("weight") * F.col("weight")).alias("w2")
-    )
+    rows = _whole_anchors(sets) if largest_set <= BLOCK else _blocked_anchors(sets)
+    return rows.where(F.size("later") > 0)
 
 
-def _narrow_pairs(sets: DataFrame) -> DataFrame:
+def _whole_anchors(sets: DataFrame) -> DataFrame:
     later = F.slice("items", F.col("pos") + 2, F.size("items"))
     return sets.select("weight", "items", F.posexplode("items").alias("pos", "item_i")).select(
-        "weight", "item_i", F.explode(later).alias("item_j")
+        "item_i", "weight", later.alias("later")
     )
 
 
-def _blocked_pairs(sets: DataFrame) -> DataFrame:
+def _blocked_anchors(sets: DataFrame) -> DataFrame:
     blocks = F.ceil(F.size("items") / F.lit(BLOCK)).cast("int")
     left = sets.select(
         "user_id", "weight", "items", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("a")
     )
-    both = left.select(
-        "*", F.explode(F.sequence(F.col("a"), blocks - 1)).alias("b")
-    ).select(
+    both = left.select("*", F.explode(F.sequence(F.col("a"), blocks - 1)).alias("b")).select(
         "user_id", "weight", "a", "b",
         F.slice("items", F.col("a") * BLOCK + 1, F.lit(BLOCK)).alias("left"),
         F.slice("items", F.col("b") * BLOCK + 1, F.lit(BLOCK)).alias("right"),
@@ -82,7 +78,20 @@ def _blocked_pairs(sets: DataFrame) -> DataFrame:
     first = F.when(F.col("a") == F.col("b"), F.col("pos") + 2).otherwise(F.lit(1))
     return spread.select(
         "weight", "a", "b", "right", F.posexplode("left").alias("pos", "item_i")
-    ).select("weight", "item_i", F.explode(F.slice("right", first, F.lit(BLOCK))).alias("item_j"))
+    ).select("item_i", "weight", F.slice("right", first, F.lit(BLOCK)).alias("later"))
+
+
+def expand(anchor_rows: DataFrame) -> DataFrame:
+    """``item_i, item_j, w, w2``: one row per user and unordered pair, smaller id first."""
+    weight = F.col("weight")
+    return anchor_rows.select("item_i", "weight", F.explode("later").alias("item_j")).select(
+        "item_i", "item_j", weight.alias("w"), (weight * weight).alias("w2")
+    )
+
+
+def item_pairs(sets: DataFrame, largest_set: int) -> DataFrame:
+    """All pairs within each user, one row each. Narrow: no join, no shuffle, no Python."""
+    return expand(anchors(sets, largest_set))
 
 
 def pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
@@ -101,6 +110,36 @@ def pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
     )
 
 
+def heavy_anchors(anchor_rows: DataFrame, more_than: int) -> list[int]:
+    """Items that head more than ``more_than`` pairs. With ``more_than`` no less than a share of
+    all pairs, their number is below the inverse of that share: a list fit for the driver."""
+    heads = anchor_rows.groupBy("item_i").agg(F.sum(F.size("later")).alias("pairs"))
+    return [row.item_i for row in heads.where(F.col("pairs") > more_than).collect()]
+
+
+def split_pair_scores(
+    anchor_rows: DataFrame, heavy: list[int], digits: int, tasks: int
+) -> DataFrame:
+    """The same scores as ``pair_scores``, shuffled in the compact form where that is safe.
+
+    Rows of ordinary items travel as arrays to the task that owns their ``item_i``, which expands
+    and sums them there: a fraction of the bytes and rows that single pairs would take, no hash
+    table on the sending side, and ranking by ``item_i`` needs no further shuffle. A ``heavy`` item
+    would drown that task, so heavy items are expanded and combined before their shuffle by pair.
+    """
+    light = anchor_rows
+    if heavy:
+        few = F.broadcast(
+            anchor_rows.sparkSession.createDataFrame([(item,) for item in heavy], "item_i bigint")
+        )
+        light = anchor_rows.join(few, "item_i", "left_anti")
+    scores = pair_scores(expand(light.repartition(tasks, "item_i")), digits)
+    if heavy:
+        hot = pair_scores(expand(anchor_rows.join(few, "item_i", "left_semi")), digits)
+        scores = scores.unionByName(hot)
+    return scores
+
+
 def both_directions(scores: DataFrame) -> DataFrame:
     """Every pair under each of its two items."""
     i, j = F.col("item_i"), F.col("item_j")

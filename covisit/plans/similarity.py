@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 
 from covisit.operators.cleaning import distinct_events
 from covisit.operators.pairing import (
+    anchors,
     best_neighbours,
     both_directions,
+    heavy_anchors,
     item_pairs,
     item_sets,
     pair_count,
     pair_scores,
     recent_per_user,
+    split_pair_scores,
 )
 from covisit.schemas import SIMILARITY, conform
 from covisit.session import Staged
@@ -22,8 +27,13 @@ TOP_K = 100
 USER_CAP = 200
 SCORE_DIGITS = 9
 
-# pairs one task expands and pre-aggregates when the job sizes its own partitions
-PAIRS_PER_TASK = 20_000_000
+# sizing of the staged form: pairs one task expands and sums, and bounds on the task count
+PAIRS_PER_TASK = 2_000_000
+WAVES = 4
+MOST_TASKS = 20_000
+# an item is heavy if it heads more than this share of all pairs; so fewer items than its
+# inverse are
+HEAVY_SHARE = 1 / 10_000
 
 
 def user_sets(
@@ -37,31 +47,33 @@ def user_sets(
     return item_sets(recent_per_user(events, user_cap), alpha)
 
 
-def scores_from_sets(
-    sets: DataFrame,
-    user_cap: int = USER_CAP,
-    score_digits: int = SCORE_DIGITS,
-    min_score: float | None = None,
-) -> DataFrame:
-    """All scored pairs ``item_i < item_j``."""
-    scores = pair_scores(item_pairs(sets, user_cap), score_digits)
-    return scores if min_score is None else scores.where(scores["score"] >= min_score)
-
-
-def neighbours_from_sets(
-    sets: DataFrame,
-    top_k: int = TOP_K,
-    user_cap: int = USER_CAP,
-    symmetric: bool = False,
-    min_score: float | None = None,
-    score_digits: int = SCORE_DIGITS,
+def _neighbours(
+    scores: DataFrame, top_k: int, symmetric: bool, min_score: float | None
 ) -> DataFrame:
-    scores = scores_from_sets(sets, user_cap, score_digits, min_score)
+    if min_score is not None:
+        scores = scores.where(scores["score"] >= min_score)
     if symmetric:
         scores = both_directions(scores)
     return conform(best_neighbours(scores, top_k), SIMILARITY)
 
 
+def scores_from_sets(
+    sets: DataFrame, user_cap: int = USER_CAP, score_digits: int = SCORE_DIGITS
+) -> DataFrame:
+    """All scored pairs ``item_i < item_j``.
+
+    The sets are first spread over their own number of tasks. Adaptive execution would merge
+    them by the bytes they hold, but pairing multiplies those bytes by up to half the user cap.
+    """
+    spark = sets.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        2 * spark.sparkContext.defaultParallelism,
+    )
+    spread = sets.repartition(tasks, "user_id")
+    return pair_scores(item_pairs(spread, user_cap), score_digits)
+
+
 def item_similarity(
     interactions: DataFrame,
     alpha: float = ALPHA,
@@ -77,39 +89,56 @@ def item_similarity(
     smaller neighbours under itself; ``symmetric`` lists it under both. Pairs with one common
     user score 0 and stay; ``min_score`` can drop them.
 
-    Three shuffles: distinct events (none if the input is already grouped by user and item),
-    events by user, pair sums by pair, and at most ``top_k`` rows per item and task by item.
+    Lazy. Shuffles: distinct events (none if the input is already grouped by user and item),
+    events by user, item sets (compact), pair sums by pair, and at most ``top_k`` rows per item
+    and task by item. ``StagedSimilarity`` computes the same for large inputs.
     """
     sets = user_sets(interactions, alpha, user_cap)
-    return neighbours_from_sets(sets, top_k, user_cap, symmetric, min_score, score_digits)
+    return _neighbours(scores_from_sets(sets, user_cap, score_digits), top_k, symmetric, min_score)
+
 
+class StagedSimilarity:
+    """``item_similarity`` sized by its data, for large inputs and for jobs that write a table.
 
-class SizedSimilarity:
-    """``item_similarity`` for large inputs: the user sets are written to the shared folder
-    first and their pairs counted on the way, so that the costly pairing starts from files,
-    survives lost executors, and gets as many tasks as its pairs call for.
+    The user sets are written to the shared folder first, their pairs counted on the way. So the
+    costly half starts from files, which lost executors do not take along; it gets as many
+    tasks as its pairs call for; and items that head too many pairs are known beforehand and
+    take the way that combines before the shuffle.
 
-    Adaptive execution sizes tasks by the bytes they read; pairing multiplies those bytes by
-    up to half the user cap, which it cannot see. Use as a context manager; the block's value
-    is the similarity frame, to be written inside the block.
+    Use as a context manager. The block's value is the similarity frame; write it inside.
     """
 
-    def __init__(self, interactions: DataFrame, alpha: float = ALPHA, user_cap: int = USER_CAP,
-                 pairs_per_task: int = PAIRS_PER_TASK, **options):
-        self._user_cap = user_cap
-        self._options = options
-        counts = Observation("user_sets")
+    def __init__(
+        self,
+        interactions: DataFrame,
+        alpha: float = ALPHA,
+        top_k: int = TOP_K,
+        user_cap: int = USER_CAP,
+        symmetric: bool = False,
+        min_score: float | None = None,
+        score_digits: int = SCORE_DIGITS,
+        pairs_per_task: int = PAIRS_PER_TASK,
+    ):
+        counts = Observation(f"user_sets_{uuid.uuid4().hex}")
         sets = user_sets(interactions, alpha, user_cap).observe(counts, pair_count().alias("pairs"))
         self._staged = Staged(sets, "user_sets")
-        self.pairs = counts.get["pairs"]
-        self.tasks = max(1, -(-self.pairs // pairs_per_task))
+        try:
+            self.pairs: int = counts.get["pairs"]
+            spark = interactions.sparkSession
+            least = WAVES * spark.sparkContext.defaultParallelism
+            self.tasks = min(MOST_TASKS, max(least, -(-self.pairs // pairs_per_task)))
+            spread = self._staged.frame.repartition(max(least, self.tasks // WAVES), "user_id")
+            rows = anchors(spread, user_cap)
+            more_than = max(pairs_per_task, int(self.pairs * HEAVY_SHARE))
+            self.heavy = heavy_anchors(anchors(self._staged.frame, user_cap), more_than)
+            scores = split_pair_scores(rows, self.heavy, score_digits, self.tasks)
+            self._frame = _neighbours(scores, top_k, symmetric, min_score)
+        except BaseException:
+            self._staged.close()
+            raise
 
     def __enter__(self) -> DataFrame:
-        sets = self._staged.frame
-        parallel = sets.sparkSession.sparkContext.defaultParallelism
-        # by a hash of the user: a task that is run again gets the same users
-        sets = sets.repartition(max(self.tasks, parallel), "user_id")
-        return neighbours_from_sets(sets, user_cap=self._user_cap, **self._options)
+        return self._frame
 
     def __exit__(self, *exc: object) -> None:
-        self._staged.__exit__(*exc)
+        self._staged.close()

@@ -59,6 +59,9 @@ class Staged:
         return self.frame
 
     def __exit__(self, *exc: object) -> None:
+        self.close()
+
+    def close(self) -> None:
         jvm_path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
         conf = self._spark._jsparkSession.sessionState().newHadoopConf()
         jvm_path.getFileSystem(conf).delete(jvm_path, True)

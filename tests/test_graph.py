@@ -1,0 +1,77 @@
+import pytest
+
+from covisit import fixtures as fx
+from covisit.plans.graph import (
+    graph_edges,
+    graph_vertices,
+    similar_items,
+    similarity_graph,
+    vertex_lookup,
+)
+from covisit.plans.similarity import item_similarity
+from covisit.sources import graph_store
+from covisit.schemas import EDGE, VERTEX
+
+PAIRS = [(1, 2, 0.5), (1, 3, 0.25), (2, 3, 0.0), (1, 3, 0.75), (7, 8, 0.1)]
+
+
+@pytest.fixture
+def pairs(spark):
+    return spark.createDataFrame(PAIRS, "item_i long, item_j long, score double")
+
+
+def test_halves(pairs):
+    vertices, edges = similarity_graph(pairs)
+    assert sorted(r[0] for r in vertices.collect()) == [1, 2, 3, 7, 8]
+    assert sorted(edges.collect()) == [(1, 2, 0.5), (1, 3, 0.75), (2, 3, 0.0), (7, 8, 0.1)]
+    assert similarity_graph(pairs, vertices=False)[0] is None
+    assert similarity_graph(pairs, edges=False)[1] is None
+    assert graph_edges(pairs, unique=True).count() == len(PAIRS)
+
+
+def test_reads(pairs):
+    edges = graph_edges(pairs)
+    assert similar_items(edges, 1, 5).collect() == [(3, 0.75), (2, 0.5)]
+    assert similar_items(edges, 1, 1).collect() == [(3, 0.75)]
+    assert similar_items(edges, 3, 5).collect() == []
+    assert sorted(vertex_lookup(graph_vertices(pairs), [3, 9]).collect()) == [(3,)]
+
+
+def test_vertices_come_from_one_scan(spark, tmp_path, pairs):
+    pairs.write.parquet(str(tmp_path / "sim"))
+    stored = spark.read.parquet(str(tmp_path / "sim"))
+    plan = graph_vertices(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<item_i:bigint,item_j:bigint>" in plan
+
+
+def test_null_ends_do_not_reach_the_store(spark, tmp_path):
+    broken = spark.createDataFrame([(1, None, 0.5)], "item_i long, item_j long, score double")
+    with pytest.raises(Exception, match="null in not-null column"):
+        graph_store.write_vertices(graph_vertices(broken), str(tmp_path / "v"))
+    with pytest.raises(Exception, match="null in not-null column"):
+        graph_store.write_edges(graph_edges(broken), str(tmp_path / "e"))
+
+
+def test_store(spark, sf, tmp_path):
+    similarity = item_similarity(fx.basket(spark, sf), top_k=10).cache()
+    vertices, edges = similarity_graph(similarity)
+    v, e = str(tmp_path / "v"), str(tmp_path / "e")
+    for _ in range(2):  # written again, the same
+        graph_store.write_vertices(vertices, v)
+        graph_store.write_edges(edges, e)
+    stored_v, stored_e = graph_store.read_vertices(spark, v), graph_store.read_edges(spark, e)
+    assert stored_v.exceptAll(vertices).isEmpty() and stored_v.count() == vertices.count()
+    assert stored_e.exceptAll(edges).isEmpty() and stored_e.count() == edges.count()
+    assert [f.dataType for f in stored_e.schema] == [f.dataType for f in EDGE]
+    assert [f.dataType for f in stored_v.schema] == [f.dataType for f in VERTEX]
+    plan = vertex_lookup(stored_v, [42])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(creation_id), EqualTo(creation_id,42)]" in plan
+    assert similar_items(stored_e, 42, 3).collect() == similar_items(edges, 42, 3).collect()
+    similarity.unpersist()
+
+
+def test_connector_gets_batch_and_options(spark, tmp_path, pairs):
+    # a file format stands in for a connector
+    graph_store.write_connector(
+        graph_edges(pairs), "json", {"path": str(tmp_path / "c"), "type": "edge"}, batch=10)
+    assert spark.read.json(str(tmp_path / "c")).count() == 4

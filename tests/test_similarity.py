@@ -1,0 +1,201 @@
+"""Similarity against brute force, under skew, and in every physical form."""
+
+from collections import defaultdict
+from itertools import combinations
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from covisit import fixtures as fx
+from covisit.operators import pairing, ranking
+from covisit.operators.pairing import item_pairs
+from covisit.plans.click_window import latest_clicks
+from covisit.plans.similarity import StagedSimilarity, item_similarity, scores_from_sets, user_sets
+
+
+def interactions(spark, rows):
+    return spark.createDataFrame(rows, "user_id long, creation_id long, t long").select(
+        "user_id", "creation_id", F.timestamp_seconds("t").alias("action_ts"))
+
+
+def brute(rows, alpha=1.0, top_k=100, user_cap=200, symmetric=False, min_score=None):
+    """Score every pair of items from the definition: twice the product of the weights, summed
+    over all pairs of common users."""
+    per_user = defaultdict(list)
+    for user, item, t in set(rows):
+        if None not in (user, item, t):
+            per_user[user].append((-t, item))
+    weights, users_of = {}, defaultdict(set)
+    for user, events in per_user.items():
+        items = {item for _, item in sorted(events)[:user_cap]}
+        weights[user] = 1 / (len(items) + alpha)
+        for item in items:
+            users_of[item].add(user)
+    found = defaultdict(list)
+    for i, j in combinations(sorted(users_of), 2):
+        common = users_of[i] & users_of[j]
+        if common:
+            score = round(sum(2 * weights[u] * weights[v] for u, v in combinations(common, 2)), 9)
+            if min_score is None or score >= min_score:
+                found[i].append((-score, j))
+                if symmetric:
+                    found[j].append((-score, i))
+    return {(i, j): -s for i, near in found.items() for s, j in sorted(near)[:top_k]}
+
+
+def answer(df):
+    rows = df.collect()
+    got = {(r.item_i, r.item_j): r.score for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def same(got, want):
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 2e-9 for k in got)
+
+
+GOLDEN = [(1, 1, 0), (1, 2, 0), (1, 3, 0), (2, 1, 0), (2, 2, 0), (3, 9, 0)]
+
+
+def test_golden(spark):
+    df = interactions(spark, GOLDEN)
+    assert answer(item_similarity(df)) == {(1, 2): 0.166666667, (1, 3): 0.0, (2, 3): 0.0}
+    assert answer(item_similarity(df, top_k=1)) == {(1, 2): 0.166666667, (2, 3): 0.0}
+    assert set(answer(item_similarity(df, top_k=1, symmetric=True))) == {(1, 2), (2, 1), (3, 1)}
+    assert set(answer(item_similarity(df, min_score=0.1))) == {(1, 2)}
+    assert answer(item_similarity(df, score_digits=2))[(1, 2)] == 0.17
+
+
+EVENTS = st.lists(
+    st.tuples(st.integers(1, 6), st.integers(1, 8), st.integers(0, 3)), min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(EVENTS, st.sampled_from([1, 2, 100]), st.sampled_from([2, 3, 200]),
+       st.sampled_from([0.0, 1.0, -0.5]), st.booleans())
+def test_properties(spark, rows, top_k, user_cap, alpha, symmetric):
+    df = interactions(spark, rows).repartition(3)
+    got = answer(item_similarity(df, alpha, top_k, user_cap, symmetric))
+    want = brute(rows, alpha, 100, user_cap, symmetric)
+    if top_k == 100:
+        same(got, want)
+    else:
+        assert got.items() <= answer(item_similarity(df, alpha, top_k + 1, user_cap, symmetric)).items()
+        same(got, {k: v for k, v in want.items() if k in got})
+    assert symmetric or all(i < j for i, j in got)
+    assert all(score >= -1e-9 for score in got.values())
+    # a user with one item changes nothing
+    more = interactions(spark, [*rows, (99, 1, 0)])
+    assert answer(item_similarity(more, alpha, top_k, user_cap, symmetric)) == got
+
+
+def skewed(users=60, hot_items=90):
+    """One user holds a third of all rows, one item is in every basket."""
+    rows = [(0, item, item % 7) for item in range(hot_items)]
+    for user in range(1, users):
+        rows += [(user, 0, 1), (user, 1 + user % 50, 2), (user, 60 + user % 3, 3)]
+    return rows + rows[:100]  # some events came twice
+
+
+def test_every_form_agrees_under_skew(spark, monkeypatch):
+    rows = skewed()
+    df = interactions(spark, rows).repartition(5)
+    want = brute(rows, top_k=10)
+    same(answer(item_similarity(df, top_k=10)), want)
+    capped = brute(rows, top_k=10, user_cap=20)
+    same(answer(item_similarity(df, top_k=10, user_cap=20)), capped)
+    for per_task in (10**9, 40):  # no heavy item, several heavy items
+        with (staged := StagedSimilarity(df, top_k=10, pairs_per_task=per_task)) as frame:
+            same(answer(frame), want)
+            assert bool(staged.heavy) == (per_task == 40)
+    with StagedSimilarity(df, top_k=10, symmetric=True, pairs_per_task=40) as frame:
+        same(answer(frame), brute(rows, top_k=10, symmetric=True))
+    # beyond one block of items per user
+    monkeypatch.setattr(pairing, "BLOCK", 7)
+    same(answer(item_similarity(df, top_k=10)), want)
+    with StagedSimilarity(df, top_k=10, pairs_per_task=40) as frame:
+        same(answer(frame), want)
+    monkeypatch.undo()
+    # beyond the early cut of ranking
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        spread = item_similarity(df, top_k=10, user_cap=20)
+        assert "_slice" in spread._jdf.queryExecution().optimizedPlan().toString()
+        same(answer(spread), capped)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_staged_matches_lazy_on_baskets(spark, sf):
+    basket = fx.basket(spark, sf)
+    want = answer(item_similarity(basket, top_k=10))
+    with (staged := StagedSimilarity(basket, top_k=10, pairs_per_task=20_000)) as frame:
+        assert answer(frame) == want
+    sets = user_sets(basket)
+    assert staged.pairs == sets.agg(pairing.pair_count()).first()[0] > 1_000_000
+    assert not spark._jvm.java.io.File(staged._staged.path).exists()
+
+
+def python_pairs(frames):
+    for frame in frames:
+        out = [(int(i), int(j), w, w * w) for items, w in zip(frame["items"], frame["weight"])
+               for i, j in combinations(sorted(items), 2)]
+        yield pd.DataFrame(out, columns=["item_i", "item_j", "w", "w2"])
+
+
+def test_native_pairs_equal_pairs_made_in_python(spark, sf):
+    sets = user_sets(latest_clicks(fx.action(spark, sf), fx.LAST_DAY))
+    schema = "item_i long, item_j long, w double, w2 double"
+    python = sets.select("items", "weight").mapInPandas(python_pairs, schema)
+    native = item_pairs(sets, 200)
+    assert native.count() > 0
+    assert native.exceptAll(python).isEmpty() and python.exceptAll(native).isEmpty()
+
+
+def test_order_of_rows_does_not_matter(spark, sf):
+    basket = fx.basket(spark, sf)
+    once = answer(item_similarity(basket, top_k=5))
+    again = answer(item_similarity(basket.repartition(13).orderBy(F.rand(1)), top_k=5))
+    assert once == again
+
+
+def test_plan(spark, sf):
+    df = item_similarity(fx.action(spark, sf), top_k=10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan
+    assert plan.count("Partial") == 2  # both rankings cut keys before their shuffle
+    assert "partial_sum" in plan
+    # grouped input needs no shuffle for distinct events
+    clicks = latest_clicks(fx.action(spark, sf), fx.LAST_DAY)
+    plan = user_sets(clicks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_bad_parameters(spark):
+    df = interactions(spark, GOLDEN)
+    for bad in ({"alpha": -1}, {"top_k": 0}, {"user_cap": 0}):
+        with pytest.raises(ValueError):
+            item_similarity(df, **bad)
+
+
+def test_spread_ranking_keeps_the_same_rows(spark):
+    rows = [(1 if n % 3 == 0 else n, n % 11, n) for n in range(900)]
+    df = spark.createDataFrame(rows, "k long, v long, id long")
+    order = [F.col("v").desc(), F.col("id").asc()]
+    plain = ranking.top_n_per_key(df, ["k"], order, 50)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        spread = ranking.top_n_per_key(df, ["k"], order, 50, ["id"])
+        assert sorted(spread.collect()) == sorted(plain.collect())
+        assert spread.where("k = 1").count() == 50
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_all_scores(spark):
+    rows = skewed(20, 12)
+    same(answer(scores_from_sets(user_sets(interactions(spark, rows)))), brute(rows, top_k=10**6))
