@@ -25,6 +25,10 @@ def parse_actions(
     ``bad_type``. A message whose lists are all empty makes one row of nulls. ``p_date`` labels
     every row and filters nothing.
 
+    ``raw`` is the text a rejected row came from, fit to be mended and ingested again. It is the
+    element by itself in the form of a message, so that a long list with many bad elements is
+    not kept once per element; the whole message where it could not be read as one.
+
     ``align``: the three lists are matched by position after blank elements are dropped
     ("compact"), or with blanks holding their positions ("strict").
     """
@@ -35,41 +39,58 @@ def parse_actions(
     schema = T.StructType([*MESSAGE.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     messages = decode(raw).select(
-        F.col("json_str").alias("raw"), F.from_json("json_str", schema, options).alias("data")
+        F.col("json_str"), F.from_json("json_str", schema, options).alias("data")
     )
 
     def elements(name: str) -> Column:
         return split_list(F.col(f"data.{name}"), keep_blanks=align == "strict")
 
-    lists = F.arrays_zip(
-        elements("timestampList").alias("time"),
-        elements("actionTypeList").alias("type"),
-        elements("creationIdList").alias("item"),
-    )
-    elements_out = messages.select(
-        "raw",
+    lists = messages.select(
+        "json_str",
         F.col("data").isNull().alias("unread"),
         F.col(f"data.{_CORRUPT}").isNotNull().alias("corrupt"),
         F.col("data.userId").alias("user_id"),
-        F.explode_outer(lists).alias("element"),
+        F.arrays_zip(
+            elements("timestampList").alias("time"),
+            elements("actionTypeList").alias("type"),
+            elements("creationIdList").alias("item"),
+        ).alias("elements"),
     )
-    numbers = elements_out.select(
-        "*", whole_number(F.col("element.time")).alias("time_number")
+    unreadable = F.col("unread") | F.col("corrupt") | (F.size("elements") == 0)
+    exploded = lists.select(
+        F.when(unreadable, F.col("json_str")).alias("message"),
+        "unread", "corrupt", "user_id",
+        F.posexplode_outer("elements").alias("pos", "element"),
     )
+    numbers = exploded.select("*", whole_number(F.col("element.time")).alias("time_number"))
     typed = numbers.select(
         "user_id",
         instant(F.col("element.time"), precision, F.col("time_number")).alias("action_ts"),
         whole_number(F.col("element.type"), "int").alias("action_type"),
         spaced_number(F.col("element.item")).alias("creation_id"),
         F.lit(p_date).alias("p_date"),
-        "raw", "unread", "corrupt",
+        "message", "unread", "corrupt", "pos", "element",
     )
-    rows = conform(typed.withColumn("reason", _reason()), QUARANTINE)
+    judged = typed.withColumn("reason", _reason())
+    rows = conform(judged.withColumn("raw", _source_text()), QUARANTINE)
     # One struct out of a generator: a filter on these columns cannot be pushed below it, where
     # it would parse every element a second time.
     return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
+def _source_text() -> Column:
+    element = F.to_json(F.struct(
+        F.col("user_id").alias("userId"),
+        F.col("element.type").alias("actionTypeList"),
+        F.col("element.item").alias("creationIdList"),
+        F.col("element.time").alias("timestampList"),
+    ))
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    whole = F.col("message").isNotNull() & first
+    text = F.when(F.col("pos").isNull() | whole, F.col("message")).otherwise(element)
+    return F.when(F.col("reason").isNotNull(), text)
+
+
 def _reason() -> Column:
     user, time, kind = (F.col(c).isNull() for c in ("user_id", "action_ts", "action_type"))
     broken = (

@@ -27,12 +27,12 @@ TOP_K = 100
 USER_CAP = 200
 SCORE_DIGITS = 9
 
-# sizing of the staged form: pairs one task expands and sums, and bounds on the task count
-PAIRS_PER_TASK = 2_000_000
-WAVES = 4
-MOST_TASKS = 20_000
-# an item is heavy if it heads more than this share of all pairs; so fewer items than its
-# inverse are
+# sizing of the staged form: pairs per task on either side of the pair shuffle, and most tasks
+SENT_PER_TASK, MOST_SENDERS = 100_000_000, 10_000
+SUMMED_PER_TASK, MOST_SUMMERS = 250_000, 100_000
+# an item is heavy if it heads more pairs than this, and more than this share of all pairs; so
+# there are fewer heavy items than the inverse of the share
+HEAVY_PAIRS = 2_000_000
 HEAVY_SHARE = 1 / 10_000
 
 
@@ -117,26 +117,32 @@ class StagedSimilarity:
         symmetric: bool = False,
         min_score: float | None = None,
         score_digits: int = SCORE_DIGITS,
-        pairs_per_task: int = PAIRS_PER_TASK,
+        heavy_pairs: int = HEAVY_PAIRS,
     ):
         counts = Observation(f"user_sets_{uuid.uuid4().hex}")
         sets = user_sets(interactions, alpha, user_cap).observe(counts, pair_count().alias("pairs"))
         self._staged = Staged(sets, "user_sets")
         try:
             self.pairs: int = counts.get["pairs"]
-            spark = interactions.sparkSession
-            least = WAVES * spark.sparkContext.defaultParallelism
-            self.tasks = min(MOST_TASKS, max(least, -(-self.pairs // pairs_per_task)))
-            spread = self._staged.frame.repartition(max(least, self.tasks // WAVES), "user_id")
-            rows = anchors(spread, user_cap)
-            more_than = max(pairs_per_task, int(self.pairs * HEAVY_SHARE))
+            rows = anchors(self._staged.frame.repartition(self._senders(), "user_id"), user_cap)
+            more_than = max(heavy_pairs, int(self.pairs * HEAVY_SHARE))
             self.heavy = heavy_anchors(anchors(self._staged.frame, user_cap), more_than)
-            scores = split_pair_scores(rows, self.heavy, score_digits, self.tasks)
+            scores = split_pair_scores(rows, self.heavy, score_digits, self._summers())
             self._frame = _neighbours(scores, top_k, symmetric, min_score)
         except BaseException:
             self._staged.close()
             raise
 
+    def _senders(self) -> int:
+        return self._tasks(SENT_PER_TASK, MOST_SENDERS)
+
+    def _summers(self) -> int:
+        return self._tasks(SUMMED_PER_TASK, MOST_SUMMERS)
+
+    def _tasks(self, per_task: int, most: int) -> int:
+        parallel = self._staged.frame.sparkSession.sparkContext.defaultParallelism
+        return max(parallel, min(most, -(-self.pairs // per_task)))
+
     def __enter__(self) -> DataFrame:
         return self._frame
 

@@ -44,7 +44,7 @@ EDGE = T.StructType([
 
 QUARANTINE = T.StructType([
     *ACTION.fields,
-    T.StructField("raw", T.StringType(), True, {"comment": "message text as received"}),
+    T.StructField("raw", T.StringType(), True, {"comment": "text the row came from"}),
     T.StructField("reason", T.StringType(), True, {"comment": "first rule the row broke"}),
 ])
 

@@ -73,7 +73,37 @@ def test_golden(spark, place):
             assert (g.reason, g.user_id, g.action_type, g.creation_id) == (w[0], w[1], w[3], w[4])
         else:
             assert tuple(g)[:5] == w
-        assert g.p_date == "20251130" and g.raw == text
+        assert g.p_date == "20251130"
+        if g.reason is None:
+            assert g.raw is None
+        elif g.reason in ("null_payload", "corrupt_json") or len(want) == 1 and not w[2]:
+            assert g.raw == text
+
+
+def test_rejected_text_can_be_ingested_again(spark):
+    texts = [message(2, "1,,2", " 10 , 20,30", "1764460800,1764460801,1764460802"),
+             message(6, "x,2", "1 0,7", "1764460800,1764460800")]
+    rejected = ingest_actions(raw(spark, texts), "20251130")[1].collect()
+    assert sorted(r.raw for r in rejected) == [
+        '{"userId":2,"creationIdList":"30","timestampList":"1764460802"}',
+        '{"userId":6,"actionTypeList":"x","creationIdList":"1 0","timestampList":"1764460800"}',
+    ]
+    again = ingest_actions(raw(spark, [r.raw for r in rejected]), "20251130")[1].collect()
+    assert sorted(map(str, again)) == sorted(map(str, rejected))
+    mended = [r.raw.replace('"x"', '"2"') for r in rejected]
+    accepted = ingest_actions(raw(spark, mended), "20251130")[0].collect()
+    assert [(r.user_id, r.creation_id) for r in accepted] == [(6, 10)]
+
+
+def test_long_bad_message_is_kept_about_once(spark):
+    n = 2000
+    text = json.dumps({"userId": "x", "actionTypeList": ",".join(["2"] * n),
+                       "creationIdList": ",".join(["1"] * n),
+                       "timestampList": ",".join(["1764460800"] * n)})
+    rejected = ingest_actions(raw(spark, [text]), "20251130")[1]
+    size, rows = rejected.agg(F.sum(F.length("raw")), F.count(F.lit(1))).first()
+    assert rows == n and size < 10 * len(text)
+    assert rejected.where(F.col("raw") == text).count() == 1
 
 
 def test_halves_are_complements(spark):

@@ -108,16 +108,16 @@ def test_every_form_agrees_under_skew(spark, monkeypatch):
     same(answer(item_similarity(df, top_k=10)), want)
     capped = brute(rows, top_k=10, user_cap=20)
     same(answer(item_similarity(df, top_k=10, user_cap=20)), capped)
-    for per_task in (10**9, 40):  # no heavy item, several heavy items
-        with (staged := StagedSimilarity(df, top_k=10, pairs_per_task=per_task)) as frame:
+    for limit in (10**9, 40):  # no heavy item, several heavy items
+        with (staged := StagedSimilarity(df, top_k=10, heavy_pairs=limit)) as frame:
             same(answer(frame), want)
-            assert bool(staged.heavy) == (per_task == 40)
-    with StagedSimilarity(df, top_k=10, symmetric=True, pairs_per_task=40) as frame:
+            assert bool(staged.heavy) == (limit == 40)
+    with StagedSimilarity(df, top_k=10, symmetric=True, heavy_pairs=40) as frame:
         same(answer(frame), brute(rows, top_k=10, symmetric=True))
     # beyond one block of items per user
     monkeypatch.setattr(pairing, "BLOCK", 7)
     same(answer(item_similarity(df, top_k=10)), want)
-    with StagedSimilarity(df, top_k=10, pairs_per_task=40) as frame:
+    with StagedSimilarity(df, top_k=10, heavy_pairs=40) as frame:
         same(answer(frame), want)
     monkeypatch.undo()
     # beyond the early cut of ranking
@@ -133,8 +133,9 @@ def test_every_form_agrees_under_skew(spark, monkeypatch):
 def test_staged_matches_lazy_on_baskets(spark, sf):
     basket = fx.basket(spark, sf)
     want = answer(item_similarity(basket, top_k=10))
-    with (staged := StagedSimilarity(basket, top_k=10, pairs_per_task=20_000)) as frame:
+    with (staged := StagedSimilarity(basket, top_k=10, heavy_pairs=1_000)) as frame:
         assert answer(frame) == want
+        assert staged.heavy
     sets = user_sets(basket)
     assert staged.pairs == sets.agg(pairing.pair_count()).first()[0] > 1_000_000
     assert not spark._jvm.java.io.File(staged._staged.path).exists()
