@@ -14,6 +14,8 @@ DEFAULTS = {
     # p_date=20251130 directories must read back as strings, not ints
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.compression.codec": "snappy",
+    # item sets come from rows already sorted by user: aggregate them in that order
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
 }
 
 

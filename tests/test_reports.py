@@ -1,0 +1,83 @@
+import pytest
+
+from covisit.plans import reports
+from covisit.schemas import ACTION, conform
+from covisit.sources.tables import ensure_action_table, ensure_database, overwrite_partitions
+
+ROWS = [
+    # user, time, type, item, label
+    (1, "2024-01-01 00:30:00", 2, 10, "20240101"),
+    (1, "2024-01-01 00:45:00", 2, 11, "20240101"),
+    (1, "2024-01-01 23:59:59", 1, 10, "20240101"),
+    (2, "2024-01-01 00:10:00", 1, 10, "20240101"),
+    (2, "2024-01-02 05:00:00", 2, 10, "20240102"),
+    (3, None, 2, None, "20240102"),
+    (1, "2024-01-03 05:00:00", 2, 10, "20240103"),
+]
+
+
+@pytest.fixture(scope="module")
+def action(spark):
+    rows = spark.createDataFrame(
+        ROWS, "user_id long, action_ts string, action_type int, creation_id long, p_date string")
+    ensure_database(spark, "rep")
+    ensure_action_table(spark, "rep.action")
+    overwrite_partitions(conform(rows, ACTION), "rep.action")
+    return spark.table("rep.action")
+
+
+def test_days(action):
+    assert reports.actions_on_day(action, "20240101").count() == 4
+    assert reports.actions_in_range(action, "20240101", "20240102").count() == 6
+    assert reports.actions_in_range(action, "20240102", "20240101").count() == 0
+
+
+def test_counts(action):
+    assert reports.actions_by_type(action, "20240101").collect() == [(1, 2), (2, 2)]
+    assert reports.actions_by_hour(action, "20240101").collect() == [
+        (0, 2, 2), (0, 1, 1), (23, 1, 1)]
+    assert reports.actions_by_hour(action, "20240102").collect() == [(None, 2, 1), (5, 2, 1)]
+
+
+def test_histories(action):
+    newest = reports.user_history(action, 1, "20240101", n=2).collect()
+    assert [str(r.action_ts) for r in newest] == ["2024-01-03 05:00:00", "2024-01-01 23:59:59"]
+    assert reports.user_history(action, 1, "20240102").count() == 1
+    pair = reports.user_item_history(action, 1, 10, "20240101").collect()
+    assert [r.p_date for r in pair] == ["20240103", "20240101", "20240101"]
+
+
+def test_activity(action):
+    want = [(1, 4, 2), (2, 2, 1), (3, 1, 0)]
+    assert reports.user_activity(action, "20240101", "20240103").collect() == want
+    assert reports.user_activity(action, "20240101", "20240103", n=1).collect() == want[:1]
+    near = reports.user_activity(action, "20240101", "20240103", approximate=True)
+    assert near.collect() == want
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans(action):
+    for df in (reports.actions_by_type(action, "20240101"),
+               reports.user_history(action, 1, "20240102"),
+               reports.user_activity(action, "20240101", "20240102")):
+        scan = next(line for line in plan(df).splitlines() if "FileScan" in line)
+        assert "p_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    by_type = plan(reports.actions_by_type(action, "20240101"))
+    assert "ReadSchema: struct<action_type:int>" in by_type and "partial_count" in by_type
+    history = plan(reports.user_history(action, 1, "20240102"))
+    assert "TakeOrderedAndProject" in history and "EqualTo(user_id,1)" in history
+    # the exact item count goes through (user, item) before it meets by user
+    activity = plan(reports.user_activity(action, "20240101", "20240102"))
+    assert "hashpartitioning(user_id" in activity and "creation_id" in activity
+    assert activity.count("Exchange hashpartitioning") == 2
+
+
+def test_labels_are_checked(action):
+    for bad in (lambda: reports.actions_on_day(action, "2024-01-01"),
+                lambda: reports.actions_in_range(action, "20240101", "x"),
+                lambda: reports.user_history(action, 1, "")):
+        with pytest.raises(ValueError):
+            bad()
