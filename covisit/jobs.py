@@ -2,7 +2,8 @@
 
     spark-submit -m covisit.jobs <job> [options]      or      python -m covisit.jobs <job> ...
 
-Jobs: init, ingest, ingest-stream, click-window, similarity, graph, retention, cluster, report.
+Jobs: init, ingest, ingest-stream, publish, click-window, similarity, graph, retention, cluster,
+report.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from covisit.plans.similarity import ALPHA, SCORE_DIGITS, TOP_K, USER_CAP, Stage
 from covisit.schemas import CLICK, CLICK_CODE, SIMILARITY
 from covisit.session import Staged, session_builder
 from covisit.sources import graph_store, messages, tables
-from covisit.streaming.ingest_stream import ingest_stream
+from covisit.streaming.ingest_stream import ingest_stream, read_accepted
 
 
 def init(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -87,22 +88,33 @@ def similarity(spark: SparkSession, a: argparse.Namespace) -> int:
         return tables.replace_snapshot(neighbours, f"{a.dst_db}.{a.dst_table}", SIMILARITY)
 
 
-def graph(spark: SparkSession, a: argparse.Namespace) -> None:
+def graph(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     """Both halves read the similarity table, each only the columns it needs."""
     source = spark.table(f"{a.src_db}.{a.src_table}")
     options = dict(item.split("=", 1) for item in a.option)
+    written = {}
     if a.write_vertex == "true":
         vertices = graph_vertices(source)
-        if a.format:
+        written["vertices"] = (
             graph_store.write_connector(vertices, a.format, {**options, "type": "vertex"}, a.batch)
-        else:
-            graph_store.write_vertices(vertices, f"{a.path}/vertices")
+            if a.format else graph_store.write_vertices(vertices, f"{a.path}/vertices")
+        )
     if a.write_edge == "true":
         edges = graph_edges(source)
-        if a.format:
+        written["edges"] = (
             graph_store.write_connector(edges, a.format, {**options, "type": "edge"}, a.batch)
-        else:
-            graph_store.write_edges(edges, f"{a.path}/edges")
+            if a.format else graph_store.write_edges(edges, f"{a.path}/edges")
+        )
+    return written
+
+
+def publish(spark: SparkSession, a: argparse.Namespace) -> int:
+    """A day of streamed rows, in many small files, into the action table."""
+    table = f"{a.database}.{a.table}"
+    tables.ensure_database(spark, a.database)
+    tables.ensure_action_table(spark, table)
+    day = reports.actions_on_day(read_accepted(spark, a.accepted_path), a.p_date)
+    return tables.overwrite_day(day, table, a.p_date)
 
 
 def retention(spark: SparkSession, a: argparse.Namespace) -> list[str]:
@@ -175,6 +187,12 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--accepted-path", required=True)
     p.add_argument("--checkpoint", required=True)
 
+    p = job("publish", publish, "a day of streamed rows into the action table")
+    p.add_argument("--accepted-path", required=True)
+    p.add_argument("--p-date", required=True)
+    p.add_argument("--database", default="dwd")
+    p.add_argument("--table", default="action")
+
     def from_to(p: argparse.ArgumentParser, source: str, target: str | None) -> None:
         p.add_argument("--src-db", default="dwd")
         p.add_argument("--src-table", default=source)

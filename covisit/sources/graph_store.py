@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covisit.operators.profile import counted
 from covisit.schemas import EDGE, VERTEX, conform
 
 BATCH = 1000  # fixed value: rows per write request of a graph connector
 
 
-def write_vertices(vertices: DataFrame, path: str) -> None:
+def write_vertices(vertices: DataFrame, path: str) -> int:
     """Replace the vertex files: ranged and sorted by id, so a lookup reads few row groups."""
     ordered = vertices.repartitionByRange("creation_id").sortWithinPartitions("creation_id")
-    conform(ordered, VERTEX).write.mode("overwrite").parquet(path)
+    return _replace(conform(ordered, VERTEX), path)
 
 
-def write_edges(edges: DataFrame, path: str) -> None:
+def write_edges(edges: DataFrame, path: str) -> int:
     """Replace the edge files: ranged by both ends and sorted by source, strongest first."""
     ordered = edges.repartitionByRange("srcid", "dstid").sortWithinPartitions(
         F.col("srcid"), F.col("simscore").desc(), F.col("dstid")
     )
-    conform(ordered, EDGE).write.mode("overwrite").parquet(path)
+    return _replace(conform(ordered, EDGE), path)
+
+
+def _replace(rows: DataFrame, path: str) -> int:
+    rows, seen = counted(rows, f"graph_{uuid.uuid4().hex}")
+    rows.write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
 
 
 def read_vertices(spark: SparkSession, path: str) -> DataFrame:
@@ -34,10 +43,12 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
 
 def write_connector(
     df: DataFrame, format: str, options: dict[str, str], batch: int = BATCH
-) -> None:
+) -> int:
     """Hand vertices or edges to a graph database connector on the class path.
 
     Vertices are keyed by ``creation_id``, edges by (``srcid``, ``dstid``). Writing by key makes
     a task that runs twice harmless.
     """
-    df.write.format(format).mode("overwrite").options(**{"batch": str(batch), **options}).save()
+    rows, seen = counted(df, f"graph_{uuid.uuid4().hex}")
+    rows.write.format(format).mode("overwrite").options(**{"batch": str(batch), **options}).save()
+    return seen.get["rows"]

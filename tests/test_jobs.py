@@ -47,9 +47,10 @@ def test_pipeline(spark, sf, tmp_path):
 
     job(f"graph --path {tmp_path}/graph --write-vertex false")
     assert not (tmp_path / "graph" / "vertices").exists()
-    job(f"graph --path {tmp_path}/graph")
+    written = job(f"graph --path {tmp_path}/graph")
     edges = spark.read.parquet(f"{tmp_path}/graph/edges")
-    assert edges.count() == similar.count()
+    assert edges.count() == similar.count() == written["edges"]
+    assert spark.read.parquet(f"{tmp_path}/graph/vertices").count() == written["vertices"]
 
     job(f"report types --first 20240130 --out {tmp_path}/types")
     types = spark.read.parquet(f"{tmp_path}/types")
@@ -66,6 +67,10 @@ def test_pipeline(spark, sf, tmp_path):
     job(f"ingest-stream --path {raw} --p-date 20240130 --accepted-path {tmp_path}/ok "
         f"--checkpoint {tmp_path}/cp --bad-records-path {tmp_path}/bad2")
     assert spark.read.parquet(f"{tmp_path}/ok").count() == counts["accepted"]
+    for _ in range(2):
+        publish = f"publish --accepted-path {tmp_path}/ok --p-date 20240130 --table streamed"
+        assert job(publish) == counts["accepted"]
+    assert same(spark.table("dwd.streamed"), accepted)
 
 
 def test_defaults_are_the_documented_ones():
