@@ -23,6 +23,19 @@ from covisit.plans.ingest import ingest_actions
 from covisit.plans.similarity import item_similarity, scores_from_sets, user_sets
 from covisit.schemas import ACTION, olap_copy
 
+try:  # the subpackage and the pipeline may be absent
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
+    from corpus_pipeline import run as run_pipeline
+    from covisit.llm.queries import ORACLE_SQL as LLM_SQL
+    from covisit.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("covisit.llm", "corpus_pipeline")):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
+    LLM_SQL = {**LLM_SQL, **({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})}
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 # parameters of the registered queries
@@ -59,6 +72,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        **LLM_QUERIES,
         "click_window": lambda s, d: fx.zoneless(_clicks(s, d)),
         "click_window_event_time": lambda s, d: fx.zoneless(
             latest_clicks(fx.action(s, d), fx.LAST_DAY, date_col="action_ts")
@@ -206,6 +220,7 @@ _GRAPH = f"WITH {_BASKET}{_scores('basket')}, similarity AS ({_top()}\n)"
 
 def oracle_sql() -> dict[str, str]:
     return {
+        **LLM_SQL,
         "click_window": f"WITH {_CLICKS} SELECT user_id, creation_id, action_ts FROM clicks",
         "click_window_event_time": f"""WITH {_ACTION}
             SELECT user_id, creation_id, max(action_ts) AS action_ts FROM action
