@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,6 @@ SPACE = " \t\n\x0b\x0c\r"
 BROADCAST_ROWS = 500_000
 #: Words that a task's vocabulary holds before it starts anew.
 VOCABULARY = 1_000_000
-#: Most documents in an Arrow batch; a batch is also cut by Spark at ``maxBytesPerBatch``.
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -90,6 +91,21 @@ def numbered(texts: Iterable[bytes | None], vocabulary: Vocabulary) -> tuple[np.
     return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), np.array(counts, np.int64)
 
 
+def slices(batch: pa.RecordBatch, most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of about ``most`` bytes of ``column``; a row is never cut."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // most
+    edges = np.concatenate([np.nonzero(np.diff(part, prepend=-1))[0], [len(part)]])
+    for a, b in zip(edges[:-1], edges[1:]):
+        yield batch.slice(int(a), int(b - a))
+
+
+def columns(batches: Iterable[pa.RecordBatch], names: list[str]) -> list[np.ndarray]:
+    """Columns of whole numbers over all batches."""
+    got = [[b.column(c).to_numpy(zero_copy_only=False) for c in names] for b in batches]
+    return [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, np.int64) for _ in names]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all."""
     x = (x ^ (x >> np.uint64(30))) * _M1
