@@ -1,8 +1,8 @@
 """Exact substring deduplication over FM-indexes, one per shard of the corpus's windows.
 
-A window is 20 consecutive words. Its anchor is the rarest-ordered run of 4 words in it (smallest
+A window is 20 consecutive words. Its anchor is the rarest-ordered run of 3 words in it (smallest
 hash; runs known to be very common come last), so equal windows have equal anchors. Consecutive
-windows with one anchor form a segment, and segments go to the shard of their anchor: whatever a
+windows with one anchor in one place form a segment, and segments go to the shard of their anchor: whatever a
 window equals is in its own shard, and all shards together hold each window once.
 
 A shard keeps each distinct segment once, with the places where it occurs. Segments whose anchor
@@ -15,6 +15,7 @@ occurrence; all others are reported. The words they cover are merged per documen
 from __future__ import annotations
 
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,15 +24,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covisit.llm.common import VOCABULARY, Vocabulary, gram_hashes, mixed, numbered, ranges, shuffle_partitions, slices, staged, with_key
+from covisit.llm.common import BROADCAST_ROWS, VOCABULARY, Vocabulary, gram_hashes, mixed, numbered, ranges, shuffle_partitions, slices, staged, with_key
 
-WINDOW, ANCHOR = 20, 4
+WINDOW, ANCHOR = 20, 3
 #: Words of text for which there is one shard more.
-SHARD_WORDS = 500_000
+SHARD_WORDS = 1_000_000
 #: An anchor with more than one of so many of all segments is common: used where a window has no other.
 COMMON_SHARE = 16_384
 #: Bytes of text whose segments are gathered before they are sent.
-_BYTES = 8_000_000
+_BYTES = 12_000_000
 _LAST = np.uint64(1 << 63)
 
 
@@ -167,13 +168,14 @@ class FMIndex:
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
-    """The smallest of each ``width`` consecutive numbers."""
-    done = 1
+    """Where the smallest of each ``width`` consecutive numbers is, the first if there are several."""
+    at, done = np.arange(len(x)), 1
     while done < width:
         step = min(done, width - done)
-        x = np.minimum(x[: len(x) - step], x[step:])
+        left, right = at[: len(at) - step], at[step:]
+        at = np.where(x[right] < x[left], right, left)
         done += step
-    return x
+    return at
 
 
 def anchors(words: np.ndarray, counts: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -186,19 +188,16 @@ def anchors(words: np.ndarray, counts: np.ndarray, common: np.ndarray) -> tuple[
     if len(common):
         at = np.minimum(np.searchsorted(common, key), len(common) - 1)
         key = np.where(common[at] == key, key | _LAST, key)
-    least = _sliding_least(key, WINDOW - ANCHOR + 1) if len(key) >= WINDOW - ANCHOR + 1 else key[:0]
+    least = _sliding_least(key, WINDOW - ANCHOR + 1) if len(key) >= WINDOW - ANCHOR + 1 else np.zeros(0, np.int64)
     windows = np.maximum(0, counts - WINDOW + 1)
     base = np.cumsum(counts) - counts
     at = ranges(base, windows)
     text = np.repeat(np.arange(len(counts)), windows)
     least = least[at]
-    new = np.concatenate([[True], (np.diff(at) != 1) | (least[1:] != least[:-1])])[: len(at)]
-    # windows without a break may share an anchor for long in repetitive text: cut at twice the window
+    new = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(least) != 0)])[: len(at)]
     first = np.nonzero(new)[0]
-    run = np.arange(len(at)) - (np.repeat(first, np.diff(np.append(first, len(at)))) if len(first) else 0)
-    first = np.nonzero(run % (2 * WINDOW) == 0)[0]
     length = np.diff(np.append(first, len(at)))
-    return text[first], at[first] - base[text[first]], length, least[first] & ~_LAST
+    return text[first], at[first] - base[text[first]], length, key[least[first]] & ~_LAST
 
 
 def common_anchors(docs: DataFrame) -> tuple[np.ndarray, int]:
@@ -210,9 +209,9 @@ def common_anchors(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none, words_seen, segments = np.zeros(0, np.uint64), 0, 0
-        for words, counts, _ in _word_batches(batches):
-            _, _, _, found = anchors(words, counts, none)
-            words_seen, segments = words_seen + len(words), segments + len(found)
+        for numbers, counts, _, vocabulary in _word_batches(batches):
+            _, _, _, found = anchors(vocabulary.hashes()[numbers], counts, none)
+            words_seen, segments = words_seen + len(numbers), segments + len(found)
             values, many = np.unique(found, return_counts=True)
             often = many >= max(4, len(found) / (4 * COMMON_SHARE))
             yield pa.RecordBatch.from_pydict({"anchor": pa.array(values[often].astype(np.int64)), "n": pa.array(many[often])})
@@ -226,20 +225,20 @@ def common_anchors(docs: DataFrame) -> tuple[np.ndarray, int]:
     return np.sort(np.array([r[0] for r in rows], np.uint64)), totals.get(-1, 0)
 
 
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Word hashes, words per text, and keys, some texts at a time."""
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Vocabulary]]:
+    """Word numbers, words per text, keys, and what the numbers stand for, some texts at a time."""
     vocabulary = Vocabulary()
     for batch in batches:
         for part in slices(batch, _BYTES):
             if len(vocabulary) > VOCABULARY:
                 vocabulary = Vocabulary()
             numbers, counts = numbered(part.column("text").to_pylist(), vocabulary)
-            yield vocabulary.hashes()[numbers], counts, part.column("_key").to_numpy(zero_copy_only=False)
+            yield numbers, counts, part.column("_key").to_numpy(zero_copy_only=False), vocabulary
 
 
 def _packed(arrays: list[np.ndarray]) -> bytes:
     head = struct.pack(f"<{2 * len(arrays)}q", *(x for a in arrays for x in (len(a), a.dtype.itemsize)))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(a.tobytes() for a in arrays))
 
 
 def _unpacked(blob: bytes, count: int) -> list[np.ndarray]:
@@ -262,13 +261,15 @@ def segments(docs: DataFrame, common: np.ndarray, shards: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, counts, keys in _word_batches(batches):
+        for numbers, counts, keys, vocabulary in _word_batches(batches):
+            words, known = vocabulary.hashes()[numbers], sorted(vocabulary)
+            numbers = np.argsort(np.fromiter(map(vocabulary.__getitem__, known), np.int64, len(known)))[numbers]  # in their order
             base = np.cumsum(counts) - counts
             text, start, windows, anchor = anchors(words, counts, held.value)
             length = windows + WINDOW - 1
             # a segment's name: its words' hash, by sums over prefixes
             spread = mixed(words)
-            power = np.cumprod(np.full(2 * WINDOW + WINDOW, 0x9E3779B97F4A7C15, np.uint64))
+            power = np.cumprod(np.full(2 * WINDOW, 0x9E3779B97F4A7C15, np.uint64))
             place = base[text] + start
             name = anchor.copy()
             for k in range(int(length.max(initial=0))):
@@ -285,11 +286,11 @@ def segments(docs: DataFrame, common: np.ndarray, shards: int) -> DataFrame:
             for a, b in zip(edges[:-1], edges[1:]):
                 own = slice(a, b)
                 lead = np.nonzero(new[own])[0] + a
-                sequence = words[ranges(place[lead], length[lead])]
-                vocabulary, local = np.unique(sequence, return_inverse=True)
+                own_words, local = np.unique(numbers[ranges(place[lead], length[lead])], return_inverse=True)
+                spelled = np.frombuffer(b" ".join([known[k] for k in own_words.tolist()]), np.uint8)
                 out_shard.append(int(shard[a]))
                 out.append(_packed([
-                    anchor[lead], _small(length[lead]), vocabulary, _small(local),
+                    (anchor[lead] >> np.uint64(32)).astype("<u4"), _small(length[lead]), spelled, _small(local),
                     keys[text[own]].astype(np.int64).view(np.uint64), _small(start[own]), _small(np.cumsum(new[own]) - 1)]))
             yield pa.RecordBatch.from_pydict({"shard": pa.array(out_shard, pa.int64()), "blob": pa.array(out, pa.binary())})
 
@@ -300,11 +301,13 @@ def segments(docs: DataFrame, common: np.ndarray, shards: int) -> DataFrame:
 def _repeats(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one shard: key, first word and end of the word ranges that windows with an earlier equal cover."""
     anchors_, lengths, sequences, keys, starts, of, known = [], [], [], [], [], [], 0
+    vocabulary: dict[bytes, int] = defaultdict(lambda: len(vocabulary))
     for blob in blobs:
-        anchor, length, vocabulary, local, key, start, segment = _unpacked(blob, 7)
+        anchor, length, spelled, local, key, start, segment = _unpacked(blob, 7)
         anchors_.append(anchor)
         lengths.append(length.astype(np.int64))
-        sequences.append(vocabulary[local])
+        own_words = spelled.tobytes().split(b" ")
+        sequences.append(np.fromiter(map(vocabulary.__getitem__, own_words), np.int32, len(own_words))[local])
         keys.append(key.view(np.int64))
         starts.append(start.astype(np.int64))
         of.append(segment.astype(np.int64) + known)
@@ -368,7 +371,7 @@ def _repeats(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """_key, first, stop: word ranges of ``docs`` (_key, text) that windows with an earlier equal cover; ranges may touch."""
     common, words = common_anchors(docs)
-    shards = max(4 * shuffle_partitions(docs.sparkSession), words // SHARD_WORDS + 1)
+    shards = max(2 * shuffle_partitions(docs.sparkSession), words // SHARD_WORDS + 1)
 
     def search(table: pa.Table) -> pa.Table:
         key, first, stop = _repeats([b.as_py() for b in table.column("blob")])
@@ -387,9 +390,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     ordered by doc_id (null first) and text; of equal rows all but one lose their windows.
     """
     keyed = with_key(docs, ["doc_id", "text"])
-    found = repeated_ranges(keyed.select("_key", "text"))
-    found = found.groupBy("_key").agg(F.collect_list("first").alias("first"), F.collect_list("stop").alias("stop"))
-    joined = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_key", F.col("text").cast("binary").alias("text")).join(found, "_key", "left")
+    found = staged(repeated_ranges(keyed.select("_key", "text")), "ranges")
+    per_text = found.groupBy("_key").agg(F.collect_list("first").alias("first"), F.collect_list("stop").alias("stop"))
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # else texts are shuffled
+        per_text = F.broadcast(per_text)
+    joined = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_key", F.col("text").cast("binary").alias("text")).join(per_text, "_key", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
