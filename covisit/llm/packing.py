@@ -17,13 +17,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from covisit.llm.tokens import BYTE, Pieces
+from covisit.llm.common import slices
+from covisit.llm.tokens import BYTE, worker_pieces
 
 CAPACITY = 2048
 WASTE = 0.03
 _PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 #: Sequence ids of a task: its number, then as many bits for its own sequences.
 _OWN_BITS = 40
+#: Bytes of text that are encoded at once.
+_BYTES = 4_000_000
 
 
 def cuts(length: int, capacity: int = CAPACITY, waste: float = WASTE) -> list[int]:
@@ -85,7 +88,7 @@ def pack(docs: DataFrame, tokenizer: str = BYTE, end: int = 1, capacity: int = C
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, packer = Pieces(tokenizer), Packer(capacity, waste)
+        pieces, packer = worker_pieces(tokenizer), Packer(capacity, waste)
         context = TaskContext.get()
         number, rows = (context.partitionId() if context else 0) << _OWN_BITS, []
 
@@ -105,9 +108,9 @@ def pack(docs: DataFrame, tokenizer: str = BYTE, end: int = 1, capacity: int = C
             rows.clear()
             return made
 
-        for batch in batches:
-            ids_of = pieces.encode(batch.column("text").to_pylist(), end)
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of):
+        for part in (x for batch in batches for x in slices(batch, _BYTES)):
+            ids_of = pieces.encode(part.column("text").to_pylist(), end)
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), ids_of):
                 take(packer.add(doc_id, ids))
                 if len(rows) >= 2000:
                     yield table()

@@ -22,14 +22,16 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from covisit.llm.common import shuffle_partitions, staged, with_key
-from covisit.llm.tokens import WORD, Pieces
+from covisit.llm.common import shuffle_partitions, slices, staged, with_key
+from covisit.llm.tokens import WORD, worker_pieces
 
 # fixed values of the seek table's format
 _SKIPPABLE, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 #: A file ends with the document that takes it to so many ids.
 FILE_IDS = 2_000_000
 LEVEL = 3
+#: Bytes of text that are encoded at once.
+_BYTES = 4_000_000
 _FILES = "part long, file long, documents long, ids long, content binary"
 
 
@@ -103,15 +105,13 @@ def token_files(docs: DataFrame, tokenizer: str = WORD, end: int = 2, file_ids:
     ordered = keyed.repartitionByRange(parts, "_key").sortWithinPartitions("_key").withColumn("part", F.spark_partition_id())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, kept, size, number, part = Pieces(tokenizer), [], 0, 0, 0
+        pieces, kept, size, number, part = worker_pieces(tokenizer), [], 0, 0, 0
 
         def closed() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
                 "part": [part], "file": [number], "documents": [len(kept)], "ids": [size], "content": [encode_file(kept)]})
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (x for batch in batches for x in slices(batch, _BYTES)):
             part = batch.column("part")[0].as_py()
             keys = batch.column("_key").to_pylist()
             for key, ids in zip(keys, pieces.encode(batch.column("text").to_pylist(), end)):

@@ -7,18 +7,20 @@ piece is encoded once in a task, and texts are put together from the pieces' ids
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-from covisit.llm.common import VOCABULARY, ranges
+from covisit.llm.common import ranges
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: White space that isn't one blank or line feed between two other characters.
-_ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z|\0")
+#: Distinct pieces that a worker keeps before it starts anew.
+PIECES = 1_200_000
 #: Characters that are put together at once.
 _AT_ONCE = 4_000_000
+_DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 
 def vocabulary_path(name: str) -> str:
@@ -28,6 +30,25 @@ def vocabulary_path(name: str) -> str:
     return name if os.path.isabs(name) else public_tokenizers.path(name)
 
 
+def _odd(text: str) -> bool:
+    """Whether white space is more than one blank or line feed between two other characters."""
+    ends = text[:1] + text[-1:]
+    return ends.strip(" \n") != ends or any(d in text for d in _DOUBLE) or not text.replace("\n", "").isprintable()
+
+
+class _Numbers(dict):
+    """Numbers pieces as they come and lists the new ones."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Pieces:
     """Encodes texts; ``add_special_tokens`` is off. Null texts are empty."""
 
@@ -42,28 +63,26 @@ class Pieces:
         self._clear()
 
     def _clear(self) -> None:
-        self._numbers: dict[str, int] = {}
+        self._numbers = _Numbers()
         self._flat = np.zeros(0, np.uint32)
         self._starts = self._lengths = np.zeros(0, np.int64)
 
     def _cut(self, text: str) -> list[str]:
         if self._drops_space:
             return text.replace("\n", " ").split(" ")
-        if not text or _ODD.search(text):
+        if _odd(text):
             return [text]
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self._numbers]
+    def _learn(self) -> None:
+        new, self._numbers.new = self._numbers.new, []
         if not new:
             return
-        ids = [np.array(x.ids, np.uint32) for x in self._tokenizer.encode_batch(new, add_special_tokens=False)]
+        ids = [x.ids for x in self._tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        known = len(self._numbers)
-        self._numbers.update((p, known + k) for k, p in enumerate(new))
         self._starts = np.concatenate([self._starts, len(self._flat) + np.cumsum(lengths) - lengths])
         self._lengths = np.concatenate([self._lengths, lengths])
-        self._flat = np.concatenate([self._flat, *ids])
+        self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))])
 
     def encode(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, and ``end`` after them."""
@@ -77,14 +96,24 @@ class Pieces:
             k = stop
 
     def _together(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
-        if len(self._numbers) > VOCABULARY:
+        if len(self._numbers) > PIECES:
             self._clear()
-        pieces = [self._cut(t) for t in texts]
-        self._learn(p for ps in pieces for p in ps)
-        counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        numbers = np.fromiter((self._numbers[p] for ps in pieces for p in ps), np.int64, int(counts.sum()))
+        number = self._numbers.__getitem__
+        parts = []
+        for text in texts:
+            pieces = self._cut(text)
+            parts.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
+        self._learn()
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        numbers = np.concatenate(parts)
         flat = self._flat[ranges(self._starts[numbers], self._lengths[numbers])]
         ends = np.concatenate([[0], np.cumsum(self._lengths[numbers])])[np.cumsum(counts)]
         last = np.array([end], np.uint32)
         for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
             yield np.concatenate([flat[a:b], last])
+
+
+@lru_cache(maxsize=1)
+def worker_pieces(file: str) -> Pieces:
+    """One per worker process, so that what a task has learnt serves the worker's next task."""
+    return Pieces(file)
