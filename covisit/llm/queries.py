@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covisit.llm import chat as op4
@@ -30,9 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op1.personal_data(table(spark, sf_dir, "documents"))
-    counts = {f"n_{k}": F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in op1.BASE}
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *(c.alias(n) for n, c in counts.items()), F.sha2(op1.listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+        "doc_id", *map(count, op1.BASE), F.sha2(op1.listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
         op1.listed(F.col("spans")).alias("spans"))
 
 

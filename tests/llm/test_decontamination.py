@@ -1,0 +1,79 @@
+import random
+
+import pytest
+
+from covisit.llm import decontamination as d
+from covisit.llm.queries import QUERIES
+
+from .tools import SMALL, documents, frame, rows_of
+
+BENCHMARK = "item_id long, text string"
+
+
+def brute(docs, items, limits=d.Thresholds()):
+    """Every item against every passage, scored in full."""
+    index = d.Index([(r["item_id"], r["text"]) for r in items], limits)
+    step = 2 * (index.longest + index.longest // 4 + 1)
+    out = set()
+    for r in docs:
+        own = d.words_of(r["text"] or "")
+        for a in range(0, max(1, len(own)), step):
+            passage = own[a : a + step * 3 // 2]
+            terms = {index.terms[w] for w in passage if w in index.terms}
+            totals = {}
+            for t in sorted(terms):
+                for k in range(index.first[t], index.first[t + 1]):
+                    totals[index.item[k]] = totals.get(index.item[k], 0) + index.impact[k]
+            for k, score in totals.items():
+                if score >= limits.score - 1e-9:
+                    q, w = d.overlap(index.items[k][1], passage, limits)
+                    if q >= limits.question and w >= limits.answer:
+                        out.add((r["doc_id"], index.items[k][0]))
+    return out
+
+
+def test_query(spark):
+    docs, items = rows_of("documents"), rows_of("benchmark")
+    planted = {(r["doc_id"], i["item_id"]) for r in docs for i in items if " ".join(i["text"].split()) in " ".join(r["text"].split())}
+    found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op10_decontamination"](spark, SMALL).collect()}
+    assert found == brute(docs, items) and planted and planted <= found
+
+
+@pytest.mark.parametrize("score", [0.3, 0.6, 0.9])
+def test_retrieval_is_whole(score):
+    rng = random.Random(4)
+    items = [{"item_id": k, "text": " ".join(f"w{int(rng.expovariate(0.02))}" for _ in range(rng.randint(3, 40))) + ". Answer w1 w2."} for k in range(60)]
+    docs = []
+    for k in range(80):
+        own = [f"w{int(rng.expovariate(0.02))}" for _ in range(rng.randint(0, 300))]
+        i = rng.choice(items)["text"].split()
+        for _ in range(rng.randint(0, 4)):
+            i[rng.randrange(len(i))] = "changed"
+        at = rng.randint(0, len(own))
+        docs.append({"doc_id": k, "text": " ".join(own[:at] + i + own[at:])})
+    limits = d.Thresholds(score=score, question=0.3, answer=0.5)
+    searcher = d.Searcher(d.Index([(i["item_id"], i["text"]) for i in items], limits))
+    found = searcher.matches([r["text"] for r in docs])
+    got = {(r["doc_id"], searcher._index.items[k][0]) for r, own in zip(docs, found) for k in own}
+    assert got == brute(docs, items, limits) and len(got) > 20
+
+
+def test_case_and_marks_do_not_hide_an_item(spark):
+    item = "What is the name, of the large river that runs by the town? It is the Thames."
+    docs = documents([f"before {item.upper().replace(',', '')} after", "what is the name of the river", f"{'x ' * 500}{item}{' y' * 500}", None, ""])
+    items = frame(spark, [{"item_id": 7, "text": item}, {"item_id": 8, "text": None}, {"item_id": 9, "text": "..."}, {"item_id": 10, "text": "unrelated words are here. none"}], BENCHMARK)
+    found = d.leaks(frame(spark, docs), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 7), (2, 7)}
+    clean = d.decontaminated(frame(spark, docs), items)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [1, 3, 4] and clean.columns == list(docs[0])
+
+
+def test_odd_tables(spark, monkeypatch):
+    docs, none = frame(spark, documents(["a b c d e f"])), frame(spark, [], BENCHMARK)
+    assert d.leaks(docs, none).count() == 0 and d.decontaminated(docs, none).count() == 1
+    items = frame(spark, [{"item_id": k, "text": t} for k, t in enumerate(["a b c d e f", "a b c d e f", "q r s t u v"])], BENCHMARK)
+    assert d.leaks(frame(spark, []), items).count() == 0
+    assert sorted(r["item_id"] for r in d.leaks(docs, items).collect()) == [0, 1]
+    monkeypatch.setattr(d, "INDEX_ITEMS", 1)  # several indexes
+    assert sorted(r["item_id"] for r in d.leaks(docs, items).collect()) == [0, 1]
+    assert d.decontaminated(docs, items).count() == 0
