@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from covisit import fixtures as fx
 from covisit.operators.cleaning import distinct_events, multiset_difference, split_rows
-from covisit.operators.pairing import item_pairs, recent_per_user
+from covisit.operators.pairing import W2_BITS, W2_LOW, W_BITS, W_LOW, item_pairs, recent_per_user
 from covisit.operators.profile import table_profile
 from covisit.operators.ranking import latest_version
 from covisit.plans import reports
 from covisit.plans.click_window import latest_clicks
 from covisit.plans.graph import graph_edges, graph_vertices, similar_items, vertex_lookup
 from covisit.plans.ingest import ingest_actions
-from covisit.plans.similarity import item_similarity, scores_from_sets, user_sets
+from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
 from covisit.schemas import ACTION, olap_copy
 
 try:  # the subpackage and the pipeline may be absent
@@ -58,6 +58,16 @@ def _basket_graph(spark: SparkSession, d: str) -> DataFrame:
     return item_similarity(fx.basket(spark, d), top_k=TOP)
 
 
+def _staged_similarity(spark: SparkSession, d: str) -> DataFrame:
+    """The job's form. Its files stay in the shared folder, as the frame is read later."""
+    return StagedSimilarity(fx.basket(spark, d), top_k=TOP).__enter__()
+
+
+def _twice(similarity: DataFrame) -> DataFrame:
+    """Every pair a second time, with a lower score."""
+    return similarity.unionByName(similarity.withColumn("score", F.col("score") / 2))
+
+
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
     unit = F.lit(1e9)
     return df.select(
@@ -77,6 +87,9 @@ def queries() -> dict[str, Query]:
         "click_window_event_time": lambda s, d: fx.zoneless(
             latest_clicks(fx.action(s, d), fx.LAST_DAY, date_col="action_ts")
         ),
+        "click_window_late_events": lambda s, d: fx.zoneless(
+            latest_clicks(fx.late_action(s, d), fx.LAST_DAY, date_col="action_ts")
+        ),
         "dedup_events": lambda s, d: fx.zoneless(
             distinct_events(fx.basket(s, d), ["user_id", "creation_id", "action_ts"])
         ),
@@ -96,6 +109,13 @@ def queries() -> dict[str, Query]:
         "item_similarity_capped": lambda s, d: item_similarity(
             fx.basket(s, d), alpha=0.5, top_k=TOP, user_cap=SMALL_CAP
         ),
+        "item_similarity_basket_staged": _staged_similarity,
+        "item_similarity_uncapped": lambda s, d: item_similarity(fx.basket(s, d), top_k=TOP, user_cap=None),
+        "item_similarity_skewed": lambda s, d: item_similarity(fx.skewed_basket(s, d), top_k=TOP),
+        "item_similarity_symmetric_basket": lambda s, d: item_similarity(
+            fx.basket(s, d), top_k=TOP, symmetric=True
+        ),
+        "user_cap_losses": lambda s, d: cap_losses(fx.basket(s, d), SMALL_CAP),
         "item_similarity_symmetric": lambda s, d: item_similarity(
             _clicks(s, d), top_k=TOP, symmetric=True
         ),
@@ -114,6 +134,10 @@ def queries() -> dict[str, Query]:
         "ingest_quarantine": lambda s, d: ingest_actions(
             fx.raw_messages(s, d, damaged=True), fx.LAST_DAY
         )[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n")),
+        "ingest_rejected_rows": lambda s, d: fx.zoneless(
+            ingest_actions(fx.raw_messages(s, d, damaged=True), fx.LAST_DAY)[1].where("reason <> 'corrupt_json'")
+        ),
+        "except_all_multiplicities": lambda s, d: _except_some(fx.action(s, d)),
         "except_all_rows": lambda s, d: _except_all(fx.action(s, d)),
         "reject_complement": lambda s, d: fx.zoneless(
             split_rows(fx.action(s, d), F.col("action_type") == 2)[1]
@@ -142,6 +166,7 @@ def queries() -> dict[str, Query]:
         "olap_copy": lambda s, d: fx.zoneless(olap_copy(fx.action(s, d), ACTION)),
         "graph_vertices": lambda s, d: graph_vertices(_basket_graph(s, d)),
         "graph_edges": lambda s, d: graph_edges(_basket_graph(s, d)),
+        "graph_edges_of_repeated_pairs": lambda s, d: graph_edges(_twice(_basket_graph(s, d))),
         "graph_vertex_lookup": lambda s, d: vertex_lookup(graph_vertices(_basket_graph(s, d)), IDS),
         "similar_items": lambda s, d: similar_items(graph_edges(_basket_graph(s, d)), ITEM, TOP),
     }
@@ -152,6 +177,12 @@ def _except_all(action: DataFrame) -> DataFrame:
     return fx.zoneless(multiset_difference(action, clicks))
 
 
+def _except_some(action: DataFrame) -> DataFrame:
+    """Types of actions per user, as many times as they occur, less one occurrence of each click."""
+    kinds = action.select("user_id", "action_type")
+    return multiset_difference(kinds, kinds.where(F.col("action_type") == 2).distinct())
+
+
 # --- the same questions as SQL -----------------------------------------------------------
 
 _ACTION = """
@@ -170,6 +201,14 @@ clicks AS (
     AND user_id IS NOT NULL AND creation_id IS NOT NULL
   GROUP BY user_id, creation_id)"""
 
+_LATE = """
+late AS (
+  SELECT user_id, creation_id, action_type,
+         CASE WHEN event_id % 5 = 0 THEN NULL ELSE action_ts END AS action_ts,
+         CASE WHEN event_id % 3 = 0 THEN strftime(action_ts + INTERVAL 2 DAY, '%Y%m%d') ELSE p_date END AS p_date
+  FROM action),
+timed AS (SELECT *, coalesce(action_ts, strptime(p_date, '%Y%m%d')) AS moment FROM late)"""
+
 _BASKET = """
 basket AS (
   SELECT o_custkey AS user_id, l_partkey AS creation_id, o_orderdate AS action_ts
@@ -194,16 +233,31 @@ degrees AS (
 
 
 def _scores(source: str, cap: int = CAP, alpha: float = 1.0) -> str:
-    return _sets(source, cap, alpha) + """,
+    return _sets(source, cap, alpha) + f""",
 pairs AS (
   SELECT a.creation_id AS item_i, b.creation_id AS item_j, weight AS w, weight * weight AS w2
   FROM items a JOIN items b ON a.user_id = b.user_id AND a.creation_id < b.creation_id
   JOIN degrees d ON d.user_id = a.user_id),
-scores AS (
-  SELECT item_i, item_j,
-         round_even((sum(w) * sum(w) - sum(w2)) * CAST(1e9 AS DOUBLE), 0)
-           / CAST(1e9 AS DOUBLE) AS score
-  FROM pairs GROUP BY item_i, item_j)"""
+sums AS (
+  SELECT item_i, item_j, count(*) AS n, {_exact('w', W_BITS, W_LOW)} AS s, {_exact('w2', W2_BITS, W2_LOW)} AS q
+  FROM pairs GROUP BY item_i, item_j),
+raw AS (
+  SELECT item_i, item_j, CASE WHEN n = 1 THEN CAST(0 AS DOUBLE) ELSE greatest(s * s - q, CAST(0 AS DOUBLE)) END AS x
+  FROM sums),
+scores AS (SELECT item_i, item_j, {_significant('x', 9)} AS score FROM raw)"""
+
+
+def _exact(column: str, bits: int, low: int) -> str:
+    whole = f"CAST(round_even({column} * CAST({2**bits} AS DOUBLE), 0) AS BIGINT)"
+    return (f"(CAST(sum({whole} >> {low}) AS DOUBLE) * CAST({2**low} AS DOUBLE) + CAST(sum({whole} & {2**low - 1}) AS DOUBLE))"
+            f" / CAST({2**bits} AS DOUBLE)")
+
+
+def _significant(x: str, digits: int) -> str:
+    cases = " ".join(
+        f"WHEN {x} >= CAST('1e{p}' AS DOUBLE) THEN round_even({x} * CAST('1e{digits - 1 - p}' AS DOUBLE), 0) / CAST('1e{digits - 1 - p}' AS DOUBLE)"
+        for p in range(12, -25, -1))
+    return f"CASE {cases} ELSE CAST(0 AS DOUBLE) END"
 
 
 def _top(scores: str = "scores", where: str = "") -> str:
@@ -226,6 +280,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, creation_id, max(action_ts) AS action_ts FROM action
             WHERE action_ts >= TIMESTAMP '2024-01-24' AND action_ts < TIMESTAMP '2024-01-31'
               AND action_type = 2 GROUP BY user_id, creation_id""",
+        "click_window_late_events": f"""WITH {_ACTION}, {_LATE}
+            SELECT user_id, creation_id, max(moment) AS action_ts FROM timed
+            WHERE moment >= TIMESTAMP '2024-01-24' AND moment < TIMESTAMP '2024-01-31' AND action_type = 2
+            GROUP BY user_id, creation_id""",
         "dedup_events": f"WITH {_BASKET}{_sets('basket')} SELECT * FROM dedup",
         "user_cap_recent": f"WITH {_BASKET}{_sets('basket', SMALL_CAP)} SELECT * FROM capped",
         "user_item_sets": f"""WITH {_BASKET}{_sets('basket')}
@@ -242,6 +300,21 @@ def oracle_sql() -> dict[str, str]:
         "item_similarity_topk": f"WITH {_CLICKS}{_scores('clicks')} {_top()}",
         "item_similarity_basket": f"WITH {_BASKET}{_scores('basket')} {_top()}",
         "item_similarity_capped": f"WITH {_BASKET}{_scores('basket', SMALL_CAP, 0.5)} {_top()}",
+        "item_similarity_basket_staged": f"WITH {_BASKET}{_scores('basket')} {_top()}",
+        "item_similarity_uncapped": f"WITH {_BASKET}{_scores('basket', 10**9)} {_top()}",
+        "item_similarity_skewed": f"""WITH {_BASKET}, skewed AS (
+            SELECT * FROM basket UNION ALL
+            SELECT o_custkey, -i, o_orderdate FROM orders, range(1, {fx.HOT_ITEMS + 1}) r(i))
+            {_scores('skewed')} {_top()}""",
+        "item_similarity_symmetric_basket": f"""WITH {_BASKET}{_scores('basket')},
+            mirrored AS (
+              SELECT item_i, item_j, score FROM scores
+              UNION ALL SELECT item_j, item_i, score FROM scores)
+            {_top('mirrored')}""",
+        "user_cap_losses": f"""WITH {_BASKET}{_sets('basket')}
+            SELECT count(*) FILTER (n > {SMALL_CAP}) AS users_cut,
+                   CAST(coalesce(sum(greatest(n - {SMALL_CAP}, 0)), 0) AS BIGINT) AS events_cut
+            FROM (SELECT user_id, count(*) AS n FROM dedup GROUP BY user_id)""",
         "item_similarity_symmetric": f"""WITH {_CLICKS}{_scores('clicks')},
             mirrored AS (
               SELECT item_i, item_j, score FROM scores
@@ -266,6 +339,21 @@ def oracle_sql() -> dict[str, str]:
             SELECT CASE user_id % 7 WHEN 2 THEN 'missing_user' WHEN 3 THEN 'bad_type'
                    ELSE 'bad_time' END AS reason, count(*) AS n
             FROM action WHERE user_id % 7 IN (2, 3, 4) GROUP BY 1""",
+        "ingest_rejected_rows": f"""WITH {_ACTION}
+            SELECT user_id, action_ts, action_type, creation_id, '{fx.LAST_DAY}' AS p_date, reason,
+                   '{{' || CASE WHEN user_id IS NULL THEN '' ELSE '"userId":' || user_id || ',' END
+                   || '"actionTypeList":"' || kind || '","creationIdList":"' || creation_id || '","timestampList":"' || time_text || '"}}' AS raw
+            FROM (
+              SELECT CASE WHEN user_id % 7 = 2 THEN NULL ELSE user_id END AS user_id,
+                     CASE WHEN user_id % 7 = 4 THEN NULL ELSE date_trunc('second', action_ts) END AS action_ts,
+                     CASE WHEN user_id % 7 = 3 THEN NULL ELSE action_type END AS action_type, creation_id,
+                     CASE user_id % 7 WHEN 2 THEN 'missing_user' WHEN 3 THEN 'bad_type' ELSE 'bad_time' END AS reason,
+                     CASE WHEN user_id % 7 = 3 THEN 'x' ELSE CAST(action_type AS VARCHAR) END AS kind,
+                     CASE WHEN user_id % 7 = 4 THEN 'junk' ELSE CAST(epoch_us(action_ts) // 1000 AS VARCHAR) END AS time_text
+              FROM action WHERE user_id % 7 IN (2, 3, 4))""",
+        "except_all_multiplicities": f"""WITH {_ACTION}
+            SELECT user_id, action_type FROM action EXCEPT ALL
+            SELECT DISTINCT user_id, action_type FROM action WHERE action_type = 2""",
         "except_all_rows": f"""WITH {_ACTION}
             SELECT {_ACTION_COLUMNS} FROM action EXCEPT ALL
             SELECT {_ACTION_COLUMNS} FROM action WHERE action_type = 2""",
@@ -312,6 +400,10 @@ def oracle_sql() -> dict[str, str]:
         "graph_edges": f"""{_GRAPH}
             SELECT item_i AS srcid, item_j AS dstid, max(score) AS simscore FROM similarity
             GROUP BY 1, 2""",
+        "graph_edges_of_repeated_pairs": f"""{_GRAPH}
+            SELECT item_i AS srcid, item_j AS dstid, max(score) AS simscore FROM (
+              SELECT * FROM similarity UNION ALL SELECT item_i, item_j, score / 2 FROM similarity)
+            GROUP BY 1, 2""",
         "graph_vertex_lookup": f"""{_GRAPH}, vertices AS (
             SELECT item_i AS creation_id FROM similarity UNION SELECT item_j FROM similarity)
             SELECT creation_id FROM vertices WHERE creation_id IN {IDS}""",

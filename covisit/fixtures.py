@@ -15,6 +15,8 @@ FIRST_DAY, LAST_DAY = "20240101", "20240130"
 DAMAGE = {1: "corrupt_json", 2: "missing_user", 3: "bad_type", 4: "bad_time"}
 # ----------------------------------------------------------------------------------------
 
+# items that are in every order of the skewed basket
+HOT_ITEMS = 3
 # events packed into one message at most: ids are given out in time order
 MESSAGE_SPAN = 4096
 
@@ -52,6 +54,29 @@ def basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def skewed_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``basket`` with HOT_ITEMS more items (negative ids) in every order."""
+    orders = table(spark, sf_dir, "orders")
+    hot = orders.select(
+        F.col("o_custkey").alias("user_id"),
+        F.explode(F.array(*(F.lit(-i).cast("bigint") for i in range(1, HOT_ITEMS + 1)))).alias("creation_id"),
+        F.col("o_orderdate").cast("timestamp").alias("action_ts"),
+    )
+    return basket(spark, sf_dir).unionByName(hot)
+
+
+def late_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions of which every third came two days late, and every fifth lost its time."""
+    rows = _actions(table(spark, sf_dir, "events"))
+    came = F.date_format(F.col("action_ts") + F.expr("INTERVAL 2 DAYS"), "yyyyMMdd")
+    return rows.select(
+        "user_id",
+        F.when(F.col("event_id") % 5 != 0, F.col("action_ts")).alias("action_ts"),
+        "action_type", "creation_id",
+        F.when(F.col("event_id") % 3 == 0, came).otherwise(F.col("p_date")).alias("p_date"),
+    )
+
+
 def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     """``events`` packed into JSON messages, one per user, day and span of event ids.
 

@@ -16,6 +16,8 @@ DAY_PATTERN = "yyyyMMdd"
 
 # whole seconds that still fit a microsecond timestamp
 _TIMESTAMP_SECONDS = 9_223_372_036_854
+# and milliseconds
+_TIMESTAMP_MILLIS = 9_223_372_036_854_775
 
 # optional sign, optional digits, a point and whatever digits follow it
 _FRACTION = r"^\s*(?<sign>[+-]?)(?<whole>[0-9]*)\.[0-9]*\s*$"
@@ -66,9 +68,9 @@ def epoch(number: Column, precision: str = "s") -> Column:
     fits = seconds.between(F.lit(-_TIMESTAMP_SECONDS), F.lit(_TIMESTAMP_SECONDS))
     if precision == "s":
         return F.timestamp_seconds(F.when(fits, seconds))
-    return F.when(in_millis & fits, F.timestamp_millis(number)).when(
-        fits, F.timestamp_seconds(number)
-    )
+    millis = F.when(in_millis & (number <= F.lit(_TIMESTAMP_MILLIS)), number)
+    whole = F.when(~in_millis & fits, number)
+    return F.coalesce(F.timestamp_millis(millis), F.timestamp_seconds(whole))
 
 
 def instant(text: Column, precision: str = "s", number: Column | None = None) -> Column:

@@ -1,6 +1,6 @@
 """Command-line jobs: read a table, run a plan, write a table.
 
-    spark-submit -m covisit.jobs <job> [options]      or      python -m covisit.jobs <job> ...
+    spark-submit covisit/jobs.py <job> [options]      or      python -m covisit.jobs <job> ...
 
 Jobs: init, ingest, ingest-stream, publish, click-window, similarity, graph, retention, cluster,
 report.
@@ -9,15 +9,26 @@ report.
 from __future__ import annotations
 
 import argparse
+import sys
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from covisit.plans import reports
 from covisit.plans.click_window import latest_clicks
 from covisit.plans.graph import graph_edges, graph_vertices
-from covisit.plans.ingest import ingest_actions, parse_actions, split_parsed
-from covisit.plans.similarity import ALPHA, SCORE_DIGITS, TOP_K, USER_CAP, StagedSimilarity
+from covisit.plans.ingest import REASONS, parse_actions, split_parsed
+from covisit.plans.similarity import (
+    ALPHA,
+    SCORE_DIGITS,
+    TOP_K,
+    USER_CAP,
+    StagedSimilarity,
+    cap_losses,
+    item_similarity,
+)
 from covisit.schemas import CLICK, CLICK_CODE, SIMILARITY
 from covisit.session import Staged, session_builder
 from covisit.sources import graph_store, messages, tables
@@ -34,8 +45,12 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     tables.ensure_database(spark, a.database)
     tables.ensure_action_table(spark, table)
     if a.bad_records_path is None:
-        accepted, _ = ingest_actions(_raw(spark, a), a.p_date, a.align, a.precision)
-        return {"accepted": tables.overwrite_day(accepted, table, a.p_date)}
+        # what is not kept is counted at least, by reason, while the accepted rows are written
+        parsed = parse_actions(_raw(spark, a), a.p_date, a.align, a.precision)
+        seen = Observation(f"reasons_{uuid.uuid4().hex}")
+        parsed = parsed.observe(seen, *(F.count_if(F.col("reason") == r).alias(r) for r in REASONS))
+        accepted = tables.overwrite_day(split_parsed(parsed)[0], table, a.p_date)
+        return {"accepted": accepted, **{r: n for r, n in seen.get.items() if n}}
     # two writes from one read: "latest" may move between two reads of a topic
     parsed = parse_actions(_raw(spark, a), a.p_date, a.align, a.precision)
     with Staged(parsed, "parsed") as staged:
@@ -53,6 +68,7 @@ def _raw(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         spark, servers=a.bootstrap_servers, topic=a.topic, starting=a.starting_offsets,
         ending=a.ending_offsets, fail_on_data_loss=a.fail_on_data_loss == "true",
         min_partitions=a.min_partitions,
+        day=a.p_date if a.starting_offsets is None and a.ending_offsets is None else None,
     )
 
 
@@ -62,8 +78,9 @@ def ingest_new(spark: SparkSession, a: argparse.Namespace) -> None:
         raw = messages.stream_files(spark, a.path, a.path_format)
     else:
         raw = messages.stream_topic(
-            spark, servers=a.bootstrap_servers, topic=a.topic, starting=a.starting_offsets,
+            spark, servers=a.bootstrap_servers, topic=a.topic, starting=a.starting_offsets or "earliest",
             fail_on_data_loss=a.fail_on_data_loss == "true", min_partitions=a.min_partitions,
+            max_per_batch=a.max_offsets_per_batch,
         )
     ingest_stream(
         raw, a.p_date, a.accepted_path, a.checkpoint, a.bad_records_path, a.align, a.precision
@@ -72,7 +89,8 @@ def ingest_new(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def click_window(spark: SparkSession, a: argparse.Namespace) -> int:
     action = spark.table(f"{a.src_db}.{a.src_table}")
-    clicks = latest_clicks(action, a.end_date, a.days, a.action_type, a.date_col)
+    ingested = (a.first_ingested, a.last_ingested) if a.first_ingested and a.last_ingested else None
+    clicks = latest_clicks(action, a.end_date, a.days, a.action_type, a.date_col, ingested)
     tables.ensure_database(spark, a.dst_db)
     return tables.replace_snapshot(clicks, f"{a.dst_db}.{a.dst_table}", CLICK)
 
@@ -81,39 +99,51 @@ def similarity(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.shuffle_partitions > 0:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     tables.ensure_database(spark, a.dst_db)
+    source, target = spark.table(f"{a.src_db}.{a.src_table}"), f"{a.dst_db}.{a.dst_table}"
+    if a.user_cap == 0:
+        whole = item_similarity(source, a.alpha, a.top_k, None, a.symmetric, a.min_score, a.score_digits)
+        return tables.replace_snapshot(whole, target, SIMILARITY)
     with StagedSimilarity(
-        spark.table(f"{a.src_db}.{a.src_table}"), a.alpha, a.top_k, a.user_cap,
-        a.symmetric, a.min_score, a.score_digits,
+        source, a.alpha, a.top_k, a.user_cap, a.symmetric, a.min_score, a.score_digits,
     ) as neighbours:
-        return tables.replace_snapshot(neighbours, f"{a.dst_db}.{a.dst_table}", SIMILARITY)
+        written = tables.replace_snapshot(neighbours, target, SIMILARITY)
+    lost = cap_losses(source, a.user_cap).first()
+    print(f"the cap of {a.user_cap} left out {lost.events_cut} events of {lost.users_cut} users", file=sys.stderr)
+    return written
 
 
 def graph(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     """Both halves read the similarity table, each only the columns it needs."""
     source = spark.table(f"{a.src_db}.{a.src_table}")
-    options = dict(item.split("=", 1) for item in a.option)
+    both = _pairs(a.option)
     written = {}
     if a.write_vertex == "true":
         vertices = graph_vertices(source)
+        options = {**both, **_pairs(a.vertex_option), "type": "vertex"}
         written["vertices"] = (
-            graph_store.write_connector(vertices, a.format, {**options, "type": "vertex"}, a.batch)
+            graph_store.write_connector(vertices, a.format, options, a.batch)
             if a.format else graph_store.write_vertices(vertices, f"{a.path}/vertices")
         )
     if a.write_edge == "true":
-        edges = graph_edges(source)
+        edges = graph_edges(source, unique=True)  # the similarity job writes each pair once
+        options = {**both, **_pairs(a.edge_option), "type": "edge"}
         written["edges"] = (
-            graph_store.write_connector(edges, a.format, {**options, "type": "edge"}, a.batch)
+            graph_store.write_connector(edges, a.format, options, a.batch)
             if a.format else graph_store.write_edges(edges, f"{a.path}/edges")
         )
     return written
 
 
+def _pairs(options: list[str]) -> dict[str, str]:
+    return dict(item.split("=", 1) for item in options)
+
+
 def publish(spark: SparkSession, a: argparse.Namespace) -> int:
     """A day of streamed rows, in many small files, into the action table."""
     table = f"{a.database}.{a.table}"
     tables.ensure_database(spark, a.database)
     tables.ensure_action_table(spark, table)
-    day = reports.actions_on_day(read_accepted(spark, a.accepted_path), a.p_date)
+    day = reports.actions_on_day(read_accepted(spark, a.accepted_path, a.p_date), a.p_date)
     return tables.overwrite_day(day, table, a.p_date)
 
 
@@ -145,7 +175,14 @@ def report(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.out:
         answer.write.mode("overwrite").parquet(a.out)
     else:
-        answer.show(a.n or 100, truncate=False)
+        if a.n:
+            answer = answer.limit(a.n)
+        print("\t".join(answer.columns))
+        for row in answer.toLocalIterator():  # all rows, a partition at a time
+            print("\t".join("" if value is None else str(value) for value in row))
+
+
+# --- fixed values: names of jobs and flags, and their defaults, are a command-line contract -----
 
 
 def parser() -> argparse.ArgumentParser:
@@ -166,9 +203,9 @@ def parser() -> argparse.ArgumentParser:
     def messages_from(p: argparse.ArgumentParser) -> None:
         p.add_argument("--path", help="message files instead of a topic")
         p.add_argument("--path-format", default="parquet", choices=["parquet", "text"])
-        p.add_argument("--bootstrap-servers", default="kafka:9093")
+        p.add_argument("--bootstrap-servers", help="needed without --path")
         p.add_argument("--topic", default="action")
-        p.add_argument("--starting-offsets", default="earliest")
+        p.add_argument("--starting-offsets", help="instead of the messages of --p-date")
         p.add_argument("--fail-on-data-loss", default="false", choices=["true", "false"])
         p.add_argument("--min-partitions", type=int)
         p.add_argument("--p-date", required=True, help="label of the rows, yyyyMMdd")
@@ -178,7 +215,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = job("ingest", ingest, "one day of messages into the action table")
     messages_from(p)
-    p.add_argument("--ending-offsets", default="latest")
+    p.add_argument("--ending-offsets", help="instead of the messages of --p-date")
     p.add_argument("--database", default="dwd")
     p.add_argument("--table", default="action")
 
@@ -186,6 +223,7 @@ def parser() -> argparse.ArgumentParser:
     messages_from(p)
     p.add_argument("--accepted-path", required=True)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--max-offsets-per-batch", type=int, default=50_000_000)
 
     p = job("publish", publish, "a day of streamed rows into the action table")
     p.add_argument("--accepted-path", required=True)
@@ -206,12 +244,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--days", type=int, default=7)
     p.add_argument("--action-type", type=int, default=CLICK_CODE)
     p.add_argument("--date-col", default="p_date")
+    p.add_argument("--first-ingested", help="with --last-ingested: the ingest days to read")
+    p.add_argument("--last-ingested")
 
     p = job("similarity", similarity, "the most similar items of each item")
     from_to(p, "click7aggre", "item_similarity")
     p.add_argument("--alpha", type=float, default=ALPHA)
     p.add_argument("--top-k", type=int, default=TOP_K)
-    p.add_argument("--user-cap", type=int, default=USER_CAP)
+    p.add_argument("--user-cap", type=int, default=USER_CAP, help="newest events of a user; 0 takes all")
     p.add_argument("--shuffle-partitions", type=int, default=0, help="0 leaves the session's")
     p.add_argument("--symmetric", action="store_true")
     p.add_argument("--min-score", type=float)
@@ -221,7 +261,8 @@ def parser() -> argparse.ArgumentParser:
     from_to(p, "item_similarity", None)
     p.add_argument("--path", help="folder for Parquet vertices and edges")
     p.add_argument("--format", help="a graph connector instead of Parquet")
-    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    for half in ("", "vertex-", "edge-"):
+        p.add_argument(f"--{half}option", action="append", default=[], metavar="KEY=VALUE")
     p.add_argument("--batch", type=int, default=graph_store.BATCH)
     p.add_argument("--write-vertex", default="true", choices=["true", "false"])
     p.add_argument("--write-edge", default="true", choices=["true", "false"])
@@ -253,6 +294,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> object:
     a = parser().parse_args(argv)
+    if a.job in ("ingest", "ingest-stream") and not (a.path or a.bootstrap_servers):
+        parser().error("name --path or --bootstrap-servers")
     if spark is not None:
         return a.run(spark, a)
     extra = dict(item.split("=", 1) for item in a.conf)

@@ -19,7 +19,16 @@ BLOCK = 1024
 def recent_per_user(events: DataFrame, user_cap: int) -> DataFrame:
     """The ``user_cap`` newest events of each user; equal times go to the smaller item."""
     newest = [F.col("action_ts").desc(), F.col("creation_id").asc()]
-    return top_n_per_key(events, ["user_id"], newest, user_cap, ["creation_id", "action_ts"])
+    return top_n_per_key(events, ["user_id"], newest, user_cap)
+
+
+def cut_by_cap(events: DataFrame, user_cap: int) -> DataFrame:
+    """``users_cut, events_cut``: one row that says whom a cap cuts, and how many events it drops."""
+    per_user = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    beyond = F.greatest(F.col("n") - user_cap, F.lit(0))
+    return per_user.agg(
+        F.count_if(beyond > 0).alias("users_cut"), F.coalesce(F.sum(beyond), F.lit(0)).alias("events_cut")
+    )
 
 
 def item_sets(events: DataFrame, alpha: float) -> DataFrame:
@@ -52,15 +61,13 @@ def anchors(sets: DataFrame, largest_set: int) -> DataFrame:
     cluster, and an item comes with its larger items one block at a time.
     """
     sets = sets.where(F.size("items") >= 2)
-    rows = _whole_anchors(sets) if largest_set <= BLOCK else _blocked_anchors(sets)
-    return rows.where(F.size("later") > 0)
+    return _whole_anchors(sets) if largest_set <= BLOCK else _blocked_anchors(sets)
 
 
 def _whole_anchors(sets: DataFrame) -> DataFrame:
     later = F.slice("items", F.col("pos") + 2, F.size("items"))
-    return sets.select("weight", "items", F.posexplode("items").alias("pos", "item_i")).select(
-        "item_i", "weight", later.alias("later")
-    )
+    rows = sets.select("weight", "items", F.posexplode("items").alias("pos", "item_i"))
+    return rows.where(F.col("pos") + 1 < F.size("items")).select("item_i", "weight", later.alias("later"))
 
 
 def _blocked_anchors(sets: DataFrame) -> DataFrame:
@@ -94,50 +101,88 @@ def item_pairs(sets: DataFrame, largest_set: int) -> DataFrame:
     return expand(anchors(sets, largest_set))
 
 
-def pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
-    """``item_i, item_j, score``, rounded half-even to ``digits`` decimals.
+def uncapped_pairs(events: DataFrame, alpha: float) -> DataFrame:
+    """``item_i, item_j, w, w2`` of all items of every user, however many a user has.
 
-    The order in which doubles are added depends on the partitioning; rounding before anything
-    is ranked keeps results the same for every partitioning. The two sums combine within each
-    task before the shuffle, so a hot pair never travels as rows.
+    No user is gathered whole: items are dealt by hash into cells of about ``BLOCK``, every two
+    cells of a user meet in a task of their own, and so does each cell with itself.
     """
-    unit = F.lit(float(10**digits))
-    score = F.col("sum_w") * F.col("sum_w") - F.col("sum_w2")
-    return (
-        pairs.groupBy("item_i", "item_j")
-        .agg(F.sum("w").alias("sum_w"), F.sum("w2").alias("sum_w2"))
-        .select("item_i", "item_j", (F.rint(score * unit) / unit).alias("score"))
+    if alpha <= -1:
+        raise ValueError(f"alpha must be greater than -1, not {alpha}")
+    items = events.select("user_id", "creation_id").distinct()
+    degrees = items.groupBy("user_id").agg(F.count(F.lit(1)).alias("deg")).where("deg > 1")
+    cells = F.ceil(F.col("deg") / F.lit(BLOCK)).cast("bigint")
+    dealt = items.join(degrees, "user_id").withColumn("cells", cells)
+    dealt = dealt.withColumn("cell", F.pmod(F.xxhash64("creation_id"), F.col("cells")))
+    gathered = dealt.groupBy("user_id", "deg", "cells", "cell").agg(
+        F.sort_array(F.collect_set("creation_id")).alias("items")
+    )
+    sent = gathered.select("*", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other"))
+    met = sent.groupBy(
+        "user_id", "deg", F.least("cell", "other").alias("a"), F.greatest("cell", "other").alias("b")
+    ).agg(
+        F.first(F.when(F.col("cell") <= F.col("other"), F.col("items")), ignorenulls=True).alias("left"),
+        F.first(F.when(F.col("cell") >= F.col("other"), F.col("items")), ignorenulls=True).alias("right"),
+    )
+    weight = F.lit(1.0) / (F.col("deg") + F.lit(float(alpha)))
+    ones = met.select(weight.alias("weight"), "a", "b", "right", F.posexplode("left").alias("pos", "one"))
+    first = F.when(F.col("a") == F.col("b"), F.col("pos") + 2).otherwise(F.lit(1))
+    pairs = ones.select("weight", "one", F.explode(F.slice("right", first, F.size("right"))).alias("two"))
+    return pairs.select(
+        F.least("one", "two").alias("item_i"), F.greatest("one", "two").alias("item_j"),
+        F.col("weight").alias("w"), (F.col("weight") * F.col("weight")).alias("w2"),
     )
 
 
-def heavy_anchors(anchor_rows: DataFrame, more_than: int) -> list[int]:
-    """Items that head more than ``more_than`` pairs. With ``more_than`` no less than a share of
-    all pairs, their number is below the inverse of that share: a list fit for the driver."""
-    heads = anchor_rows.groupBy("item_i").agg(F.sum(F.size("later")).alias("pairs"))
-    return [row.item_i for row in heads.where(F.col("pairs") > more_than).collect()]
+# --- fixed values: weights and their squares are summed in units of 2^-50 and 2^-60, each as the
+# sums of its upper and lower bits, so sums are exact for over 10^9 common users -----------------
+W_BITS, W_LOW = 50, 25
+W2_BITS, W2_LOW = 60, 30
+# -------------------------------------------------------------------------------------------
+
+
+def _halves(value: Column, bits: int, low: int, name: str) -> list[Column]:
+    whole = F.rint(value * F.lit(float(2**bits))).cast("bigint")
+    return [
+        F.sum(F.shiftright(whole, low)).alias(f"{name}_high"),
+        F.sum(whole.bitwiseAND(2**low - 1)).alias(f"{name}_low"),
+    ]
+
+
+def _joined(bits: int, low: int, name: str) -> Column:
+    high, rest = F.col(f"{name}_high").cast("double"), F.col(f"{name}_low").cast("double")
+    return (high * F.lit(float(2**low)) + rest) / F.lit(float(2**bits))
 
 
-def split_pair_scores(
-    anchor_rows: DataFrame, heavy: list[int], digits: int, tasks: int
-) -> DataFrame:
-    """The same scores as ``pair_scores``, shuffled in the compact form where that is safe.
+def significant(value: Column, digits: int) -> Column:
+    """``value`` (not negative) rounded half-even to ``digits`` significant digits."""
+    rounded = None
+    for power in range(12, -25, -1):
+        unit = F.lit(float(f"1e{digits - 1 - power}"))
+        step = F.rint(value * unit) / unit
+        if rounded is None:
+            rounded = F.when(value >= F.lit(float(f"1e{power}")), step)
+        else:
+            rounded = rounded.when(value >= F.lit(float(f"1e{power}")), step)
+    return rounded.otherwise(F.lit(0.0))
 
-    Rows of ordinary items travel as arrays to the task that owns their ``item_i``, which expands
-    and sums them there: a fraction of the bytes and rows that single pairs would take, no hash
-    table on the sending side, and ranking by ``item_i`` needs no further shuffle. A ``heavy`` item
-    would drown that task, so heavy items are expanded and combined before their shuffle by pair.
+
+def pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
+    """``item_i, item_j, score``, rounded half-even to ``digits`` significant digits.
+
+    Weights are below 1 (a pair needs two items) and are summed as whole numbers of a fixed unit,
+    so a score is the same for every partitioning and physical form. One common user scores
+    exactly 0. Sums combine within each task before the shuffle, so a hot pair never travels as
+    rows, and pairs of a hot item go to different tasks.
     """
-    light = anchor_rows
-    if heavy:
-        few = F.broadcast(
-            anchor_rows.sparkSession.createDataFrame([(item,) for item in heavy], "item_i bigint")
-        )
-        light = anchor_rows.join(few, "item_i", "left_anti")
-    scores = pair_scores(expand(light.repartition(tasks, "item_i")), digits)
-    if heavy:
-        hot = pair_scores(expand(anchor_rows.join(few, "item_i", "left_semi")), digits)
-        scores = scores.unionByName(hot)
-    return scores
+    one, two = _joined(W_BITS, W_LOW, "w"), _joined(W2_BITS, W2_LOW, "w2")
+    score = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(F.greatest(one * one - two, F.lit(0.0)))
+    sums = pairs.groupBy("item_i", "item_j").agg(
+        F.count(F.lit(1)).alias("n"), *_halves(F.col("w"), W_BITS, W_LOW, "w"), *_halves(F.col("w2"), W2_BITS, W2_LOW, "w2")
+    )
+    return sums.select("item_i", "item_j", score.alias("score")).select(
+        "item_i", "item_j", significant(F.col("score"), digits).alias("score")
+    )
 
 
 def both_directions(scores: DataFrame) -> DataFrame:
@@ -152,4 +197,4 @@ def both_directions(scores: DataFrame) -> DataFrame:
 def best_neighbours(scores: DataFrame, top_k: int) -> DataFrame:
     """The ``top_k`` highest scores of each ``item_i``; equal scores go to the smaller item."""
     highest = [F.col("score").desc(), F.col("item_j").asc()]
-    return top_n_per_key(scores, ["item_i"], highest, top_k, ["item_j"])
+    return top_n_per_key(scores, ["item_i"], highest, top_k)

@@ -7,41 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SPREAD = 64
-
 
 def top_n_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    n: int,
-    spread_by: Sequence[str] = (),
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 ) -> DataFrame:
     """Keep the first ``n`` rows of each key in ``order``, which must be total.
 
-    For small ``n`` Spark cuts every key to ``n`` rows per task before the shuffle, so a hot
-    key arrives as a few rows per task. Beyond the session's limit for that early cut, a hot
-    key would arrive whole; there the rows are first ranked within (key, slice), with slices
-    hashed from ``spread_by``, and only the winners of each slice meet. Both ways keep exactly
-    the same rows.
+    Spark cuts every key to ``n`` rows per task before the shuffle, so a hot key arrives as a few
+    rows per task, up to the session's ``windowGroupLimitThreshold`` (see ``session.DEFAULTS``).
     """
     if n < 1:
         raise ValueError(f"n must be at least 1, not {n}")
-    if spread_by and n > _early_cut_limit(df):
-        part = F.pmod(F.xxhash64(*spread_by), F.lit(_SPREAD))
-        df = _first(df.withColumn("_slice", part), [*keys, "_slice"], order, n).drop("_slice")
-    return _first(df, keys, order, n)
-
-
-def _first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def _early_cut_limit(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-
-
 def latest_time(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     """The newest ``time`` of each key.
 

@@ -13,6 +13,7 @@ from covisit.schemas import ACTION, MESSAGE, QUARANTINE, conform
 from covisit.sources.messages import decode
 
 _CORRUPT = "_corrupt_record"
+REASONS = ("null_payload", "corrupt_json", "missing_user", "bad_time", "bad_type")
 
 
 def parse_actions(

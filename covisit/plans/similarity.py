@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame, Observation
 
 from covisit.operators.cleaning import distinct_events
 from covisit.operators.pairing import (
-    anchors,
     best_neighbours,
     both_directions,
-    heavy_anchors,
+    cut_by_cap,
     item_pairs,
     item_sets,
     pair_count,
     pair_scores,
     recent_per_user,
-    split_pair_scores,
+    uncapped_pairs,
 )
 from covisit.schemas import SIMILARITY, conform
 from covisit.session import Staged
@@ -27,13 +26,9 @@ TOP_K = 100
 USER_CAP = 200
 SCORE_DIGITS = 9
 
-# sizing of the staged form: pairs per task on either side of the pair shuffle, and most tasks
-SENT_PER_TASK, MOST_SENDERS = 100_000_000, 10_000
-SUMMED_PER_TASK, MOST_SUMMERS = 250_000, 100_000
-# an item is heavy if it heads more pairs than this, and more than this share of all pairs; so
-# there are fewer heavy items than the inverse of the share
-HEAVY_PAIRS = 2_000_000
-HEAVY_SHARE = 1 / 10_000
+# sizing of the staged form: pairs that a task makes, and bytes of summed pairs that one receives
+SENT_PER_TASK = 100_000_000
+SUM_BYTES, BYTES_PER_TASK = 64, 96 * 1024 * 1024
 
 
 def user_sets(
@@ -47,6 +42,11 @@ def user_sets(
     return item_sets(recent_per_user(events, user_cap), alpha)
 
 
+def cap_losses(interactions: DataFrame, user_cap: int = USER_CAP) -> DataFrame:
+    """``users_cut, events_cut``: what ``user_cap`` leaves out."""
+    return cut_by_cap(distinct_events(interactions, ["user_id", "creation_id", "action_ts"]), user_cap)
+
+
 def _neighbours(
     scores: DataFrame, top_k: int, symmetric: bool, min_score: float | None
 ) -> DataFrame:
@@ -78,7 +78,7 @@ def item_similarity(
     interactions: DataFrame,
     alpha: float = ALPHA,
     top_k: int = TOP_K,
-    user_cap: int = USER_CAP,
+    user_cap: int | None = USER_CAP,
     symmetric: bool = False,
     min_score: float | None = None,
     score_digits: int = SCORE_DIGITS,
@@ -87,25 +87,30 @@ def item_similarity(
 
     By default a pair is listed once, under its smaller id, so an item does not find its
     smaller neighbours under itself; ``symmetric`` lists it under both. Pairs with one common
-    user score 0 and stay; ``min_score`` can drop them.
+    user score 0 and stay; ``min_score`` can drop them. ``user_cap=None`` takes all events of every
+    user; ``cap_losses`` says what a cap leaves out.
 
     Lazy. Shuffles: distinct events (none if the input is already grouped by user and item),
     events by user, item sets (compact), pair sums by pair, and at most ``top_k`` rows per item
     and task by item. ``StagedSimilarity`` computes the same for large inputs.
     """
-    sets = user_sets(interactions, alpha, user_cap)
-    return _neighbours(scores_from_sets(sets, user_cap, score_digits), top_k, symmetric, min_score)
+    if user_cap is None:
+        events = distinct_events(interactions, ["user_id", "creation_id", "action_ts"])
+        scores = pair_scores(uncapped_pairs(events, alpha), score_digits)
+    else:
+        scores = scores_from_sets(user_sets(interactions, alpha, user_cap), user_cap, score_digits)
+    return _neighbours(scores, top_k, symmetric, min_score)
 
 
 class StagedSimilarity:
-    """``item_similarity`` sized by its data, for large inputs and for jobs that write a table.
+    """``item_similarity`` with a cap, sized by its data, for large inputs and jobs that write a table.
 
     The user sets are written to the shared folder first, their pairs counted on the way. So the
-    costly half starts from files, which lost executors do not take along; it gets as many
-    tasks as its pairs call for; and items that head too many pairs are known beforehand and
-    take the way that combines before the shuffle.
+    costly half starts from files, which lost executors do not take along, and both sides of its
+    shuffle get as many tasks as its pairs call for.
 
-    Use as a context manager. The block's value is the similarity frame; write it inside.
+    Use as a context manager. The block's value is the similarity frame; write it inside, while the
+    session's shuffle partitions are raised for it.
     """
 
     def __init__(
@@ -117,34 +122,33 @@ class StagedSimilarity:
         symmetric: bool = False,
         min_score: float | None = None,
         score_digits: int = SCORE_DIGITS,
-        heavy_pairs: int = HEAVY_PAIRS,
     ):
         counts = Observation(f"user_sets_{uuid.uuid4().hex}")
         sets = user_sets(interactions, alpha, user_cap).observe(counts, pair_count().alias("pairs"))
         self._staged = Staged(sets, "user_sets")
         try:
+            self._conf = self._staged.frame.sparkSession.conf
             self.pairs: int = counts.get["pairs"]
-            rows = anchors(self._staged.frame.repartition(self._senders(), "user_id"), user_cap)
-            more_than = max(heavy_pairs, int(self.pairs * HEAVY_SHARE))
-            self.heavy = heavy_anchors(anchors(self._staged.frame, user_cap), more_than)
-            scores = split_pair_scores(rows, self.heavy, score_digits, self._summers())
+            spread = self._staged.frame.repartition(self._senders(), "user_id")
+            scores = pair_scores(item_pairs(spread, user_cap), score_digits)
             self._frame = _neighbours(scores, top_k, symmetric, min_score)
         except BaseException:
             self._staged.close()
             raise
 
     def _senders(self) -> int:
-        return self._tasks(SENT_PER_TASK, MOST_SENDERS)
-
-    def _summers(self) -> int:
-        return self._tasks(SUMMED_PER_TASK, MOST_SUMMERS)
-
-    def _tasks(self, per_task: int, most: int) -> int:
         parallel = self._staged.frame.sparkSession.sparkContext.defaultParallelism
-        return max(parallel, min(most, -(-self.pairs // per_task)))
+        return max(parallel, -(-self.pairs // SENT_PER_TASK))
+
+    def receivers(self) -> int:
+        """Tasks behind the shuffle, at most as many pairs in each as fit: sums shrink what pairs make."""
+        return -(-self.pairs * SUM_BYTES // BYTES_PER_TASK)
 
     def __enter__(self) -> DataFrame:
+        self._before = self._conf.get("spark.sql.shuffle.partitions")
+        self._conf.set("spark.sql.shuffle.partitions", str(max(int(self._before), self.receivers())))
         return self._frame
 
     def __exit__(self, *exc: object) -> None:
+        self._conf.set("spark.sql.shuffle.partitions", self._before)
         self._staged.close()

@@ -16,7 +16,11 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "snappy",
     # item sets come from rows already sorted by user: aggregate them in that order
     "spark.sql.execution.replaceHashWithSortAgg": "true",
+    # rankings by row number need no buffer: cut keys before the shuffle whatever the limit
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000000",
 }
+# on a cluster: many shuffle partitions at first, which adaptive execution merges by size
+CLUSTER_DEFAULTS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
 
 
 def session_builder(
@@ -26,7 +30,8 @@ def session_builder(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(extra or {})}.items():
+    far = {} if (master or "").startswith("local") else CLUSTER_DEFAULTS
+    for key, value in {**DEFAULTS, **far, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder
 
@@ -35,12 +40,21 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
     Where the cluster names none, use one below the warehouse: tables live there, so it is
-    reachable from wherever the tables are.
+    reachable from wherever the tables are. A warehouse on local disks is none on a cluster.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_covisit_shared"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return fallback_dir(warehouse, spark.sparkContext.master)
+
+
+def fallback_dir(warehouse: str, master: str) -> str:
+    if not master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError(
+            f"the warehouse {warehouse} may lie on local disks: name a shared folder in spark.checkpoint.dir"
+        )
+    return f"{warehouse}/_covisit_shared"
 
 
 class Staged:
@@ -54,7 +68,11 @@ class Staged:
     def __init__(self, df: DataFrame, label: str):
         self._spark = df.sparkSession
         self.path = f"{shared_dir(self._spark)}/staged/{label}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        try:
+            df.write.parquet(self.path)
+        except BaseException:
+            self.close()
+            raise
         self.frame = self._spark.read.schema(df.schema).parquet(self.path)
 
     def __enter__(self) -> DataFrame:

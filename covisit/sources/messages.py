@@ -5,10 +5,14 @@ Every reader gives a frame with a binary ``value`` column.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from covisit.functions.days import parse_day
+
 RAW = T.StructType([T.StructField("value", T.BinaryType())])
 
 
@@ -19,18 +23,30 @@ def topic_options(
     ending: str | None = "latest",
     fail_on_data_loss: bool = False,
     min_partitions: int | None = None,
+    max_per_batch: int | None = None,
+    day: str | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source. ``starting`` and ``ending`` are ``earliest``, ``latest`` or
-    JSON offsets per partition. ``min_partitions`` splits topic partitions into more tasks: a
-    topic's own partition count otherwise bounds how wide the scan runs."""
+    JSON offsets per partition; ``day`` takes the messages of that day (UTC) instead, by their
+    timestamps, so that daily runs do not take them twice. ``min_partitions`` splits topic partitions
+    into more tasks: a topic's own partition count otherwise bounds how wide the scan runs.
+    ``max_per_batch`` bounds a stream's batches."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
-    if ending is not None:
-        options["endingOffsets"] = ending
+    if day is not None:
+        first = datetime.combine(parse_day(day), datetime.min.time(), tzinfo=timezone.utc)
+        options["startingTimestamp"] = str(int(first.timestamp() * 1000))
+        options["endingTimestamp"] = str(int((first + timedelta(days=1)).timestamp() * 1000))
+        options["startingOffsetsByTimestampStrategy"] = "latest"
+    else:
+        options["startingOffsets"] = starting
+        if ending is not None:
+            options["endingOffsets"] = ending
+    if max_per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(max_per_batch)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
     return options

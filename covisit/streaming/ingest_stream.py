@@ -26,24 +26,25 @@ def ingest_stream(
     """Parse everything new in ``raw`` (a streaming frame with ``value``), then stop.
 
     The checkpoint remembers what was read; a second run adds only what came since. Each
-    micro-batch owns one directory per sink, named by its number, and replaces it as a whole:
-    a batch that is replayed after a failure, even under another day's label, leaves no
-    duplicates.
+    micro-batch owns one directory per sink, below the day it was first read under, and replaces it
+    as a whole: a batch that is replayed after a failure, even by a run with another day's label,
+    keeps its day and leaves no duplicates, published or not.
     """
     parse_day(p_date)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_actions(batch, p_date, align, precision)
+        label = _label_of(batch.sparkSession, accepted_path, batch_id, p_date)
+        parsed = parse_actions(batch, label, align, precision)
         if quarantine_path is None:
-            _replace(split_parsed(parsed)[0], accepted_path, batch_id)
+            _replace(split_parsed(parsed)[0], accepted_path, label, batch_id)
             return
-        # bounded by the source's per-trigger limit; a lost block is read again from the same
-        # offsets
+        # bounded by the source's limit per batch (files or offsets); a lost block is read again
+        # from the same offsets
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             accepted, rejected = split_parsed(parsed)
-            _replace(accepted, accepted_path, batch_id)
-            _replace(rejected, quarantine_path, batch_id)
+            _replace(accepted, accepted_path, label, batch_id)
+            _replace(rejected, quarantine_path, label, batch_id)
         finally:
             parsed.unpersist()
 
@@ -55,24 +56,42 @@ def ingest_stream(
     )
 
 
-def _replace(rows: DataFrame, path: str, batch_id: int) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("p_date")
-        .parquet(f"{path.rstrip('/')}/{BATCH_DIR}={batch_id}")
-    )
+def _label_of(spark: SparkSession, accepted_path: str, batch_id: int, p_date: str) -> str:
+    """The day a batch was first read under, kept beside the rows (readers pass over the folder)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{accepted_path.rstrip('/')}/_labels/{batch_id}")
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(path):
+        draft = path.suffix(".draft")
+        out = files.create(draft, True)
+        out.writeBytes(p_date)
+        out.close()
+        files.rename(draft, path)
+    source = files.open(path)
+    label = bytes(source.readAllBytes()).decode()
+    source.close()
+    return label
+
+
+def _folder(path: str, p_date: str) -> str:
+    return f"{path.rstrip('/')}/p_date={p_date}"
+
+
+def _replace(rows: DataFrame, path: str, p_date: str, batch_id: int) -> None:
+    rows.drop("p_date").write.mode("overwrite").parquet(f"{_folder(path, p_date)}/{BATCH_DIR}={batch_id}")
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType, p_date: str | None) -> DataFrame:
     stored = T.StructType([*schema.fields, T.StructField(BATCH_DIR, T.LongType())])
-    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames())
+    reader = spark.read.schema(stored).option("basePath", path)
+    return reader.parquet(path if p_date is None else _folder(path, p_date)).select(*schema.fieldNames())
 
 
-def read_accepted(spark: SparkSession, path: str) -> DataFrame:
-    """All accepted rows, with the columns of the action table; prunes by ``p_date``."""
-    return _read(spark, path, ACTION)
+def read_accepted(spark: SparkSession, path: str, p_date: str | None = None) -> DataFrame:
+    """Accepted rows, with the columns of the action table. With ``p_date`` no other day's folders
+    are listed."""
+    return _read(spark, path, ACTION, p_date)
 
 
-def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, QUARANTINE)
+def read_quarantine(spark: SparkSession, path: str, p_date: str | None = None) -> DataFrame:
+    return _read(spark, path, QUARANTINE, p_date)

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from covisit import fixtures as fx
 from covisit.functions.days import parse_day, trailing_days
 from covisit.plans.click_window import latest_clicks
 from covisit.sources.tables import ensure_action_table, ensure_database, overwrite_partitions
@@ -71,3 +72,21 @@ def test_prunes_partitions_and_combines_before_the_shuffle(spark, action):
     assert plan.count("Exchange hashpartitioning") == 1
     assert df.count() == 1
     assert len(df.inputFiles()) <= 10
+
+
+def test_event_times_that_are_missing_or_late(spark):
+    rows = spark.createDataFrame(
+        [(1, None, 2, 5, "20240129"), (2, None, 2, 5, "20240131"), (3, "2024-01-28 00:00:00", 2, 5, "20240205")],
+        "user_id long, t string, action_type int, creation_id long, p_date string")
+    rows = rows.selectExpr("user_id", "CAST(t AS TIMESTAMP) AS action_ts", "action_type", "creation_id", "p_date")
+    found = latest_clicks(rows, "20240130", date_col="action_ts")
+    assert sorted(r.user_id for r in found.collect()) == [1, 3]
+    found = latest_clicks(rows, "20240130", date_col="action_ts", ingested=("20240124", "20240131"))
+    assert [r.user_id for r in found.collect()] == [1]
+
+
+def test_ingest_days_prune_an_event_time_window(spark, sf, tmp_path):
+    fx.action(spark, sf).write.partitionBy("p_date").parquet(str(tmp_path / "a"))
+    found = latest_clicks(spark.read.parquet(str(tmp_path / "a")), "20240130", date_col="action_ts", ingested=("20240124", "20240131"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p_date" in plan and "p_date#" in plan

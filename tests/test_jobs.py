@@ -28,7 +28,8 @@ def test_pipeline(spark, sf, tmp_path):
     assert job(line) == counts
     assert job(line) == counts  # again: the same table
     assert same(spark.table("dwd.action"), accepted)
-    assert job(f"ingest --path {raw} --p-date 20240129") == {"accepted": counts["accepted"]}
+    reasons = {r.reason: r["count"] for r in rejected.groupBy("reason").count().collect()}
+    assert job(f"ingest --path {raw} --p-date 20240129") == {"accepted": counts["accepted"], **reasons}
     bad = spark.read.option("basePath", f"{tmp_path}/bad").parquet(f"{tmp_path}/bad")
     assert bad.count() == counts["rejected"] and "raw" in bad.columns
 
@@ -81,6 +82,25 @@ def test_defaults_are_the_documented_ones():
     a = parser().parse_args(["graph"])
     assert (a.batch, a.write_vertex, a.write_edge) == (1000, "true", "true")
     a = parser().parse_args(["ingest", "--p-date", "20240101"])
-    assert (a.starting_offsets, a.ending_offsets, a.fail_on_data_loss) == ("earliest", "latest", "false")
+    assert (a.starting_offsets, a.ending_offsets, a.fail_on_data_loss) == (None, None, "false")
     with pytest.raises(SystemExit):
         parser().parse_args(["ingest"])
+    with pytest.raises(SystemExit):
+        main(["ingest", "--p-date", "20240101"], spark=object())
+
+
+def test_a_report_shows_all_rows(spark, sf, capsys):
+    fx.action(spark, sf).write.mode("overwrite").saveAsTable("shown")
+    hours = main("report hours --db default --table shown --first 20240115".split(), spark)
+    lines = capsys.readouterr().out.splitlines()
+    expected = spark.table("shown").where("p_date = '20240115'").selectExpr("hour(action_ts)", "action_type").distinct().count()
+    assert hours is None and len(lines) == expected + 1 > 101
+    main("report hours --db default --table shown --first 20240115 -n 3".split(), spark)
+    assert len(capsys.readouterr().out.splitlines()) == 4
+
+
+def test_both_halves_of_a_graph_go_where_they_are_told(spark, tmp_path):
+    spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.25)], "item_i long, item_j long, score double").write.mode("overwrite").saveAsTable("pairs")
+    line = f"graph --src-db default --src-table pairs --format json --vertex-option path={tmp_path}/v --edge-option path={tmp_path}/e"
+    assert main(line.split(), spark) == {"vertices": 3, "edges": 2}
+    assert (spark.read.json(f"{tmp_path}/v").count(), spark.read.json(f"{tmp_path}/e").count()) == (3, 2)

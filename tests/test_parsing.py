@@ -172,3 +172,9 @@ def test_parse_runs_once_without_shuffle_or_python(spark):
         plan = half._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Python" not in plan
         assert plan.count("from_json") == 1
+
+
+def test_milliseconds_at_both_ends_of_their_range(spark):
+    texts = ["9223372036854775", "9223372036854776", "9223372036854999", "99999999999999999999", "10000000000", "-9223372036854775"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(instant(F.col("t"), "ms").isNotNull().alias("ok"))
+    assert [r.ok for r in rows.collect()] == [True, False, False, False, True, False]

@@ -1,6 +1,7 @@
 import pytest
 
 from covisit import fixtures as fx
+from covisit.jobs import main
 from covisit.plans.ingest import ingest_actions
 from covisit.sources.messages import RAW, read_files, stream_files, topic_options
 from covisit.streaming.ingest_stream import ingest_stream, read_accepted, read_quarantine
@@ -49,12 +50,27 @@ def test_takes_each_message_once(spark, folder):
 def test_replayed_batches_replace_themselves(spark, folder):
     run(spark, folder)
     before = read_accepted(spark, str(folder / "ok")).drop("p_date").collect()
-    # a lost checkpoint replays the same batch numbers, here under another day's label
+    # a lost checkpoint replays the same batch numbers, here by a run with another day's label
     run(spark, folder, "20240131", checkpoint="cp2")
     stored = read_accepted(spark, str(folder / "ok"))
     after = stored.drop("p_date").collect()
     assert sorted(map(str, after)) == sorted(map(str, before))
-    assert {r.p_date for r in stored.select("p_date").distinct().collect()} == {"20240131"}
+    assert {r.p_date for r in stored.select("p_date").distinct().collect()} == {"20240130"}
+
+
+def test_a_batch_that_failed_to_commit_is_published_once(spark, folder):
+    def publish(day):
+        return main(f"publish --accepted-path {folder}/ok --p-date {day} --table once".split(), spark)
+
+    run(spark, folder)
+    commits = sorted((folder / "cp" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    rows = publish("20240130")
+    for path in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        path.unlink(missing_ok=True)
+    run(spark, folder, "20240131")  # reads the last batch again
+    (folder / "ok" / "p_date=20240131").mkdir(exist_ok=True)
+    assert publish("20240131") == 0 and publish("20240130") == rows
+    assert spark.table("dwd.once").count() == rows
 
 
 def test_without_quarantine(spark, folder):
@@ -79,3 +95,7 @@ def test_topic_options():
     more = topic_options("h:1", "action", offsets, None, True, 64)
     assert more["startingOffsets"] == offsets and "endingOffsets" not in more
     assert more["failOnDataLoss"] == "true" and more["minPartitions"] == "64"
+    assert topic_options("h:1", "action", ending=None, max_per_batch=7)["maxOffsetsPerTrigger"] == "7"
+    day = topic_options("h:1", "action", day="20240130")
+    assert (day["startingTimestamp"], day["endingTimestamp"]) == ("1706572800000", "1706659200000")
+    assert not {"startingOffsets", "endingOffsets"} & set(day)

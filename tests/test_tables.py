@@ -205,3 +205,24 @@ def test_staged_frames(spark):
         assert path.startswith("file://") and shared_dir(spark) in path
     with pytest.raises(Exception):
         spark.read.parquet(path).count()
+
+
+def test_local_disks_are_no_shared_folder():
+    from covisit.session import fallback_dir
+
+    assert fallback_dir("file:/w", "local[4]") == "file:/w/_covisit_shared"
+    assert fallback_dir("s3a://b/w", "yarn") == "s3a://b/w/_covisit_shared"
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError):
+            fallback_dir(warehouse, "yarn")
+
+
+def test_a_failed_staging_leaves_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from covisit.session import Staged, shared_dir
+
+    with pytest.raises(Exception):
+        Staged(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), "failing")
+    folder = spark._jvm.java.io.File(f"{shared_dir(spark)}/staged")
+    assert not [name for name in folder.list() or [] if name.startswith("failing")]
