@@ -188,6 +188,7 @@ def report(spark: SparkSession, a: argparse.Namespace) -> None:
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="covisit.jobs", description=__doc__.splitlines()[0])
     top.add_argument("--master", help="Spark master; spark-submit's by default")
+    top.add_argument("--catalog", help="folder of tables, where there is no metastore")
     top.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
     jobs = top.add_subparsers(dest="job", required=True)
 
@@ -298,9 +299,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         parser().error("name --path or --bootstrap-servers")
     if spark is not None:
         return a.run(spark, a)
-    extra = dict(item.split("=", 1) for item in a.conf)
+    extra = _pairs(a.conf)
+    if a.catalog:
+        extra["spark.sql.warehouse.dir"] = a.catalog
     spark = session_builder(f"covisit-{a.job}", a.master, extra).getOrCreate()
     try:
+        if a.catalog:
+            tables.attach(spark, a.catalog)
         return a.run(spark, a)
     finally:
         spark.stop()

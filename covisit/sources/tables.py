@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,85 @@ def ensure_table(
         + (f"PARTITIONED BY (`{PARTITION}`) " if partitioned else "")
         + f"COMMENT '{comment}'"
     )
+    _note_schema(spark, table, schema, partitioned)
+
+
+# --- a catalog that is a folder: where no metastore keeps tables from one process to the next -------
+
+_SCHEMA, _CURRENT, _VERSION = "_schema.json", "_current", "version-"
+
+
+def _files(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return jvm_path.getFileSystem(conf), jvm_path
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, target = _files(spark, path)
+    out = files.create(target, True)
+    out.write(text.encode())
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    files, source = _files(spark, path)
+    if not files.exists(source):
+        return None
+    stream = files.open(source)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text
+
+
+def location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Location'").collect()
+    return rows[0].data_type.rstrip("/")
+
+
+def _root(spark: SparkSession, table: str) -> str:
+    """The table's own folder, also while it shows a version below it."""
+    here = location(spark, table)
+    return here.rpartition("/")[0] if here.rpartition("/")[2].startswith(_VERSION) else here
+
+
+def _note_schema(spark: SparkSession, table: str, schema: T.StructType, partitioned: bool) -> None:
+    path = f"{_root(spark, table)}/{_SCHEMA}"
+    if _read_text(spark, path) is None:
+        _write_text(spark, path, json.dumps({"partitioned": partitioned, "schema": schema.jsonValue()}))
+
+
+def attach(spark: SparkSession, folder: str) -> list[str]:
+    """Make the tables below ``folder``, which earlier processes left there, known to this session.
+
+    The session's warehouse must be ``folder``. With a metastore there is nothing to attach.
+    """
+    known = []
+    files, root = _files(spark, folder)
+    if not files.exists(root):
+        return known
+    for db in files.listStatus(root):
+        name = db.getPath().getName()
+        if not db.isDirectory() or not name.endswith(".db"):
+            continue
+        ensure_database(spark, name.removesuffix(".db"))
+        for entry in files.listStatus(db.getPath()):
+            here, table = entry.getPath().toString(), f"{name.removesuffix('.db')}.{entry.getPath().getName()}"
+            noted = _read_text(spark, f"{here}/{_SCHEMA}") if entry.isDirectory() else None
+            if noted is None or spark.catalog.tableExists(table):
+                continue
+            about = json.loads(noted)
+            columns = T.StructType.fromJson(about["schema"])
+            current = _read_text(spark, f"{here}/{_CURRENT}")
+            spark.sql(
+                f"CREATE TABLE {_quoted(table)} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) USING parquet "
+                + (f"PARTITIONED BY (`{PARTITION}`) " if about["partitioned"] else "")
+                + f"LOCATION '{here}{f'/{current}' if current else ''}'"
+            )
+            if about["partitioned"]:
+                spark.sql(f"ALTER TABLE {_quoted(table)} RECOVER PARTITIONS")
+            known.append(table)
+    return known
 
 
 def ensure_action_table(spark: SparkSession, table: str, **options) -> None:
@@ -117,23 +197,29 @@ def overwrite_day(df: DataFrame, table: str, p_date: str) -> int:
 def replace_snapshot(df: DataFrame, table: str, schema: T.StructType) -> int:
     """Replace a whole table by ``df`` and give the number of rows written.
 
-    The rows go to a new table that then takes the old one's name. So ``df`` may read the
-    table it replaces, and a failed run leaves the old table as it was.
+    The rows go to a new folder, then the table's location is switched to it. So ``df`` may read the
+    table it replaces, a failed run leaves the table as it was, and there is no moment without one.
+    The version before stays for readers that have begun; older ones go.
     """
     spark = df.sparkSession
-    fresh = f"{table}__{uuid.uuid4().hex}"
-    ensure_table(spark, fresh, schema)
-    swapping = False
+    ensure_table(spark, table, schema)
+    root, version = _root(spark, table), f"{_VERSION}{uuid.uuid4().hex}"
+    before = location(spark, table).removeprefix(root).strip("/")
+    rows, seen = counted(conform(df, schema), version)
     try:
-        rows, seen = counted(conform(df, schema), fresh)
-        rows.write.mode("append").insertInto(fresh)
-        swapping = True
-        spark.sql(f"DROP TABLE IF EXISTS {_quoted(table)}")
-        spark.sql(f"ALTER TABLE {_quoted(fresh)} RENAME TO {_quoted(table)}")
+        rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{root}/{version}")
     except BaseException:
-        if not swapping:  # from there on it may be the only copy
-            spark.sql(f"DROP TABLE IF EXISTS {_quoted(fresh)}")
+        files, path = _files(spark, f"{root}/{version}")
+        files.delete(path, True)
         raise
+    spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{root}/{version}'")
+    _write_text(spark, f"{root}/{_CURRENT}", version)
+    spark.catalog.refreshTable(table)
+    files, path = _files(spark, root)
+    for entry in files.listStatus(path):
+        name = entry.getPath().getName()
+        if name.startswith(_VERSION) and name not in (version, before):
+            files.delete(entry.getPath(), True)
     return seen.get["rows"]
 
 

@@ -1,5 +1,9 @@
 """The jobs end to end: messages in, graph out, every step from its command line."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from covisit import fixtures as fx
@@ -104,3 +108,22 @@ def test_both_halves_of_a_graph_go_where_they_are_told(spark, tmp_path):
     line = f"graph --src-db default --src-table pairs --format json --vertex-option path={tmp_path}/v --edge-option path={tmp_path}/e"
     assert main(line.split(), spark) == {"vertices": 3, "edges": 2}
     assert (spark.read.json(f"{tmp_path}/v").count(), spark.read.json(f"{tmp_path}/e").count()) == (3, 2)
+
+
+def test_jobs_work_as_processes_of_their_own(spark, sf, tmp_path):
+    """No metastore: what one process leaves, the next one finds in the folder of tables."""
+    raw = tmp_path / "raw"
+    fx.raw_messages(spark, sf).write.parquet(str(raw))
+    first = ["--master", "local[2]", "--catalog", str(tmp_path / "tables"), "--conf", "spark.ui.enabled=false",
+             "--conf", "spark.sql.shuffle.partitions=4", "--conf", f"spark.checkpoint.dir={tmp_path}/shared"]
+    for line in (f"ingest --path {raw} --p-date 20240130", f"ingest --path {raw} --p-date 20240130", "click-window --end-date 20240130",
+                 "similarity --top-k 10", f"graph --path {tmp_path}/graph", f"report types --first 20240130 --out {tmp_path}/types"):
+        done = subprocess.run([sys.executable, "-m", "covisit.jobs", *first, *line.split()], capture_output=True, text=True, timeout=300,
+                              cwd=Path(__file__).resolve().parents[1])
+        assert done.returncode == 0, done.stderr[-2000:]
+    accepted, _ = ingest_actions(read_files(spark, str(raw)), "20240130")
+    clicks = latest_clicks(accepted, "20240130")
+    similar = item_similarity(clicks, top_k=10)
+    edges = spark.read.parquet(f"{tmp_path}/graph/edges")
+    assert same(edges, similar.toDF("srcid", "dstid", "simscore"))
+    assert sum(r.cnt for r in spark.read.parquet(f"{tmp_path}/types").collect()) == accepted.count()
