@@ -1,6 +1,6 @@
 """Item sets of users, item pairs within a user, and pair scores.
 
-A user with ``d`` distinct items has the weight ``1 / (d + alpha)``. The score of two items
+Fixed values, the definition of the score: a user with ``d`` distinct items has the weight ``1 / (d + alpha)``. The score of two items
 sums ``2 * w_u * w_v`` over the pairs of their common users, computed from two sums as
 ``(sum w)^2 - sum w^2``. One common user scores exactly 0.
 """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from covisit.operators.profile import counted
 from covisit.schemas import EDGE, VERTEX, conform
+from covisit.sources.tables import file_system
 
 BATCH = 1000  # fixed value: rows per write request of a graph connector
 
@@ -28,8 +29,19 @@ def write_edges(edges: DataFrame, path: str) -> int:
 
 
 def _replace(rows: DataFrame, path: str) -> int:
-    rows, seen = counted(rows, f"graph_{uuid.uuid4().hex}")
-    rows.write.mode("overwrite").parquet(path)
+    """Write beside the served folder, then put the new one in its place: it is never half written."""
+    name = f"graph_{uuid.uuid4().hex}"
+    rows, seen = counted(rows, name)
+    draft = f"{path.rstrip('/')}.{name}"
+    files, new = file_system(rows.sparkSession, draft)
+    try:
+        rows.write.parquet(draft)
+    except BaseException:
+        files.delete(new, True)
+        raise
+    _, served = file_system(rows.sparkSession, path)
+    files.delete(served, True)
+    files.rename(new, served)
     return seen.get["rows"]
 
 

@@ -56,21 +56,22 @@ def ensure_table(
 _SCHEMA, _CURRENT, _VERSION = "_schema.json", "_current", "version-"
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path as it takes it."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     return jvm_path.getFileSystem(conf), jvm_path
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    files, target = _files(spark, path)
+    files, target = file_system(spark, path)
     out = files.create(target, True)
     out.write(text.encode())
     out.close()
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
-    files, source = _files(spark, path)
+    files, source = file_system(spark, path)
     if not files.exists(source):
         return None
     stream = files.open(source)
@@ -102,7 +103,7 @@ def attach(spark: SparkSession, folder: str) -> list[str]:
     The session's warehouse must be ``folder``. With a metastore there is nothing to attach.
     """
     known = []
-    files, root = _files(spark, folder)
+    files, root = file_system(spark, folder)
     if not files.exists(root):
         return known
     for db in files.listStatus(root):
@@ -209,13 +210,13 @@ def replace_snapshot(df: DataFrame, table: str, schema: T.StructType) -> int:
     try:
         rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{root}/{version}")
     except BaseException:
-        files, path = _files(spark, f"{root}/{version}")
+        files, path = file_system(spark, f"{root}/{version}")
         files.delete(path, True)
         raise
     spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{root}/{version}'")
     _write_text(spark, f"{root}/{_CURRENT}", version)
     spark.catalog.refreshTable(table)
-    files, path = _files(spark, root)
+    files, path = file_system(spark, root)
     for entry in files.listStatus(path):
         name = entry.getPath().getName()
         if name.startswith(_VERSION) and name not in (version, before):
