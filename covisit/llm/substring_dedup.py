@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covisit.llm.common import BROADCAST_ROWS, VOCABULARY, Vocabulary, gram_hashes, mixed, numbered, ranges, shuffle_partitions, slices, staged, with_key
+from covisit.llm.common import VOCABULARY, Vocabulary, gram_hashes, mixed, numbered, ranges, shuffle_partitions, slices, staged, with_key
 
 WINDOW, ANCHOR = 20, 3
 #: Words of text for which there is one shard more.
@@ -34,6 +34,7 @@ COMMON_SHARE = 16_384
 #: Bytes of text whose segments are gathered before they are sent.
 _BYTES = 12_000_000
 _LAST = np.uint64(1 << 63)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # --- wavelet tree and FM-index ------------------------------------------------------------
@@ -267,16 +268,14 @@ def segments(docs: DataFrame, common: np.ndarray, shards: int) -> DataFrame:
             base = np.cumsum(counts) - counts
             text, start, windows, anchor = anchors(words, counts, held.value)
             length = windows + WINDOW - 1
-            # a segment's name: its words' hash, by sums over prefixes
-            spread = mixed(words)
-            power = np.cumprod(np.full(2 * WINDOW, 0x9E3779B97F4A7C15, np.uint64))
+            # a segment's name: a polynomial of its words, from sums over all words before its ends
             place = base[text] + start
-            name = anchor.copy()
-            for k in range(int(length.max(initial=0))):
-                on = length > k
-                name[on] = mixed(name[on] * power[k] + spread[place[on] + k])
+            powers = np.cumprod(np.full(len(words), _ODD, np.uint64))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words) * powers)])
+            inverse = np.cumprod(np.full(len(words), pow(int(_ODD), -1, 1 << 64), np.uint64))
+            name = mixed((sums[place + length] - sums[place]) * inverse[place] + length.astype(np.uint64))
             shard = (mixed(anchor) % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((start, keys[text], name, shard))
+            order = np.argsort((shard.astype(np.uint64) << np.uint64(40)) | (name >> np.uint64(24)))
             text, start, length, anchor, place, name, shard = (x[order] for x in (text, start, length, anchor, place, name, shard))
             if not len(shard):
                 continue
@@ -300,26 +299,28 @@ def segments(docs: DataFrame, common: np.ndarray, shards: int) -> DataFrame:
 
 def _repeats(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one shard: key, first word and end of the word ranges that windows with an earlier equal cover."""
-    anchors_, lengths, sequences, keys, starts, of, known = [], [], [], [], [], [], 0
-    vocabulary: dict[bytes, int] = defaultdict(lambda: len(vocabulary))
-    for blob in blobs:
-        anchor, length, spelled, local, key, start, segment = _unpacked(blob, 7)
-        anchors_.append(anchor)
-        lengths.append(length.astype(np.int64))
-        own_words = spelled.tobytes().split(b" ")
-        sequences.append(np.fromiter(map(vocabulary.__getitem__, own_words), np.int32, len(own_words))[local])
-        keys.append(key.view(np.int64))
-        starts.append(start.astype(np.int64))
-        of.append(segment.astype(np.int64) + known)
-        known += len(anchor)
-    anchor, length, words = np.concatenate(anchors_), np.concatenate(lengths), np.concatenate(sequences)
-    key, start, of = np.concatenate(keys), np.concatenate(starts), np.concatenate(of)
-    # segments with one anchor that occur once, in one blob, repeat nothing
+    parts = [_unpacked(blob, 7) for blob in blobs]
+    known = np.cumsum([0, *(len(p[0]) for p in parts)])
+    anchor, length = np.concatenate([p[0] for p in parts]), np.concatenate([p[1].astype(np.int64) for p in parts])
+    key, start = np.concatenate([p[4].view(np.int64) for p in parts]), np.concatenate([p[5].astype(np.int64) for p in parts])
+    of = np.concatenate([p[6].astype(np.int64) + k for p, k in zip(parts, known)])
+    # segments whose anchor occurs once repeat nothing: their words aren't even looked at
     _, inverse, uses = np.unique(anchor[of], return_inverse=True, return_counts=True)
     keep = uses[inverse] > 1
     key, start, of = key[keep], start[keep], of[keep]
     if not len(key):
         return key, start, start
+    wanted = np.zeros(len(anchor), bool)
+    wanted[of] = True
+    vocabulary: dict[bytes, int] = defaultdict(lambda: len(vocabulary))
+    sequences = []
+    for (_, lengths, spelled, local, *_), k in zip(parts, known):
+        own, long = wanted[k : k + len(lengths)], lengths.astype(np.int64)
+        numbers, inverse = np.unique(local[ranges((np.cumsum(long) - long)[own], long[own])], return_inverse=True)
+        spelt = spelled.tobytes().split(b" ")
+        sequences.append(np.array([vocabulary[spelt[n]] for n in numbers.tolist()], np.int64)[inverse])
+    length = np.where(wanted, length, 0)
+    words = np.concatenate(sequences)
     # the text: every segment still in use, in the order of its first place
     order = np.lexsort((start, key))
     key, start, of = key[order], start[order], of[order]
@@ -390,11 +391,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     ordered by doc_id (null first) and text; of equal rows all but one lose their windows.
     """
     keyed = with_key(docs, ["doc_id", "text"])
-    found = staged(repeated_ranges(keyed.select("_key", "text")), "ranges")
-    per_text = found.groupBy("_key").agg(F.collect_list("first").alias("first"), F.collect_list("stop").alias("stop"))
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:  # else texts are shuffled
-        per_text = F.broadcast(per_text)
-    joined = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_key", F.col("text").cast("binary").alias("text")).join(per_text, "_key", "left")
+    found = repeated_ranges(keyed.select("_key", "text")).groupBy("_key").agg(
+        F.collect_list("first").alias("first"), F.collect_list("stop").alias("stop"))
+    joined = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "_key", F.col("text").cast("binary").alias("text")).join(found, "_key", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
