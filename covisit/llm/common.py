@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import covisit
 from covisit.session import Staged
 
 #: ASCII white space: words are the runs between it. ``bytes.split()`` splits on the same six.
@@ -18,7 +22,7 @@ SPACE = " \t\n\x0b\x0c\r"
 #: A side of at most this many rows of at most about 100 bytes may be broadcast (64 MB).
 BROADCAST_ROWS = 500_000
 #: Words that a task's vocabulary holds before it starts anew.
-VOCABULARY = 1_000_000
+VOCABULARY = 500_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -27,6 +31,22 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return Staged(df, label).frame
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their workers can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        root = Path(covisit.__file__).parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="covisit-")) / "covisit.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted((root / "covisit").rglob("*.py")):
+                out.write(file, file.relative_to(root))
+        context.addPyFile(str(archive))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

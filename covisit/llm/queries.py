@@ -17,6 +17,7 @@ from covisit.llm import pii as op1
 from covisit.llm import quality as op9
 from covisit.llm import substring_dedup as op6
 from covisit.llm import token_files as op5
+from covisit.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,7 @@ CONFLICT = f"{op4.END}{op4.START}assistant ok"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
