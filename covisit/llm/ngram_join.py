@@ -21,10 +21,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covisit.llm.common import VOCABULARY, Vocabulary, bounded_join, columns, gram_hashes, mixed, numbered, slices, staged, with_key
+from covisit.llm.common import VOCABULARY, Vocabulary, bounded_join, columns, gram_hashes, mixed, numbered, ranges, slices, staged, with_key
 from covisit.llm.graph import components
 
 SHINGLE, PERCENT = 4, 85
@@ -32,8 +33,9 @@ SHINGLE, PERCENT = 4, 85
 LIGHT_MOST = 20
 #: Of a heavy set's shingles, the share that is compared in the end, in rows of a list.
 COMPARED = 0.25
-#: A shingle is frequent if some 4 MB of text has it in so many of their documents; so many at most are kept.
-FREQUENT, FREQUENT_MOST = 8, 1_000_000
+#: A shingle is frequent if so many different sets among some million shingles in a row have it; the most
+#: frequent ones are kept, so many at most.
+FREQUENT, FREQUENT_MOST, COUNTED = 3, 4_000_000, 4_000_000
 _BYTES = 4_000_000
 _FLAG = np.uint64(1 << 63)
 
@@ -81,11 +83,19 @@ def frequent_shingles(keyed: DataFrame) -> np.ndarray:
     """Sorted hashes of shingles that many documents have. They order lists only: no result depends on them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, np.ndarray] = {}  # copies of a set count once
         for _, sets in _sets(batches):
-            if sets:
-                values, many = np.unique(np.concatenate(sets), return_counts=True)
-                often = many >= FREQUENT
-                yield pa.RecordBatch.from_pydict({"token": pa.array(values[often].astype(np.int64)), "n": pa.array(many[often])})
+            held.update((xxhash.xxh3_128_digest(x), x) for x in sets)
+            if sum(map(len, held.values())) >= COUNTED:
+                yield counts(held)
+                held = {}
+        if held:
+            yield counts(held)
+
+    def counts(held: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        values, many = np.unique(np.concatenate(list(held.values())), return_counts=True)
+        often = many >= FREQUENT
+        return pa.RecordBatch.from_pydict({"token": pa.array(values[often].astype(np.int64)), "n": pa.array(many[often])})
 
     counted = _texts(keyed).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = staged(counted, "frequent")
@@ -96,7 +106,7 @@ def frequent_shingles(keyed: DataFrame) -> np.ndarray:
         if left < 0:
             break
         power = row["power"]
-    rows = counted.where(F.col("n") >= F.lit(2.0) ** power).select("token").toPandas()["token"].to_numpy()
+    rows = counted.where(F.col("n") >= F.lit(2.0) ** power).select("token").toArrow()["token"].to_numpy()
     return np.sort(rows.astype(np.uint64))
 
 
@@ -165,7 +175,8 @@ def light_links(sets: DataFrame, limit: int) -> DataFrame:
 
 
 def heavy_lists(sets: DataFrame, limit: int) -> DataFrame:
-    """token, b, n, a: lists of two sets and more; ``a`` is the smallest set there that may link to ``b``, or b itself."""
+    """token, b, n, place, a: lists of two sets and more. ``place`` is the token's among the set's in the common
+    order, ``a`` the smallest set of the list that may link to ``b``, or b itself."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,15 +185,16 @@ def heavy_lists(sets: DataFrame, limit: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "token": pa.array((np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)).astype(np.int64)),
                 "b": pa.array(np.repeat(batch.column("_key").to_numpy(zero_copy_only=False), many), pa.int64()),
-                "n": pa.array(np.repeat(batch.column("n").to_numpy(zero_copy_only=False), many), pa.int64())})
+                "n": pa.array(np.repeat(batch.column("n").to_numpy(zero_copy_only=False), many), pa.int64()),
+                "place": pa.array(ranges(np.zeros(len(many), np.int64), np.array(many, np.int64)), pa.int64())})
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, b, n = columns(batches, ["token", "b", "n"])
+        token, b, n, place = columns(batches, ["token", "b", "n", "place"])
         order = np.lexsort((b, n, token))
-        token, b, n = token[order], b[order], n[order]
+        token, b, n, place = token[order], b[order], n[order], place[order]
         new = np.concatenate([[True], np.diff(token) != 0])[: len(token)]
         alone = new & np.concatenate([new[1:], [True]])[: len(token)]
-        token, b, n = token[~alone], b[~alone], n[~alone]
+        token, b, n, place = token[~alone], b[~alone], n[~alone], place[~alone]
         heads = np.nonzero(np.concatenate([[True], np.diff(token) != 0])[: len(token)])[0]
         a = b.copy()
         for start, stop in zip(heads, np.append(heads[1:], len(token))):
@@ -192,20 +204,25 @@ def heavy_lists(sets: DataFrame, limit: int) -> DataFrame:
                 a[k:end] = b[k]
                 k = max(end, k + 1)
         for k in range(0, len(token), 200_000):
-            yield pa.RecordBatch.from_pydict({c: pa.array(x[k : k + 200_000], pa.int64()) for c, x in (("token", token), ("b", b), ("n", n), ("a", a))})
+            yield pa.RecordBatch.from_pydict({c: pa.array(x[k : k + 200_000], pa.int64()) for c, x in (("token", token), ("b", b), ("n", n), ("place", place), ("a", a))})
 
     source = sets.where(F.col("n") >= least_common(limit + 1)).where("n > 0").select("_key", "n", "first")
-    postings = source.mapInArrow(spread, "token long, b long, n long")
-    return postings.repartition("token").mapInArrow(lists, "token long, b long, n long, a long")
+    postings = source.mapInArrow(spread, "token long, b long, n long, place long")
+    return postings.repartition("token").mapInArrow(lists, "token long, b long, n long, place long, a long")
 
 
 def crossing_pairs(lists: DataFrame) -> DataFrame:
-    """a, b: pairs of a list whose components (column ``component``) differ and whose sizes allow a link."""
+    """a, b: pairs of a list whose components (column ``component``) differ and that may link.
+
+    In the list of the first token that two sets share, all their common ones come from there on; what is
+    left there must be enough. So a pair that links is found in that list.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, b, n, a, part = columns(batches, ["token", "b", "n", "a", "component"])
+        token, b, n, place, a, part = columns(batches, ["token", "b", "n", "place", "a", "component"])
         order = np.lexsort((b, n, token))
         token, b, n, a, part = (x[order] for x in (token, b, n, a, part))
+        left = n - place[order]
         heads = np.nonzero(np.concatenate([[True], np.diff(token) != 0])[: len(token)])[0]
         ones, others, size = [], [], 0
         for start, stop in zip(heads, np.append(heads[1:], len(token))):
@@ -215,6 +232,7 @@ def crossing_pairs(lists: DataFrame) -> DataFrame:
                 end = start + np.searchsorted(n[start:stop], 100 * n[k] // PERCENT, side="right")
                 with_ = np.arange(k + 1, end)
                 with_ = with_[(part[with_] != part[k]) & (a[with_] != b[k])]
+                with_ = with_[linked(np.minimum(left[with_], left[k]), n[with_], n[k])]
                 ones.append(np.full(len(with_), b[k]))
                 others.append(b[with_])
                 size += len(with_)
