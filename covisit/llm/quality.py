@@ -17,18 +17,18 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Limits. A line is boilerplate of a host if at least ``line_docs`` of its documents, a share of
-    ``line_share`` of them, have it, among them families as many as ``family_share`` of these.
+    """Limits. A line is boilerplate of a host if at least ``line_docs`` of its documents, and either a share of
+    ``line_share`` of them or ``hot_docs``, have it.
 
-    A document's family beside a line is its smallest other line hash: copies of one text are one
-    family, so text that is common because it was copied isn't boilerplate.
+    Documents whose lines are all alike, in order, count once: text that is common because it was copied
+    isn't boilerplate. Documents without a line don't count.
     """
 
     min_words: int = 10
     repeat_percent: int = 20
     line_docs: int = 10
     line_share: float = 0.02
-    family_share: float = 0.5
+    hot_docs: int = 1000
     min_left_words: int = 10
     min_left_share: float = 0.1
 
@@ -94,31 +94,27 @@ def normalised_lines(text: Column) -> Column:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, host, its lines that have a word, each once: hash, words in all its places, and family."""
+    """doc_id, host, copies (a hash of all its lines in order), and its lines that have a word: hash and words."""
     lines = F.filter(normalised_lines(F.coalesce("text", F.lit(""))), lambda x: x != "")
     hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(_words(x)).alias("words")))
-    rows = docs.select("doc_id", F.col("source").alias("host"), hashed.alias("all")).withColumn(
-        "least", F.slice(F.array_sort(F.array_distinct(F.col("all.line"))), 1, 2))
-    rows = rows.select("doc_id", "host", "least", F.inline("all"))
-    rows = rows.withColumn("family", F.when(F.get("least", F.lit(0)) != F.col("line"), F.get("least", F.lit(0)))
-                           .otherwise(F.get("least", F.lit(1))))
-    return rows.drop("least")
+    rows = docs.select("doc_id", F.col("source").alias("host"), hashed.alias("all"))
+    return rows.withColumn("copies", F.xxhash64("all.line")).select("doc_id", "host", "copies", F.inline("all"))
 
 
-def boilerplate_lines(lines: DataFrame, docs: DataFrame, rules: QualityRules) -> DataFrame:
+def boilerplate_lines(lines: DataFrame, rules: QualityRules) -> DataFrame:
     """host, line of the lines that are above the limits. Counts cover all documents of all hosts."""
-    hosts = docs.groupBy(F.col("source").alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
-    per_family = lines.groupBy("host", "line", "family").agg(F.countDistinct("doc_id").alias("docs"))
-    per_line = per_family.groupBy("host", "line").agg(F.sum("docs").alias("docs"), F.count(F.lit(1)).alias("families"))
-    often = per_line.where((F.col("docs") >= rules.line_docs) & (F.col("families") >= rules.family_share * F.col("docs")))
+    hosts = lines.select("host", "copies").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
+    per_line = lines.select("host", "line", "copies").distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
+    often = per_line.where(F.col("docs") >= rules.line_docs)
     often = often.join(hosts, often["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-    return often.where(F.col("docs") >= rules.line_share * F.col("host_docs")).select("host", "line")
+    above = (F.col("docs") >= rules.line_share * F.col("host_docs")) | (F.col("docs") >= rules.hot_docs)
+    return often.where(above).select("host", "line")
 
 
 def line_verdicts(docs: DataFrame, rules: QualityRules) -> DataFrame:
     """doc_id, removed_words, removed (line hashes) of the documents that have lines above the limits."""
     lines = staged(document_lines(docs), "lines")
-    common = staged(boilerplate_lines(lines, docs, rules), "boilerplate")
+    common = staged(boilerplate_lines(lines, rules), "boilerplate")
     common = common.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
     found = lines.join(common, (lines["line"] == common["_line"]) & lines["host"].eqNullSafe(common["_host"]))
     return found.groupBy("doc_id").agg(F.sum("words").alias("removed_words"), F.collect_set("line").alias("removed"))

@@ -67,6 +67,36 @@ def test_boilerplate_lines_and_depleted_documents(spark):
     assert kept[45]["text"] == rows[45]["text"]
 
 
+def repeated_on(pages, fixed, own):
+    return ["\n".join([f"fixed line {k} of the host" for k in range(fixed)] + [f"own line {k} of page {p}" for k in range(own)]) for p in range(pages)]
+
+
+@pytest.mark.parametrize("fixed, own", [(10, 5), (10, 10), (5, 3), (3, 2)])
+def test_many_boilerplate_lines_do_not_hide_each_other(spark, fixed, own):
+    rules = quality.QualityRules(min_words=3, repeat_percent=100)
+    found = quality.quality(frame(spark, documents(repeated_on(60, fixed, own))), rules).collect()
+    assert {r["removed_words"] for r in found} == {6 * fixed}
+
+
+def test_wholly_boilerplate_documents_go_and_copies_do_not_make_boilerplate(spark):
+    import random
+
+    rng, lines = random.Random(3), [f"fixed line {k} of the host" for k in range(20)]
+    whole = ["\n".join(rng.sample(lines, 12)) for _ in range(40)]
+    copies = ["A text that is copied \nword by word"] * 20 + ["a text that is copied\n\nword by word"] * 20
+    rules = quality.QualityRules(min_words=3, repeat_percent=100)
+    found = {r["doc_id"]: r for r in quality.quality(frame(spark, documents(whole + copies)), rules).collect()}
+    assert all(found[k]["removed_words"] == 72 and not found[k]["kept"] for k in range(40))
+    assert all(found[k]["removed_words"] == 0 and found[k]["kept"] for k in range(40, 80))
+
+
+def test_an_absolute_limit_suffices_on_a_hot_host(spark):
+    texts = repeated_on(30, 2, 3) + [f"a page of its own number {k}" for k in range(2000)]
+    for hot, removed in ((30, 12), (31, 0)):
+        rules = quality.QualityRules(min_words=3, repeat_percent=100, hot_docs=hot)
+        assert quality.quality(frame(spark, documents(texts)), rules).where("doc_id = 7").first()["removed_words"] == removed
+
+
 def test_quality_of_odd_tables(spark):
     assert quality.quality(frame(spark, [])).count() == 0
     rows = [{"doc_id": None, "text": None, "source": None}, {"doc_id": 1, "text": "a", "source": None}, {"doc_id": 1, "text": "a", "source": None}]
