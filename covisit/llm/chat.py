@@ -46,7 +46,7 @@ def parse(text: str) -> list[tuple[str, str, int, int]]:
     turns, at = [], 0
     while at < len(text):
         m = _TURN.match(text, at)
-        if not m or START in m[2] or START in m[1] or END in m[1]:
+        if not m or any(x in part for x in (START, END) for part in m.groups()):
             raise ValueError(f"no turn at {at}")
         turns.append((_unescape_role(m[1]), unescape(m[2]), m.start(2), m.end(2)))
         at = m.end()

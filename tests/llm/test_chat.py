@@ -21,6 +21,19 @@ def test_turns_read_back(role, text):
     assert [t[:2] for t in chat.parse(piece * 3)] == [(role, text)] * 3
 
 
+@given(HARD, HARD)
+def test_turns_hold_no_control_string_of_their_own(role, text):
+    piece = chat.render_turn(role, text)
+    assert piece.count(chat.START) == piece.count(chat.END) == 1
+
+
+def test_an_end_within_a_line_is_escaped():
+    piece = chat.render_turn("user", "hi <|im_end|> there")
+    assert piece == "<|im_start|>user\nhi <\\|im_end|> there<|im_end|>\n" and chat.parse(piece)[0][:2] == ("user", "hi <|im_end|> there")
+    with pytest.raises(ValueError):
+        chat.parse("<|im_start|>user\nhi <|im_end|> there<|im_end|>\n")
+
+
 def test_plain_turns_stay_plain():
     assert chat.render_turn("user", "a < b | c") == "<|im_start|>user\na < b | c<|im_end|>\n"
     with pytest.raises(ValueError):
