@@ -1,7 +1,7 @@
 """Token ids in files of independent zstandard frames.
 
 A file is one frame for each document (its ids as little-endian unsigned integers), a frame with the
-directory (doc ids, then counts of ids, 64 bits each), and a skippable frame with the seek table:
+directory (doc ids, counts of ids, then 1 where a doc id is null, 64 bits each), and a skippable frame with the seek table:
 for each frame its compressed and decompressed size and the low 32 bits of the XXH64 of its content.
 Readers find a document by the directory and decompress its frame alone. Any zstandard decoder
 reads the frames; the seek table is laid out as in zstandard's seekable format.
@@ -39,10 +39,10 @@ def _checksum(content: bytes) -> int:
     return xxhash.xxh64_intdigest(content) & 0xFFFFFFFF
 
 
-def encode_file(documents: Iterable[tuple[int, np.ndarray]], item: str = "<u2") -> bytes:
+def encode_file(documents: Iterable[tuple[int | None, np.ndarray]], item: str = "<u2") -> bytes:
     """One file of (doc id, ids) pairs. ``item``: the unsigned type that holds every id."""
     packer = zstandard.ZstdCompressor(level=LEVEL)
-    frames, table, names, counts = [], [], [], []
+    frames, table, names, counts, nulls = [], [], [], [], []
 
     def add(content: bytes) -> None:
         frames.append(packer.compress(content))
@@ -50,9 +50,10 @@ def encode_file(documents: Iterable[tuple[int, np.ndarray]], item: str = "<u2")
 
     for name, ids in documents:
         add(ids.astype(item).tobytes())
-        names.append(name)
+        names.append(0 if name is None else name)
         counts.append(len(ids))
-    add(np.array([np.dtype(item).itemsize, *names, *counts], "<i8").tobytes())
+        nulls.append(name is None)
+    add(np.array([np.dtype(item).itemsize, *names, *counts, *nulls], "<i8").tobytes())
     entries = b"".join(table)
     foot = struct.pack("<IBI", len(table), _CHECKSUMS, _SEEKABLE)
     return b"".join([*frames, struct.pack("<II", _SKIPPABLE, len(entries) + len(foot)), entries, foot])
@@ -71,7 +72,8 @@ class FileReader:
         self._unpacker = zstandard.ZstdDecompressor()
         directory = np.frombuffer(self._frame(frames - 1), "<i8")
         self._item = f"<u{directory[0]}"
-        self.doc_ids, self.counts = directory[1:frames], directory[frames:]
+        self.doc_ids, self.counts, nulls = directory[1:].reshape(3, frames - 1)
+        self.nulls = nulls.astype(bool)
 
     def _frame(self, k: int) -> bytes:
         packed, size, checksum = (int(x) for x in self._table[k])
@@ -84,9 +86,13 @@ class FileReader:
         return np.frombuffer(self._frame(k), self._item)
 
     def documents(self, doc_ids: Iterable[int]) -> dict[int, np.ndarray]:
-        """The ids of those documents that the file has; only their frames are decompressed."""
-        places = {int(d): k for k, d in enumerate(self.doc_ids)}
-        return {d: self.at(places[d]) for d in doc_ids if d in places}
+        """The ids of those documents that the file has, of a repeated doc id the first; only their frames are decompressed."""
+        places = {d: self.places(d) for d in doc_ids}
+        return {d: self.at(own[0]) for d, own in places.items() if len(own)}
+
+    def places(self, doc_id: int | None) -> np.ndarray:
+        """All places of a doc id, None for null."""
+        return np.nonzero(self.nulls if doc_id is None else ~self.nulls & (self.doc_ids == doc_id))[0]
 
 
 def save(content: bytes, path: str) -> None:
@@ -97,10 +103,10 @@ def save(content: bytes, path: str) -> None:
 def token_files(docs: DataFrame, tokenizer: str = WORD, end: int = 2, file_ids: int = FILE_IDS) -> DataFrame:
     """Files (part, file, documents, ids, content) with all documents, in ascending doc_id order.
 
-    Null texts are empty: their document is the end id alone. Null or repeated doc_ids: the file holds
-    a running key in place of doc_id, see ``common.with_key``. An empty table gives no file.
+    Null texts are empty: their document is the end id alone. Rows with null or repeated doc_ids are
+    documents of their own, ordered by doc_id (null first) and text. An empty table gives no file.
     """
-    keyed = with_key(docs, ["doc_id", "text"]).select("_key", "text")
+    keyed = with_key(docs, ["doc_id", "text"]).select("_key", F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = shuffle_partitions(docs.sparkSession)
     ordered = keyed.repartitionByRange(parts, "_key").sortWithinPartitions("_key").withColumn("part", F.spark_partition_id())
 
@@ -113,9 +119,9 @@ def token_files(docs: DataFrame, tokenizer: str = WORD, end: int = 2, file_ids:
 
         for batch in (x for batch in batches for x in slices(batch, _BYTES)):
             part = batch.column("part")[0].as_py()
-            keys = batch.column("_key").to_pylist()
-            for key, ids in zip(keys, pieces.encode(batch.column("text").to_pylist(), end)):
-                kept.append((key, ids))
+            names = batch.column("doc_id").to_pylist()
+            for name, ids in zip(names, pieces.encode(batch.column("text").to_pylist(), end)):
+                kept.append((name, ids))
                 size += len(ids)
                 if size >= file_ids:
                     yield closed()
@@ -137,7 +143,7 @@ def with_starts(files: DataFrame) -> DataFrame:
 
 
 def read_files(files: DataFrame) -> DataFrame:
-    """Key, start, n_tokens and ids (little-endian unsigned 32-bit) of every document in ``files``."""
+    """doc_id, start, n_tokens and ids (little-endian unsigned 32-bit) of every document in ``files``."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,13 +153,13 @@ def read_files(files: DataFrame) -> DataFrame:
                 for a in range(0, len(starts), 500):
                     b = min(a + 500, len(starts))
                     yield pa.RecordBatch.from_pydict({
-                        "_key": reader.doc_ids[a:b], "start": starts[a:b], "n_tokens": reader.counts[a:b],
+                        "doc_id": pa.array(reader.doc_ids[a:b], mask=reader.nulls[a:b]), "start": starts[a:b], "n_tokens": reader.counts[a:b],
                         "ids": [reader.at(k).astype("<u4").tobytes() for k in range(a, b)]})
 
-    return files.select("start", "content").mapInArrow(read, "_key long, start long, n_tokens long, ids binary")
+    return files.select("start", "content").mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_ids(docs: DataFrame, tokenizer: str = WORD, end: int = 2) -> DataFrame:
     """doc_id, start, n_tokens, ids of all documents, written to files in the shared folder and read from them."""
     files = staged(token_files(docs, tokenizer, end), "tokens")
-    return read_files(with_starts(files)).withColumnRenamed("_key", "doc_id")
+    return read_files(with_starts(files))

@@ -64,6 +64,17 @@ def test_files_of_odd_tables(spark):
     assert [r["n_tokens"] for r in found] == [2, 1, 1, 3, 3] and [r["start"] for r in found] == [0, 2, 3, 4, 7]
 
 
+def test_files_keep_null_and_repeated_doc_ids(spark):
+    rows = documents(["a b", "a", "c", "d"])
+    for r, d in zip(rows, (700, 700, None, -3)):
+        r["doc_id"] = d
+    found = token_files.token_ids(frame(spark, rows)).orderBy("start").collect()
+    assert [(r["doc_id"], r["n_tokens"]) for r in found] == [(None, 2), (-3, 2), (700, 2), (700, 3)]
+    files = token_files.token_files(frame(spark, rows).coalesce(1)).collect()
+    readers = [token_files.FileReader(bytes(f["content"])) for f in files]
+    assert [sum(len(x.places(d)) for x in readers) for d in (None, 700, -3, 0)] == [1, 2, 1, 0]
+
+
 def test_cuts_fill_classes():
     for n in range(1, 3 * packing.CAPACITY):
         cut = packing.cuts(n)
