@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covisit.llm import centroid_clustering as op12
 from covisit.llm import chat as op4
 from covisit.llm import decontamination as op10
 from covisit.llm import fill_in_middle as op13
@@ -18,6 +19,7 @@ from covisit.llm import pii as op1
 from covisit.llm import quality as op9
 from covisit.llm import substring_dedup as op6
 from covisit.llm import token_files as op5
+from covisit.llm import toxicity as op11
 from covisit.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +92,14 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "item_id", F.round("score", 6).alias("score"), "question_share", "answer_share")
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.clustered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = op13.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -112,6 +122,8 @@ QUERIES: dict[str, Query] = {
     "op8_packing": packing,
     "op9_quality_rules": quality_rules,
     "op10_decontamination": decontamination,
+    "op11_toxicity": toxicity,
+    "op12_centroid_clustering": centroid_clustering,
     "op13_fill_in_middle": fill_in_middle,
 }
 
