@@ -6,6 +6,7 @@ same names to SQL over the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,14 @@ from covisit.operators.pairing import W2_BITS, W2_LOW, W_BITS, W_LOW, item_pairs
 from covisit.operators.profile import table_profile
 from covisit.operators.ranking import latest_version
 from covisit.plans import reports
+from covisit.plans.bounded import BoundedSimilarity
 from covisit.plans.click_window import latest_clicks
 from covisit.plans.graph import graph_edges, graph_vertices, similar_items, vertex_lookup
+from covisit.plans.incremental import Advance, SimilarityStore
 from covisit.plans.ingest import ingest_actions
 from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
 from covisit.schemas import ACTION, olap_copy
+from covisit.session import shared_dir
 
 try:  # the subpackage and the pipeline may be absent
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
@@ -46,6 +50,9 @@ USER, ITEM = 12, 58
 IDS = (7, 42, 58)
 DAY, FROM, TO = "20240115", "20240123", "20240130"
 MIN_SCORE = 0.001
+DAY_BEFORE = "20240129"
+LAST_ORDERS = "2001-07-25"
+STORE_BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +70,33 @@ def _staged_similarity(spark: SparkSession, d: str) -> DataFrame:
     return StagedSimilarity(fx.basket(spark, d), top_k=TOP).__enter__()
 
 
+def _new_folder(spark: SparkSession, label: str) -> str:
+    """A folder for what a query stores. It stays, as the query's frame is read later."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _advanced(spark: SparkSession, *windows: DataFrame) -> tuple[SimilarityStore, Advance]:
+    """A store taken from window to window, and what the last step did."""
+    store = SimilarityStore(spark, _new_folder(spark, "similarity"), buckets=STORE_BUCKETS)
+    return store, [store.advance(window) for window in windows][-1]
+
+
+def _basket_windows(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All orders but those of the last days, then all."""
+    basket = fx.basket(spark, d)
+    return basket.where(F.col("action_ts") < F.lit(LAST_ORDERS).cast("timestamp")), basket
+
+
+def _similarity_after_day(spark: SparkSession, d: str) -> DataFrame:
+    action = fx.action(spark, d)
+    return _advanced(spark, latest_clicks(action, DAY_BEFORE), latest_clicks(action, fx.LAST_DAY))[0].similarity(TOP)
+
+
+def _advance_counts(spark: SparkSession, d: str) -> DataFrame:
+    done = _advanced(spark, *_basket_windows(spark, d))[1]
+    return spark.createDataFrame([(done.users_changed, done.pairs_made)], "users_changed bigint, pairs_made bigint")
+
+
 def _twice(similarity: DataFrame) -> DataFrame:
     """Every pair a second time, with a lower score."""
     return similarity.unionByName(similarity.withColumn("score", F.col("score") / 2))
@@ -115,6 +149,13 @@ def queries() -> dict[str, Query]:
         "item_similarity_symmetric_basket": lambda s, d: item_similarity(
             fx.basket(s, d), top_k=TOP, symmetric=True
         ),
+        "item_similarity_after_day": _similarity_after_day,
+        "item_similarity_after_day_basket": lambda s, d: _advanced(s, *_basket_windows(s, d))[0].similarity(TOP),
+        "similarity_advance_counts": _advance_counts,
+        "item_similarity_bounded": lambda s, d: BoundedSimilarity(fx.basket(s, d), top_k=TOP).__enter__(),
+        "item_similarity_bounded_skewed": lambda s, d: BoundedSimilarity(
+            fx.skewed_basket(s, d), top_k=TOP, symmetric=True
+        ).__enter__(),
         "user_cap_losses": lambda s, d: cap_losses(fx.basket(s, d), SMALL_CAP),
         "item_similarity_symmetric": lambda s, d: item_similarity(
             _clicks(s, d), top_k=TOP, symmetric=True
@@ -247,6 +288,14 @@ raw AS (
 scores AS (SELECT item_i, item_j, {_significant('x', 9)} AS score FROM raw)"""
 
 
+def _item_lists(source: str) -> str:
+    return f"""
+      SELECT user_id, list_sort(list(DISTINCT creation_id)) AS items, count(DISTINCT creation_id) AS d FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY action_ts DESC, creation_id) AS rn
+        FROM (SELECT DISTINCT user_id, creation_id, action_ts FROM {source}))
+      WHERE rn <= {CAP} GROUP BY user_id"""
+
+
 def _exact(column: str, bits: int, low: int) -> str:
     whole = f"CAST(round_even({column} * CAST({2**bits} AS DOUBLE), 0) AS BIGINT)"
     return (f"(CAST(sum({whole} >> {low}) AS DOUBLE) * CAST({2**low} AS DOUBLE) + CAST(sum({whole} & {2**low - 1}) AS DOUBLE))"
@@ -306,6 +355,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM basket UNION ALL
             SELECT o_custkey, -i, o_orderdate FROM orders, range(1, {fx.HOT_ITEMS + 1}) r(i))
             {_scores('skewed')} {_top()}""",
+        "item_similarity_after_day": f"WITH {_CLICKS}{_scores('clicks')} {_top()}",
+        "item_similarity_after_day_basket": f"WITH {_BASKET}{_scores('basket')} {_top()}",
+        "similarity_advance_counts": f"""WITH {_BASKET},
+            earlier AS (SELECT * FROM basket WHERE action_ts < TIMESTAMP '{LAST_ORDERS}'),
+            now AS ({_item_lists('basket')}), was AS ({_item_lists('earlier')})
+            SELECT count(*) AS users_changed,
+                   CAST(coalesce(sum(coalesce(now.d * (now.d - 1) // 2, 0) + coalesce(was.d * (was.d - 1) // 2, 0)), 0) AS BIGINT) AS pairs_made
+            FROM now FULL JOIN was ON now.user_id = was.user_id WHERE now.items IS DISTINCT FROM was.items""",
+        "item_similarity_bounded": f"WITH {_BASKET}{_scores('basket')} {_top()}",
+        "item_similarity_bounded_skewed": f"""WITH {_BASKET}, skewed AS (
+            SELECT * FROM basket UNION ALL
+            SELECT o_custkey, -i, o_orderdate FROM orders, range(1, {fx.HOT_ITEMS + 1}) r(i))
+            {_scores('skewed')},
+            mirrored AS (
+              SELECT item_i, item_j, score FROM scores
+              UNION ALL SELECT item_j, item_i, score FROM scores)
+            {_top('mirrored')}""",
         "item_similarity_symmetric_basket": f"""WITH {_BASKET}{_scores('basket')},
             mirrored AS (
               SELECT item_i, item_j, score FROM scores

@@ -141,12 +141,18 @@ W2_BITS, W2_LOW = 60, 30
 # -------------------------------------------------------------------------------------------
 
 
-def _halves(value: Column, bits: int, low: int, name: str) -> list[Column]:
+#: What is summed per pair: common users, and the halves of the sums of weights and of their squares.
+SUMS = ("n", "w_high", "w_low", "w2_high", "w2_low")
+
+
+def _halves(value: Column, bits: int, low: int, name: str) -> dict[str, Column]:
     whole = F.rint(value * F.lit(float(2**bits))).cast("bigint")
-    return [
-        F.sum(F.shiftright(whole, low)).alias(f"{name}_high"),
-        F.sum(whole.bitwiseAND(2**low - 1)).alias(f"{name}_low"),
-    ]
+    return {f"{name}_high": F.shiftright(whole, low), f"{name}_low": whole.bitwiseAND(2**low - 1)}
+
+
+def _parts() -> dict[str, Column]:
+    """What one common user adds to ``SUMS``, but for ``n``."""
+    return {**_halves(F.col("w"), W_BITS, W_LOW, "w"), **_halves(F.col("w2"), W2_BITS, W2_LOW, "w2")}
 
 
 def _joined(bits: int, low: int, name: str) -> Column:
@@ -154,37 +160,62 @@ def _joined(bits: int, low: int, name: str) -> Column:
     return (high * F.lit(float(2**low)) + rest) / F.lit(float(2**bits))
 
 
-def significant(value: Column, digits: int) -> Column:
-    """``value`` (not negative) rounded half-even to ``digits`` significant digits."""
-    rounded = None
-    for power in range(12, -25, -1):
-        unit = F.lit(float(f"1e{digits - 1 - power}"))
-        step = F.rint(value * unit) / unit
-        if rounded is None:
-            rounded = F.when(value >= F.lit(float(f"1e{power}")), step)
-        else:
-            rounded = rounded.when(value >= F.lit(float(f"1e{power}")), step)
-    return rounded.otherwise(F.lit(0.0))
+# powers of ten that `significant` tells apart
+_LEAST_POWER, _MOST_POWER = -24, 12
 
 
-def pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
-    """``item_i, item_j, score``, rounded half-even to ``digits`` significant digits.
+def significant(value: Column, digits: int) -> Column:
+    """``value`` (not negative) rounded half-even to ``digits`` significant digits; below 1e-24 it is 0.
 
-    Weights are below 1 (a pair needs two items) and are summed as whole numbers of a fixed unit,
-    so a score is the same for every partitioning and physical form. One common user scores
-    exactly 0. Sums combine within each task before the shuffle, so a hot pair never travels as
-    rows, and pairs of a hot item go to different tasks.
+    The logarithm finds the power of ten, one comparison each way corrects it at the edges.
     """
+    powers = range(_LEAST_POWER, _MOST_POWER + 1)
+    floors = F.array(*(F.lit(float(f"1e{p}")) for p in powers))
+    units = F.array(*(F.lit(float(f"1e{digits - 1 - p}")) for p in powers))
+    last = len(powers) - 1
+    near = F.least(F.greatest(F.floor(F.log10(value)).cast("int") - _LEAST_POWER, F.lit(0)), F.lit(last))
+    up, down = F.least(near + 1, F.lit(last)), F.greatest(near - 1, F.lit(0))
+    place = F.when(value >= F.get(floors, up), up).when(value < F.get(floors, near), down).otherwise(near)
+    unit = F.get(units, place)
+    return F.when(value >= F.lit(float(f"1e{_LEAST_POWER}")), F.rint(value * unit) / unit).otherwise(F.lit(0.0))
+
+
+def pair_sums(pairs: DataFrame) -> DataFrame:
+    """``item_i, item_j`` and the columns ``SUMS``: whole numbers, so that sums of sums are exact, taking away included.
+
+    Weights are below 1 (a pair needs two items) and are summed in a fixed unit. Sums combine within each task before
+    the shuffle, so a hot pair never travels as rows, and pairs of a hot item go to different tasks. A column
+    ``sign`` (1 or -1), if there is one, says which pairs are added and which taken out.
+    """
+    sign = F.col("sign") if "sign" in pairs.columns else None
+    n = F.count(F.lit(1)) if sign is None else F.sum(sign).cast("bigint")
+    sums = (F.sum(part if sign is None else sign * part).alias(name) for name, part in _parts().items())
+    return pairs.groupBy("item_i", "item_j").agg(n.alias("n"), *sums)
+
+
+def single_sums(pairs: DataFrame) -> DataFrame:
+    """Each pair of each user as a row of ``SUMS``, to be added to others."""
+    return pairs.select("item_i", "item_j", F.lit(1).cast("bigint").alias("n"), *(part.alias(name) for name, part in _parts().items()))
+
+
+def raw_score() -> Column:
+    """The score behind the columns ``SUMS``, not rounded. One common user scores exactly 0."""
     one, two = _joined(W_BITS, W_LOW, "w"), _joined(W2_BITS, W2_LOW, "w2")
-    score = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(F.greatest(one * one - two, F.lit(0.0)))
-    sums = pairs.groupBy("item_i", "item_j").agg(
-        F.count(F.lit(1)).alias("n"), *_halves(F.col("w"), W_BITS, W_LOW, "w"), *_halves(F.col("w2"), W2_BITS, W2_LOW, "w2")
-    )
-    return sums.select("item_i", "item_j", score.alias("score")).select(
+    return F.when(F.col("n") <= 1, F.lit(0.0)).otherwise(F.greatest(one * one - two, F.lit(0.0)))
+
+
+def scores_of_sums(sums: DataFrame, digits: int) -> DataFrame:
+    """``item_i, item_j, score``, rounded half-even to ``digits`` significant digits."""
+    return sums.select("item_i", "item_j", raw_score().alias("score")).select(
         "item_i", "item_j", significant(F.col("score"), digits).alias("score")
     )
 
 
+def pair_scores(pairs: DataFrame, digits: int) -> DataFrame:
+    """``item_i, item_j, score`` of all pairs: the same for every partitioning and physical form."""
+    return scores_of_sums(pair_sums(pairs), digits)
+
+
 def both_directions(scores: DataFrame) -> DataFrame:
     """Every pair under each of its two items."""
     i, j = F.col("item_i"), F.col("item_j")

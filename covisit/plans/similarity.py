@@ -47,9 +47,10 @@ def cap_losses(interactions: DataFrame, user_cap: int = USER_CAP) -> DataFrame:
     return cut_by_cap(distinct_events(interactions, ["user_id", "creation_id", "action_ts"]), user_cap)
 
 
-def _neighbours(
-    scores: DataFrame, top_k: int, symmetric: bool, min_score: float | None
+def neighbours(
+    scores: DataFrame, top_k: int, symmetric: bool = False, min_score: float | None = None
 ) -> DataFrame:
+    """The ``top_k`` best of each item's scored pairs, in the columns of the similarity table."""
     if min_score is not None:
         scores = scores.where(scores["score"] >= min_score)
     if symmetric:
@@ -99,7 +100,7 @@ def item_similarity(
         scores = pair_scores(uncapped_pairs(events, alpha), score_digits)
     else:
         scores = scores_from_sets(user_sets(interactions, alpha, user_cap), user_cap, score_digits)
-    return _neighbours(scores, top_k, symmetric, min_score)
+    return neighbours(scores, top_k, symmetric, min_score)
 
 
 class StagedSimilarity:
@@ -131,7 +132,7 @@ class StagedSimilarity:
             self.pairs: int = counts.get["pairs"]
             spread = self._staged.frame.repartition(self._senders(), "user_id")
             scores = pair_scores(item_pairs(spread, user_cap), score_digits)
-            self._frame = _neighbours(scores, top_k, symmetric, min_score)
+            self._frame = neighbours(scores, top_k, symmetric, min_score)
         except BaseException:
             self._staged.close()
             raise

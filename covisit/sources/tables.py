@@ -63,14 +63,22 @@ def file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(conf), jvm_path
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     files, target = file_system(spark, path)
     out = files.create(target, True)
     out.write(text.encode())
     out.close()
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that must not exist yet: of two that try, one is refused."""
+    files, target = file_system(spark, path)
+    out = files.create(target, False)
+    out.write(text.encode())
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
     files, source = file_system(spark, path)
     if not files.exists(source):
         return None
@@ -93,8 +101,8 @@ def _root(spark: SparkSession, table: str) -> str:
 
 def _note_schema(spark: SparkSession, table: str, schema: T.StructType, partitioned: bool) -> None:
     path = f"{_root(spark, table)}/{_SCHEMA}"
-    if _read_text(spark, path) is None:
-        _write_text(spark, path, json.dumps({"partitioned": partitioned, "schema": schema.jsonValue()}))
+    if read_text(spark, path) is None:
+        write_text(spark, path, json.dumps({"partitioned": partitioned, "schema": schema.jsonValue()}))
 
 
 def attach(spark: SparkSession, folder: str) -> list[str]:
@@ -113,12 +121,12 @@ def attach(spark: SparkSession, folder: str) -> list[str]:
         ensure_database(spark, name.removesuffix(".db"))
         for entry in files.listStatus(db.getPath()):
             here, table = entry.getPath().toString(), f"{name.removesuffix('.db')}.{entry.getPath().getName()}"
-            noted = _read_text(spark, f"{here}/{_SCHEMA}") if entry.isDirectory() else None
+            noted = read_text(spark, f"{here}/{_SCHEMA}") if entry.isDirectory() else None
             if noted is None or spark.catalog.tableExists(table):
                 continue
             about = json.loads(noted)
             columns = T.StructType.fromJson(about["schema"])
-            current = _read_text(spark, f"{here}/{_CURRENT}")
+            current = read_text(spark, f"{here}/{_CURRENT}")
             spark.sql(
                 f"CREATE TABLE {_quoted(table)} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) USING parquet "
                 + (f"PARTITIONED BY (`{PARTITION}`) " if about["partitioned"] else "")
@@ -214,7 +222,7 @@ def replace_snapshot(df: DataFrame, table: str, schema: T.StructType) -> int:
         files.delete(path, True)
         raise
     spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{root}/{version}'")
-    _write_text(spark, f"{root}/{_CURRENT}", version)
+    write_text(spark, f"{root}/{_CURRENT}", version)
     spark.catalog.refreshTable(table)
     files, path = file_system(spark, root)
     for entry in files.listStatus(path):

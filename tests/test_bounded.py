@@ -1,0 +1,71 @@
+"""Top-K with pairs left out: the rows of a full run, ties included, and fewer pairs summed where items differ in weight."""
+
+import random
+from datetime import datetime
+
+import pytest
+
+from covisit.plans.bounded import BoundedSimilarity
+from covisit.plans.similarity import item_similarity
+
+START = datetime(2024, 1, 1)
+KIND = "user_id bigint, creation_id bigint, action_ts timestamp"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def baskets(seed, users, items, most, skew):
+    """Items are drawn by ``1 / rank ** skew``; the sizes of sets differ as much as they may."""
+    rng = random.Random(seed)
+    weights = [1 / (k + 1) ** skew for k in range(items)]
+    out = []
+    for u in range(users):
+        size = max(2, int(most * rng.random() ** 3))
+        out += [(u, i, START) for i in set(rng.choices(range(items), weights, k=size))]
+    return out
+
+
+@pytest.mark.parametrize("skew, top_k, min_score, share, symmetric", [
+    (0.0, 3, None, 0.3, False), (1.2, 2, None, 0.3, True), (1.2, 2, None, 0.1, False), (1.2, 40, 0.01, 0.3, True),
+    (1.2, 2, None, 0.0, False), (0.0, 2, None, 1.0, True),
+])
+def test_equal_to_a_full_run(spark, skew, top_k, min_score, share, symmetric):
+    frame = spark.createDataFrame(baskets(int(skew * 10) + top_k, 120, 60, 30, skew), KIND).cache()
+    bounded = BoundedSimilarity(frame, 1.0, top_k, 20, symmetric, min_score, first_share=share)
+    with bounded as got:
+        assert rows(got) == rows(item_similarity(frame, 1.0, top_k, 20, symmetric, min_score))
+    made = bounded.made()
+    assert 0 <= made.skipped <= made.pairs - made.first and made.first <= share * made.pairs
+    if share in (0.0, 1.0) and min_score is None:
+        assert made.skipped == 0  # no floors, or nothing to leave out
+
+
+def test_ties_at_the_last_place(spark):
+    few = [(u, i, START) for u in range(8) for i in (1, 10 + u % 4)]  # four partners of one score each
+    many = [(100 + u, i, START) for u in range(2) for i in [1, *range(20, 60)]]
+    frame = spark.createDataFrame(few + many, KIND)
+    for k in (1, 3, 4):
+        with BoundedSimilarity(frame, top_k=k, first_share=0.02) as got:
+            assert rows(got) == rows(item_similarity(frame, top_k=k))
+
+
+def test_most_pairs_are_left_out_where_a_few_items_lead(spark):
+    rng = random.Random(3)
+    leaders = [(u, i, START) for u in range(400) for i in rng.sample(range(12), 5)]
+    crowds = [(1000 + u, i, START) for u in range(20) for i in [*range(12), *rng.sample(range(100, 4000), 100)]]
+    frame = spark.createDataFrame(leaders + crowds, KIND)
+    bounded = BoundedSimilarity(frame, top_k=3, min_score=1e-4)
+    with bounded as got:
+        assert rows(got) == rows(item_similarity(frame, top_k=3, min_score=1e-4))
+    made = bounded.made()
+    assert made.skipped > 0.8 * (made.pairs - made.first)
+
+
+def test_no_rows_and_bad_share(spark):
+    empty = spark.createDataFrame([], KIND)
+    with BoundedSimilarity(empty) as got:
+        assert got.collect() == []
+    with pytest.raises(ValueError, match="first_share"):
+        BoundedSimilarity(empty, first_share=1.5)
