@@ -23,9 +23,11 @@ from covisit.plans.click_window import latest_clicks
 from covisit.plans.graph import graph_edges, graph_vertices, similar_items, vertex_lookup
 from covisit.plans.incremental import Advance, SimilarityStore
 from covisit.plans.ingest import ingest_actions
+from covisit.plans.rolling import RollingClicks
 from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
 from covisit.schemas import ACTION, olap_copy
 from covisit.session import shared_dir
+from covisit.sources.merging import MergingTable
 
 try:  # the subpackage and the pipeline may be absent
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
@@ -97,6 +99,30 @@ def _advance_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(done.users_changed, done.pairs_made)], "users_changed bigint, pairs_made bigint")
 
 
+def _rolling_clicks(spark: SparkSession, d: str) -> DataFrame:
+    """The week before, then one day more."""
+    store, action = RollingClicks(spark, _new_folder(spark, "clicks"), buckets=STORE_BUCKETS), fx.action(spark, d)
+    for day in (DAY_BEFORE, fx.LAST_DAY):
+        store.advance(action, day)
+    return store.window(fx.LAST_DAY)
+
+
+def _merging_table(spark: SparkSession, d: str) -> MergingTable:
+    """Actions that came in three runs."""
+    table = MergingTable(
+        spark, _new_folder(spark, "merging"), ACTION, ["user_id", "creation_id"], "action_ts", ["action_type", "p_date"], STORE_BUCKETS)
+    action = fx.action(spark, d)
+    for part in range(3):
+        table.append(action.where(F.pmod(F.xxhash64("action_ts", "user_id"), F.lit(3)) == part))
+    return table
+
+
+def _merged(spark: SparkSession, d: str) -> MergingTable:
+    table = _merging_table(spark, d)
+    table.compact()
+    return table
+
+
 def _twice(similarity: DataFrame) -> DataFrame:
     """Every pair a second time, with a lower score."""
     return similarity.unionByName(similarity.withColumn("score", F.col("score") / 2))
@@ -124,6 +150,7 @@ def queries() -> dict[str, Query]:
         "click_window_late_events": lambda s, d: fx.zoneless(
             latest_clicks(fx.late_action(s, d), fx.LAST_DAY, date_col="action_ts")
         ),
+        "click_window_rolling": lambda s, d: fx.zoneless(_rolling_clicks(s, d)),
         "dedup_events": lambda s, d: fx.zoneless(
             distinct_events(fx.basket(s, d), ["user_id", "creation_id", "action_ts"])
         ),
@@ -203,6 +230,10 @@ def queries() -> dict[str, Query]:
                 fx.action(s, d), ["user_id", "creation_id"], "action_ts", ["action_type", "p_date"]
             ).select("user_id", "creation_id", "action_type", "action_ts")
         ),
+        "merging_table_exact": lambda s, d: fx.zoneless(_merging_table(s, d).exact()),
+        "merging_table_eventual": lambda s, d: fx.zoneless(_merging_table(s, d).eventual().distinct()).groupBy(
+            "user_id", "creation_id").agg(F.max("action_ts").alias("action_ts")),
+        "merging_table_compacted": lambda s, d: fx.zoneless(_merged(s, d).eventual()),
         "table_profile": lambda s, d: table_profile(fx.action(s, d)),
         "olap_copy": lambda s, d: fx.zoneless(olap_copy(fx.action(s, d), ACTION)),
         "graph_vertices": lambda s, d: graph_vertices(_basket_graph(s, d)),
@@ -318,6 +349,10 @@ def _top(scores: str = "scores", where: str = "") -> str:
 
 
 _ACTION_COLUMNS = "user_id, action_ts, action_type, creation_id, p_date"
+_NEWEST = f"""WITH {_ACTION}
+  SELECT {_ACTION_COLUMNS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, creation_id ORDER BY action_ts DESC, action_type DESC, p_date DESC) AS rn FROM action)
+  WHERE rn = 1"""
 _GRAPH = f"WITH {_BASKET}{_scores('basket')}, similarity AS ({_top()}\n)"
 
 
@@ -325,6 +360,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         **LLM_SQL,
         "click_window": f"WITH {_CLICKS} SELECT user_id, creation_id, action_ts FROM clicks",
+        "click_window_rolling": f"WITH {_CLICKS} SELECT user_id, creation_id, action_ts FROM clicks",
         "click_window_event_time": f"""WITH {_ACTION}
             SELECT user_id, creation_id, max(action_ts) AS action_ts FROM action
             WHERE action_ts >= TIMESTAMP '2024-01-24' AND action_ts < TIMESTAMP '2024-01-31'
@@ -453,6 +489,9 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, row_number() OVER (PARTITION BY user_id, creation_id
                 ORDER BY action_ts DESC, action_type DESC, p_date DESC) AS rn FROM action)
             WHERE rn = 1""",
+        "merging_table_exact": _NEWEST,
+        "merging_table_eventual": f"WITH {_ACTION} SELECT user_id, creation_id, max(action_ts) AS action_ts FROM action GROUP BY ALL",
+        "merging_table_compacted": _NEWEST,
         "table_profile": f"WITH {_ACTION} " + " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", count(*) AS n, count(*) - count({c}) AS nulls,
                 count(DISTINCT {c}) AS "distinct" FROM action"""
