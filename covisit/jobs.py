@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 from covisit.plans import reports
 from covisit.plans.click_window import latest_clicks
 from covisit.plans.graph import graph_edges, graph_vertices
+from covisit.plans.incremental import BUCKETS as STORE_BUCKETS
+from covisit.plans.incremental import SimilarityStore
 from covisit.plans.ingest import REASONS, parse_actions, split_parsed
+from covisit.plans.rolling import BUCKETS as ROLLING_BUCKETS
+from covisit.plans.rolling import RollingClicks
 from covisit.plans.similarity import (
     ALPHA,
     SCORE_DIGITS,
@@ -83,12 +87,17 @@ def ingest_new(spark: SparkSession, a: argparse.Namespace) -> None:
             max_per_batch=a.max_offsets_per_batch,
         )
     ingest_stream(
-        raw, a.p_date, a.accepted_path, a.checkpoint, a.bad_records_path, a.align, a.precision
+        raw, a.p_date, a.accepted_path, a.checkpoint, a.bad_records_path, a.align, a.precision, a.repeats_within
     ).awaitTermination()
 
 
 def click_window(spark: SparkSession, a: argparse.Namespace) -> int:
     action = spark.table(f"{a.src_db}.{a.src_table}")
+    if a.days_path:
+        store = RollingClicks(spark, a.days_path, a.action_type, a.buckets)
+        store.advance(action, a.end_date, a.days, a.again)
+        tables.ensure_database(spark, a.dst_db)
+        return tables.replace_snapshot(store.window(a.end_date, a.days), f"{a.dst_db}.{a.dst_table}", CLICK)
     ingested = (a.first_ingested, a.last_ingested) if a.first_ingested and a.last_ingested else None
     clicks = latest_clicks(action, a.end_date, a.days, a.action_type, a.date_col, ingested)
     tables.ensure_database(spark, a.dst_db)
@@ -100,6 +109,12 @@ def similarity(spark: SparkSession, a: argparse.Namespace) -> int:
         spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     tables.ensure_database(spark, a.dst_db)
     source, target = spark.table(f"{a.src_db}.{a.src_table}"), f"{a.dst_db}.{a.dst_table}"
+    if a.store_path:
+        store = SimilarityStore(spark, a.store_path, a.alpha, a.user_cap, a.buckets)
+        done = store.advance(source)
+        print(f"{done.users_changed} users changed, {done.pairs_made} pairs made", file=sys.stderr)
+        kept_up = store.similarity(a.top_k, a.symmetric, a.min_score, a.score_digits)
+        return tables.replace_snapshot(kept_up, target, SIMILARITY)
     if a.user_cap == 0:
         whole = item_similarity(source, a.alpha, a.top_k, None, a.symmetric, a.min_score, a.score_digits)
         return tables.replace_snapshot(whole, target, SIMILARITY)
@@ -225,6 +240,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--accepted-path", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--max-offsets-per-batch", type=int, default=50_000_000)
+    p.add_argument("--repeats-within", metavar="INTERVAL", help="count a message that is sent again within this time once")
 
     p = job("publish", publish, "a day of streamed rows into the action table")
     p.add_argument("--accepted-path", required=True)
@@ -245,6 +261,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--days", type=int, default=7)
     p.add_argument("--action-type", type=int, default=CLICK_CODE)
     p.add_argument("--date-col", default="p_date")
+    p.add_argument("--days-path", help="keep daily clicks there, and read new days only (by ingest day)")
+    p.add_argument("--again", action="append", default=[], metavar="DAY", help="with --days-path: a day that was ingested anew")
+    p.add_argument("--buckets", type=int, default=ROLLING_BUCKETS, help="of the daily clicks")
     p.add_argument("--first-ingested", help="with --last-ingested: the ingest days to read")
     p.add_argument("--last-ingested")
 
@@ -257,6 +276,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--symmetric", action="store_true")
     p.add_argument("--min-score", type=float)
     p.add_argument("--score-digits", type=int, default=SCORE_DIGITS)
+    p.add_argument("--store-path", help="keep pair sums there, and pair changed users only")
+    p.add_argument("--buckets", type=int, default=STORE_BUCKETS, help="of the store")
 
     p = job("graph", graph, "similarity to vertices and edges")
     from_to(p, "item_similarity", None)

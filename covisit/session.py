@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "snappy",
     # item sets come from rows already sorted by user: aggregate them in that order
     "spark.sql.execution.replaceHashWithSortAgg": "true",
+    # what a stream has seen is kept on disk, and its changes with the checkpoint
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # rankings by row number need no buffer: cut keys before the shuffle whatever the limit
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000000",
 }

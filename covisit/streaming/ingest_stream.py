@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.storagelevel import StorageLevel
@@ -14,6 +15,20 @@ from covisit.schemas import ACTION, QUARANTINE
 BATCH_DIR = "batch_id"
 
 
+def without_repeats(raw: DataFrame, within: str) -> DataFrame:
+    """The first of messages with the same bytes, if the others are read at most ``within`` (an interval) later.
+
+    A checkpoint stops messages from being read twice, not a producer from sending them twice. Those have the
+    same content, the times of their actions included. What has been read is keyed state: a digest, and the time of
+    its batch, by which it is forgotten, after twice ``within`` at most. That time is written with the batch's offsets,
+    so a batch that is replayed decides as it did, and no message is ever late. State is kept with the checkpoint, so
+    it outlives the run, and in RocksDB (see ``session.DEFAULTS``), so it needs no memory in proportion. Null messages
+    are alike.
+    """
+    named = raw.select("value", F.sha2("value", 256).alias("digest"), F.current_timestamp().alias("read"))
+    return named.withWatermark("read", within).dropDuplicatesWithinWatermark(["digest"]).select("value")
+
+
 def ingest_stream(
     raw: DataFrame,
     p_date: str,
@@ -22,15 +37,20 @@ def ingest_stream(
     quarantine_path: str | None = None,
     align: str = "compact",
     precision: str = "s",
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Parse everything new in ``raw`` (a streaming frame with ``value``), then stop.
 
+    With ``repeats_within``, messages that were sent twice count once, see ``without_repeats``.
+
     The checkpoint remembers what was read; a second run adds only what came since. Each
     micro-batch owns one directory per sink, below the day it was first read under, and replaces it
     as a whole: a batch that is replayed after a failure, even by a run with another day's label,
     keeps its day and leaves no duplicates, published or not.
     """
     parse_day(p_date)
+    if repeats_within is not None:
+        raw = without_repeats(raw, repeats_within)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         label = _label_of(batch.sparkSession, accepted_path, batch_id, p_date)

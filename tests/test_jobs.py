@@ -47,6 +47,12 @@ def test_pipeline(spark, sf, tmp_path):
     similar = item_similarity(spark.table("dwd.click7aggre"), top_k=10)
     assert job("similarity --top-k 10") == similar.count() > 0
     assert same(spark.table("dwd.item_similarity"), similar)
+    line = f"similarity --top-k 10 --store-path {tmp_path}/store --buckets 4 --dst-table kept_up"
+    assert job(line) == job(line) == similar.count()
+    assert same(spark.table("dwd.kept_up"), similar)
+    line = f"click-window --end-date 20240130 --days-path {tmp_path}/days --buckets 4 --dst-table rolled"
+    assert job(line) == job(f"{line} --again 20240130") == clicks.count()
+    assert same(spark.table("dwd.rolled"), clicks)
     with pytest.raises(ValueError):
         job("similarity --alpha -1")
 

@@ -99,3 +99,74 @@ def test_topic_options():
     day = topic_options("h:1", "action", day="20240130")
     assert (day["startingTimestamp"], day["endingTimestamp"]) == ("1706572800000", "1706659200000")
     assert not {"startingOffsets", "endingOffsets"} & set(day)
+
+
+@pytest.fixture
+def one_shuffle_partition(spark):
+    """State is kept for each shuffle partition; one is quicker."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def messages_of(*items):
+    return [bytearray(f'{{"userId":1,"actionTypeList":"2","creationIdList":"{i}","timestampList":"1764460800"}}'.encode()) for i in items]
+
+
+def test_messages_that_were_sent_twice_count_once(spark, tmp_path, one_shuffle_partition):
+    def arrive(*items):
+        spark.createDataFrame([(m,) for m in messages_of(*items)], RAW).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def ingest(within, checkpoint="cp", ok="ok", files=1):
+        query = ingest_stream(
+            stream_files(spark, str(tmp_path / "in"), files_per_batch=files), "20240130", str(tmp_path / ok), str(tmp_path / checkpoint),
+            str(tmp_path / "bad"), repeats_within=within)
+        query.awaitTermination()
+        assert query.exception() is None
+        return sorted(r.creation_id for r in read_accepted(spark, str(tmp_path / ok)).collect())
+
+    arrive(1, 2, 2)  # within a file
+    arrive(2, 3)  # across batches of a run
+    assert ingest("1 hour") == [1, 2, 3]
+    arrive(3, 1, 4)  # across runs: the state is in the checkpoint
+    assert ingest("1 hour") == [1, 2, 3, 4]
+    spark.createDataFrame([(None,), (None,), (bytearray(b"junk"),), (bytearray(b"junk"),)], RAW).write.mode("append").parquet(str(tmp_path / "in"))
+    assert ingest("1 hour") == [1, 2, 3, 4]
+    assert read_quarantine(spark, str(tmp_path / "bad")).count() <= 2
+    # without the option all of them count
+    assert ingest(None, "cp2", "ok2") == [1, 1, 2, 2, 2, 3, 3, 4]
+
+
+def test_repeats_are_dropped_again_when_a_batch_is_replayed(spark, tmp_path, one_shuffle_partition):
+    for items in ((1, 2), (2, 3)):
+        spark.createDataFrame([(m,) for m in messages_of(*items)], RAW).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def ingest():
+        query = ingest_stream(
+            stream_files(spark, str(tmp_path / "in"), files_per_batch=1), "20240130", str(tmp_path / "ok"), str(tmp_path / "cp"), repeats_within="1 hour")
+        query.awaitTermination()
+        return sorted(r.creation_id for r in read_accepted(spark, str(tmp_path / "ok")).collect())
+
+    assert ingest() == [1, 2, 3]
+    last = max((p for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()  # the last batch wrote its rows and failed to commit
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    assert ingest() == [1, 2, 3]
+
+
+def test_what_was_seen_is_forgotten_in_time(spark, tmp_path, one_shuffle_partition):
+    import time
+
+    def ingest(*items):
+        spark.createDataFrame([(m,) for m in messages_of(*items)], RAW).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = ingest_stream(
+            stream_files(spark, str(tmp_path / "in"), files_per_batch=1), "20240130", str(tmp_path / "ok"), str(tmp_path / "cp"), repeats_within="1 second")
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    ingest(1, 2, 3)
+    for item in (4, 5, 6):
+        time.sleep(2)
+        kept = ingest(item)
+    assert kept <= 2
