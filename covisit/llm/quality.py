@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covisit.llm.common import SPACE, bounded_join, let, staged
+from covisit.llm.common import SPACE, bounded_join, let, staged, with_key
 
 SYMBOLS = "#*$%&|<>"
 
@@ -94,11 +94,11 @@ def normalised_lines(text: Column) -> Column:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, host, copies (a hash of all its lines in order), and its lines that have a word: hash and words."""
+    """_key, host, copies (a hash of all its lines in order), and its lines that have a word: hash and words."""
     lines = F.filter(normalised_lines(F.coalesce("text", F.lit(""))), lambda x: x != "")
     hashed = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(_words(x)).alias("words")))
-    rows = docs.select("doc_id", F.col("source").alias("host"), hashed.alias("all"))
-    return rows.withColumn("copies", F.xxhash64("all.line")).select("doc_id", "host", "copies", F.inline("all"))
+    rows = docs.select("_key", F.col("source").alias("host"), hashed.alias("all"))
+    return rows.withColumn("copies", F.xxhash64("all.line")).select("_key", "host", "copies", F.inline("all"))
 
 
 def boilerplate_lines(lines: DataFrame, rules: QualityRules) -> DataFrame:
@@ -112,24 +112,23 @@ def boilerplate_lines(lines: DataFrame, rules: QualityRules) -> DataFrame:
 
 
 def line_verdicts(docs: DataFrame, rules: QualityRules) -> DataFrame:
-    """doc_id, removed_words, removed (line hashes) of the documents that have lines above the limits."""
+    """_key, removed_words, removed (line hashes) of the rows that have lines above the limits. ``docs``: _key, text, source."""
     lines = staged(document_lines(docs), "lines")
     common = staged(boilerplate_lines(lines, rules), "boilerplate")
     common = common.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
     found = lines.join(common, (lines["line"] == common["_line"]) & lines["host"].eqNullSafe(common["_host"]))
-    return found.groupBy("doc_id").agg(F.sum("words").alias("removed_words"), F.collect_set("line").alias("removed"))
+    return found.groupBy("_key").agg(F.sum("words").alias("removed_words"), F.collect_set("line").alias("removed"))
 
 
 def quality(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, source) with counts, ``removed_words`` and ``kept``.
 
-    Null texts count as empty, a null source as a host of its own. Rows that share a doc_id share
-    the lines that are removed. Other columns of ``docs`` pass through unless they bear a result's name.
+    Null texts count as empty, a null source as a host of its own. Each row is judged by itself: rows that share a
+    doc_id, or have none, get the verdict of their own text. Other columns of ``docs`` are not returned.
     """
-    rows = text_counts(docs.select("doc_id", "text")).drop("text").withColumn("base_failed", _base_failed(rules))
-    verdicts = line_verdicts(docs.select("doc_id", "text", "source"), rules)
-    rows = rows.join(verdicts.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
-    return _judged(rows, rules)
+    keyed = with_key(docs, ["doc_id", "text", "source"])
+    rows = text_counts(keyed.select("_key", "doc_id", "text")).drop("text").withColumn("base_failed", _base_failed(rules))
+    return _judged(rows.join(line_verdicts(keyed, rules), "_key", "left").drop("_key"), rules)
 
 
 def _judged(rows: DataFrame, rules: QualityRules) -> DataFrame:
@@ -145,10 +144,10 @@ def filtered(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame
 
     ``n_chars``, where there is one, is counted anew in rows that lose lines.
     """
-    rows = text_counts(docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns if c not in ("doc_id", "text")}))
-    rows = rows.withColumn("base_failed", _base_failed(rules)).where(~F.col("base_failed"))
-    verdicts = line_verdicts(docs.select("doc_id", "text", "source"), rules)
-    rows = bounded_join(rows, verdicts, ["doc_id"], "left", "verdicts")
+    keyed = with_key(docs.withColumnsRenamed({c: f"_in_{c}" for c in docs.columns if c not in ("doc_id", "text")}))
+    rows = text_counts(keyed).withColumn("base_failed", _base_failed(rules)).where(~F.col("base_failed"))
+    verdicts = line_verdicts(keyed.select("_key", "text", F.col("_in_source").alias("source")), rules)
+    rows = bounded_join(rows, verdicts, ["_key"], "left", "verdicts")
     rows = _judged(rows, rules).where("kept")
     keys = F.transform(normalised_lines(F.col("text")), lambda x: F.xxhash64(x))
     cleaned = F.array_join(let(keys, lambda k: F.filter(

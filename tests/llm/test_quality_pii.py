@@ -23,13 +23,51 @@ def counts(text):
 
 
 def verdicts(rows, rules=quality.QualityRules()):
-    lines, hosts = defaultdict(lambda: defaultdict(set)), Counter(r["source"] for r in rows)
-    own = {}
-    for r in rows:
-        own[r["doc_id"]] = [LINE.sub("", x.lower()) for x in (r["text"] or "").split("\n") if words(x)]
-        for x in set(own[r["doc_id"]]):
-            lines[r["source"], x][tuple(sorted(set(own[r["doc_id"]]) - {x}))].add(r["doc_id"])
-    return own, lines, hosts
+    """Of each row: removed words and whether it is kept, by plain counting; documents of the same lines count once."""
+    own = [[LINE.sub("", x.lower()) for x in (r["text"] or "").split("\n") if words(x)] for r in rows]
+    hosts, having = defaultdict(set), defaultdict(set)
+    for r, lines in zip(rows, own):
+        if lines:
+            hosts[r["source"]].add(tuple(lines))
+        for x in lines:
+            having[r["source"], x].add(tuple(lines))
+    out = []
+    for r, lines in zip(rows, own):
+        gone = 0
+        for x in lines:
+            docs = len(having[r["source"], x])
+            if docs >= rules.line_docs and (docs >= rules.line_share * len(hosts[r["source"]]) or docs >= rules.hot_docs):
+                gone += len(words(x))
+        n, _, _, _, repeat = counts(r["text"])
+        failed = n < rules.min_words or 100 * repeat > rules.repeat_percent * n
+        depleted = gone > 0 and (n - gone < rules.min_left_words or n - gone < rules.min_left_share * n)
+        out.append((r["doc_id"], gone, not failed and not depleted))
+    return out
+
+
+def judged(df):
+    return sorted(((r["doc_id"], r["removed_words"], r["kept"]) for r in df.collect()), key=repr)
+
+
+def test_verdicts_of_repeated_and_nameless_rows(spark):
+    """Each row has the verdict that its text has alone, whatever rows share its doc_id; by brute force."""
+    pages = [f"page {k} tells of its own matter in these {k * 3} words\nshared words of every page on this host\nmore of {k * 7} its own" for k in range(40)]
+    rows = documents(pages, source="h")
+    rows += [rows[30]] * 2
+    rows += [{**r, "doc_id": None} for r in documents(pages[5:8], source="h")] + documents([None, "", "ten words " * 6], source=None)
+    got = judged(quality.quality(frame(spark, rows)))
+    assert got == sorted(verdicts(rows), key=repr)
+    assert [x[1:] for x in got if x[0] == 30] == [x[1:] for x in got if x[0] == 31] * 3 == [(8, True)] * 3
+    kept = quality.filtered(frame(spark, rows).withColumn("_key", quality.F.lit("k")))
+    assert sorted((r["doc_id"] is None, r["doc_id"], r["_key"]) for r in kept.collect()) == sorted(
+        (d is None, d, "k") for d, _, keep in verdicts(rows) if keep)
+    assert not any("shared words" in r["text"] for r in kept.collect())
+
+
+def test_verdicts_of_the_supplied_tables(spark):
+    rows = rows_of("documents", "/root/testdata/sf0.01")
+    found = QUERIES["op9_quality_rules"](spark, "/root/testdata/sf0.01")
+    assert judged(found) == sorted(verdicts(rows), key=repr)
 
 
 def test_counts_query(spark):
