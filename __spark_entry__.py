@@ -27,6 +27,7 @@ from covisit.plans.rolling import RollingClicks
 from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
 from covisit.schemas import ACTION, olap_copy
 from covisit.session import shared_dir
+from covisit.sources import graph_store
 from covisit.sources.merging import MergingTable
 
 try:  # the subpackage and the pipeline may be absent
@@ -123,6 +124,28 @@ def _merged(spark: SparkSession, d: str) -> MergingTable:
     return table
 
 
+def _stored_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges, written and read back."""
+    similarity, path = _basket_graph(spark, d), _new_folder(spark, "graph")
+    graph_store.write_edges(graph_edges(similarity), f"{path}/edges")
+    edges = graph_store.read_edges(spark, f"{path}/edges")
+    graph_store.write_vertices(graph_vertices(edges.withColumnsRenamed({"srcid": "item_i", "dstid": "item_j"})), f"{path}/vertices")
+    return graph_store.read_vertices(spark, f"{path}/vertices"), edges
+
+
+def _small_parts(spark: SparkSession, d: str) -> DataFrame:
+    return fx.table(spark, d, "part").where("p_size <= 10").select("p_partkey")
+
+
+def _graph_by_key(spark: SparkSession, d: str) -> DataFrame:
+    """Edges inserted with lower scores, then as they are, then some of them again."""
+    graph, edges = graph_store.KeyedGraph(spark, _new_folder(spark, "keyed"), STORE_BUCKETS), graph_edges(_basket_graph(spark, d))
+    graph.insert_edges(edges.withColumn("simscore", F.col("simscore") / 2))
+    graph.insert_edges(edges)
+    graph.insert_edges(edges.where("srcid % 3 = 0"))
+    return graph.edges()
+
+
 def _twice(similarity: DataFrame) -> DataFrame:
     """Every pair a second time, with a lower score."""
     return similarity.unionByName(similarity.withColumn("score", F.col("score") / 2))
@@ -240,6 +263,9 @@ def queries() -> dict[str, Query]:
         "graph_edges": lambda s, d: graph_edges(_basket_graph(s, d)),
         "graph_edges_of_repeated_pairs": lambda s, d: graph_edges(_twice(_basket_graph(s, d))),
         "graph_vertex_lookup": lambda s, d: vertex_lookup(graph_vertices(_basket_graph(s, d)), IDS),
+        "graph_vertex_lookup_stored": lambda s, d: vertex_lookup(_stored_graph(s, d)[0], IDS),
+        "graph_edges_by_key": _graph_by_key,
+        "similar_items_of_many": lambda s, d: graph_store.similar_items_of_many(_stored_graph(s, d)[1], _small_parts(s, d), 3),
         "similar_items": lambda s, d: similar_items(graph_edges(_basket_graph(s, d)), ITEM, TOP),
     }
 
@@ -512,6 +538,16 @@ def oracle_sql() -> dict[str, str]:
         "graph_vertex_lookup": f"""{_GRAPH}, vertices AS (
             SELECT item_i AS creation_id FROM similarity UNION SELECT item_j FROM similarity)
             SELECT creation_id FROM vertices WHERE creation_id IN {IDS}""",
+        "graph_vertex_lookup_stored": f"""{_GRAPH}, vertices AS (
+            SELECT item_i AS creation_id FROM similarity UNION SELECT item_j FROM similarity)
+            SELECT creation_id FROM vertices WHERE creation_id IN {IDS}""",
+        "graph_edges_by_key": f"{_GRAPH} SELECT item_i AS srcid, item_j AS dstid, score AS simscore FROM similarity",
+        "similar_items_of_many": f"""{_GRAPH}
+            SELECT srcid, dstid, simscore FROM (
+              SELECT item_i AS srcid, item_j AS dstid, score AS simscore,
+                     row_number() OVER (PARTITION BY item_i ORDER BY score DESC, item_j) AS rn
+              FROM similarity JOIN part ON item_i = p_partkey WHERE p_size <= 10)
+            WHERE rn <= 3""",
         "similar_items": f"""{_GRAPH}
             SELECT item_j AS dstid, score AS simscore FROM similarity WHERE item_i = {ITEM}
             ORDER BY simscore DESC, dstid LIMIT {TOP}""",

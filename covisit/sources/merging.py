@@ -84,6 +84,10 @@ class MergingTable:
     def exact(self) -> DataFrame:
         return self._newest(self._rows(self._entries()))
 
+    def number(self) -> int:
+        """How many versions there have been."""
+        return self._versions.current()[0]
+
     def layout(self) -> Layout:
         runs = _runs(self._entries())
         return Layout(len(runs), sum(len(r) > 1 for r in runs.values()), sum(map(len, runs.values())))

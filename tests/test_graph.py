@@ -11,6 +11,7 @@ from covisit.plans.graph import (
 from covisit.plans.similarity import item_similarity
 from covisit.sources import graph_store
 from covisit.schemas import EDGE, VERTEX
+from covisit.sources.versions import Versions
 
 PAIRS = [(1, 2, 0.5), (1, 3, 0.25), (2, 3, 0.0), (1, 3, 0.75), (7, 8, 0.1)]
 
@@ -75,3 +76,78 @@ def test_connector_gets_batch_and_options(spark, tmp_path, pairs):
     graph_store.write_connector(
         graph_edges(pairs), "json", {"path": str(tmp_path / "c"), "type": "edge"}, batch=10)
     assert spark.read.json(str(tmp_path / "c")).count() == 4
+
+
+def scanned(df):
+    """Rows that the scan of ``df`` has read from files, after it ran."""
+    df.collect()
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+    leaves = (plan.executedPlan() if hasattr(plan, "executedPlan") and plan.nodeName() == "AdaptiveSparkPlan" else plan).collectLeaves()
+    for k in range(leaves.size()):
+        node = leaves.apply(k)
+        node = node.plan() if node.nodeName().endswith("QueryStage") else node
+        for j in range(node.collectLeaves().size()):
+            metrics = node.collectLeaves().apply(j).metrics()
+            if metrics.contains("numOutputRows"):
+                found.append(metrics.apply("numOutputRows").value())
+    return sum(found)
+
+
+def test_lookups_of_many_items_skip_what_does_not_hold_them(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("id * 2 as item_i", "id + 100000 as item_j", "(id % 97) / 97.0 as score")
+    path = str(tmp_path / "e")
+    spark.conf.set("parquet.block.size", str(16 * 1024))
+    try:
+        graph_store.write_edges(graph_edges(rows.unionByName(rows.selectExpr("item_i", "item_j + 1 as item_j", "0.5D as score"))), path)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    edges = graph_store.read_edges(spark, path)
+    ids = spark.createDataFrame([(4,), (4,), (None,), (40_000,), (3,), (79_998,), (10**12,)], "id long")
+    got = graph_store.similar_items_of_many(edges, ids, 1)
+    want = [(4, 100_003, 0.5), (40_000, 120_001, 0.5), (79_998, 140_000, 0.5)]
+    assert sorted(map(tuple, got.collect())) == want
+    looked_up = graph_store.edges_of(edges, ids)
+    assert looked_up.count() == 6 and scanned(looked_up) < 40_000  # of 80,000
+    many = spark.range(0, 80_000, 3).toDF("id")  # beyond the literals: joined
+    assert graph_store.similar_items_of_many(edges, many, 1).count() == many.where("id % 2 = 0").count()
+    assert graph_store.edges_of(edges, ids.limit(0)).count() == 0
+
+
+def test_a_graph_is_replaced_without_a_gap(spark, tmp_path, pairs):
+    path = str(tmp_path / "e")
+    with pytest.raises(LookupError):
+        graph_store.read_edges(spark, path)
+    assert graph_store.write_edges(graph_edges(pairs), path) == 4
+    before = graph_store.read_edges(spark, path)
+    broken = pairs.selectExpr("item_i", "if(item_i = 7, raise_error('broken'), item_j) as item_j", "score")
+    with pytest.raises(Exception, match="broken"):
+        graph_store.write_edges(graph_edges(broken), path)
+    assert graph_store.read_edges(spark, path).count() == 4
+    assert graph_store.write_edges(graph_edges(pairs.limit(1)), path) == 1
+    assert before.count() == 4 and graph_store.read_edges(spark, path).count() == 1  # who has begun can end
+    assert Versions(spark, path).current()[0] == 2
+
+
+def test_inserts_by_key(spark, tmp_path):
+    def edges(*rows):
+        return spark.createDataFrame(rows, "srcid long, dstid long, simscore double")
+
+    graph = graph_store.KeyedGraph(spark, str(tmp_path / "g"), buckets=4)
+    assert graph.edges().collect() == [] and graph.vertices().collect() == []
+    first = edges((1, 2, 0.5), (1, 3, 0.25), (1, 3, 0.75))
+    for _ in range(3):  # a job that ran again
+        graph.insert_edges(first)
+        graph.insert_vertices(spark.createDataFrame([(1,), (2,), (2,)], "creation_id long"))
+    assert sorted(map(tuple, graph.edges().collect())) == [(1, 2, 0.5), (1, 3, 0.75)]
+    assert sorted(graph.vertices().collect()) == [(1,), (2,)]
+    graph.insert_edges(edges((1, 3, 0.1), (4, 5, 0.9)))  # a later insert of a key replaces it, lower or not
+    bad = edges((1, 2, 9.0), (8, 9, 1.0)).selectExpr("srcid", "if(srcid = 8, raise_error('broken'), dstid) as dstid", "simscore")
+    with pytest.raises(Exception, match="broken"):
+        graph.insert_edges(bad)
+    want = [(1, 2, 0.5), (1, 3, 0.1), (4, 5, 0.9)]
+    assert sorted(map(tuple, graph.edges().collect())) == want
+    assert graph.compact() > 0 and graph.compact() == 0
+    again = graph_store.KeyedGraph(spark, str(tmp_path / "g"), buckets=4)
+    assert sorted(map(tuple, again.edges().collect())) == want
+    with pytest.raises(Exception, match="null in not-null column"):
+        graph.insert_edges(edges((1, None, 0.5)))

@@ -11,6 +11,7 @@ from covisit.jobs import main, parser
 from covisit.plans.click_window import latest_clicks
 from covisit.plans.ingest import ingest_actions
 from covisit.plans.similarity import item_similarity
+from covisit.sources import graph_store
 from covisit.sources.messages import read_files
 
 
@@ -59,9 +60,9 @@ def test_pipeline(spark, sf, tmp_path):
     job(f"graph --path {tmp_path}/graph --write-vertex false")
     assert not (tmp_path / "graph" / "vertices").exists()
     written = job(f"graph --path {tmp_path}/graph")
-    edges = spark.read.parquet(f"{tmp_path}/graph/edges")
+    edges = graph_store.read_edges(spark, f"{tmp_path}/graph/edges")
     assert edges.count() == similar.count() == written["edges"]
-    assert spark.read.parquet(f"{tmp_path}/graph/vertices").count() == written["vertices"]
+    assert graph_store.read_vertices(spark, f"{tmp_path}/graph/vertices").count() == written["vertices"]
 
     job(f"report types --first 20240130 --out {tmp_path}/types")
     types = spark.read.parquet(f"{tmp_path}/types")
@@ -130,6 +131,6 @@ def test_jobs_work_as_processes_of_their_own(spark, sf, tmp_path):
     accepted, _ = ingest_actions(read_files(spark, str(raw)), "20240130")
     clicks = latest_clicks(accepted, "20240130")
     similar = item_similarity(clicks, top_k=10)
-    edges = spark.read.parquet(f"{tmp_path}/graph/edges")
+    edges = graph_store.read_edges(spark, f"{tmp_path}/graph/edges")
     assert same(edges, similar.toDF("srcid", "dstid", "simscore"))
     assert sum(r.cnt for r in spark.read.parquet(f"{tmp_path}/types").collect()) == accepted.count()
