@@ -6,6 +6,7 @@ same names to SQL over the same tables.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -29,6 +30,7 @@ from covisit.schemas import ACTION, olap_copy
 from covisit.session import shared_dir
 from covisit.sources import graph_store
 from covisit.sources.merging import MergingTable
+from covisit.sources.offsets import read_log
 
 try:  # the subpackage and the pipeline may be absent
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
@@ -124,6 +126,11 @@ def _merged(spark: SparkSession, d: str) -> MergingTable:
     return table
 
 
+def _ingest_offsets(spark: SparkSession, d: str) -> DataFrame:
+    first, last = (json.dumps({fx.LOG_TOPIC: offsets}) for offsets in (fx.LOG_FROM, fx.LOG_TO))
+    return fx.zoneless(ingest_actions(read_log(fx.message_log(spark, d), fx.LOG_TOPIC, first, last)[0], fx.LAST_DAY)[0])
+
+
 def _stored_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges, written and read back."""
     similarity, path = _basket_graph(spark, d), _new_folder(spark, "graph")
@@ -216,6 +223,10 @@ def queries() -> dict[str, Query]:
         "ingest_roundtrip": lambda s, d: fx.zoneless(
             ingest_actions(fx.raw_messages(s, d), fx.LAST_DAY)[0]
         ),
+        "ingest_offsets": _ingest_offsets,
+        "ingest_untidy": lambda s, d: fx.zoneless(ingest_actions(fx.untidy_messages(s, d), fx.LAST_DAY)[0]),
+        "ingest_untidy_reasons": lambda s, d: ingest_actions(fx.untidy_messages(s, d), fx.LAST_DAY)[1].groupBy(
+            "user_id", "reason").agg(F.count(F.lit(1)).alias("n")),
         "ingest_millis": lambda s, d: fx.zoneless(
             ingest_actions(fx.raw_messages(s, d), fx.LAST_DAY, "strict", "ms")[0]
         ),
@@ -453,6 +464,18 @@ def oracle_sql() -> dict[str, str]:
         "ingest_roundtrip": f"""WITH {_ACTION}
             SELECT user_id, date_trunc('second', action_ts) AS action_ts, action_type, creation_id,
                    '{fx.LAST_DAY}' AS p_date FROM action""",
+        "ingest_offsets": f"""WITH {_ACTION}
+            SELECT user_id, date_trunc('second', action_ts) AS action_ts, action_type, creation_id, '{fx.LAST_DAY}' AS p_date
+            FROM action WHERE {' OR '.join(
+                f"(event_id % 4 = {p} AND event_id // 4 >= {max(o, 0)}" + (f" AND event_id // 4 < {fx.LOG_TO[p]})" if fx.LOG_TO[p] >= 0 else ")")
+                for p, o in fx.LOG_FROM.items())}""",
+        "ingest_untidy": f"""WITH {_ACTION}
+            SELECT user_id, date_trunc('second', action_ts) AS action_ts, action_type, creation_id, '{fx.LAST_DAY}' AS p_date
+            FROM action WHERE event_id % 8 IN (0, 3, 4, 5, 7)""",
+        "ingest_untidy_reasons": f"""WITH {_ACTION}
+            SELECT CASE WHEN event_id % 8 <> 2 THEN user_id END AS user_id,
+                   CASE event_id % 8 WHEN 1 THEN 'bad_type' WHEN 2 THEN 'null_payload' ELSE 'bad_time' END AS reason, count(*) AS n
+            FROM action WHERE event_id % 8 IN (1, 2, 6) GROUP BY ALL""",
         "ingest_millis": f"""WITH {_ACTION}
             SELECT user_id, date_trunc('millisecond', action_ts) AS action_ts, action_type,
                    creation_id, '{fx.LAST_DAY}' AS p_date FROM action""",

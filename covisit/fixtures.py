@@ -15,6 +15,9 @@ FIRST_DAY, LAST_DAY = "20240101", "20240130"
 DAMAGE = {1: "corrupt_json", 2: "missing_user", 3: "bad_type", 4: "bad_time"}
 # ----------------------------------------------------------------------------------------
 
+# the stored topic, and a read of it
+LOG_TOPIC = "action"
+LOG_FROM, LOG_TO = {"0": 100, "1": -2, "2": 0, "3": 150}, {"0": -1, "1": 180, "2": -1, "3": 151}
 # items that are in every order of the skewed basket
 HOT_ITEMS = 3
 # events packed into one message at most: ids are given out in time order
@@ -117,6 +120,45 @@ def raw_messages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> Dat
     return packed.select(text.cast("binary").alias("value"))
 
 
+def _single(events: DataFrame, time: Column, kind: Column, item: Column) -> DataFrame:
+    """One message for each event, as text; null lists are left out of it."""
+    text = F.to_json(F.struct(
+        kind.alias("actionTypeList"), item.alias("creationIdList"), time.alias("timestampList"), F.col("user_id").alias("userId")))
+    return events.select("event_id", text.alias("text"))
+
+
+def message_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a stored topic of four partitions, a message each."""
+    events = _actions(table(spark, sf_dir, "events"))
+    rows = _single(events, F.unix_millis("action_ts").cast("string"), F.col("action_type").cast("string"), F.col("creation_id").cast("string"))
+    return rows.select(
+        F.lit(LOG_TOPIC).alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.call_function("div", F.col("event_id"), F.lit(4)).alias("offset"), F.col("text").cast("binary").alias("value"))
+
+
+def untidy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A message for each event, untidy by ``event_id % 8``.
+
+    0: blanks around and beside list elements; 1: a missing list; 2: no payload (null, or empty); 3: an ISO time;
+    4: blanks between the digits of an item; 5: fractions; 6: empty lists; 7: as it should be.
+    """
+    events = _actions(table(spark, sf_dir, "events"))
+    way = F.col("event_id") % 8
+    millis, kind, item = F.unix_millis("action_ts").cast("string"), F.col("action_type").cast("string"), F.col("creation_id").cast("string")
+    spaced = F.concat(F.lit("\t "), item, F.lit(" "))
+    rows = _single(
+        events,
+        F.when(way == 0, F.concat(F.lit(" ,"), millis, F.lit("  "))).when(way == 3, F.date_format("action_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(way == 5, F.concat(millis, F.lit(".75"))).when(way == 6, F.lit(" , ")).otherwise(millis),
+        F.when(way == 0, F.concat(F.lit(" "), kind, F.lit(" , "))).when(way == 5, F.concat(kind, F.lit(".0"))).when(way == 6, F.lit(""))
+        .when(way != 1, kind),
+        F.when(way == 0, spaced).when(way == 4, F.regexp_replace(item, "(.)$", " $1")).when(way == 5, F.concat(item, F.lit(".")))
+        .when(way == 6, F.lit("")).otherwise(item),
+    )
+    text = F.when(F.col("event_id") % 16 == 2, F.lit("")).when(F.col("event_id") % 8 != 2, F.col("text"))
+    return rows.select(text.cast("binary").alias("value"))
+
+
 def zoneless(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock times, the type the test tables use."""
     times = {name for name, kind in df.dtypes if kind == "timestamp"}
