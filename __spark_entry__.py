@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covisit import fixtures as fx
+from covisit.functions.days import trailing_days
 from covisit.operators.cleaning import distinct_events, multiset_difference, split_rows
 from covisit.operators.pairing import W2_BITS, W2_LOW, W_BITS, W_LOW, item_pairs, recent_per_user
 from covisit.operators.profile import table_profile
@@ -26,6 +27,7 @@ from covisit.plans.incremental import Advance, SimilarityStore
 from covisit.plans.ingest import ingest_actions
 from covisit.plans.rolling import RollingClicks
 from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
+from covisit.plans.sketches import SketchStore
 from covisit.schemas import ACTION, olap_copy
 from covisit.session import shared_dir
 from covisit.sources import graph_store
@@ -131,6 +133,20 @@ def _ingest_offsets(spark: SparkSession, d: str) -> DataFrame:
     return fx.zoneless(ingest_actions(read_log(fx.message_log(spark, d), fx.LOG_TOPIC, first, last)[0], fx.LAST_DAY)[0])
 
 
+def _sketches(spark: SparkSession, d: str) -> SketchStore:
+    store = SketchStore(spark, _new_folder(spark, "sketches"), buckets=STORE_BUCKETS)
+    store.add(fx.action(spark, d), trailing_days(fx.LAST_DAY, 30))
+    return store
+
+
+def _profile_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """The profile by sketches, and whether its distinct counts are within three standard errors of the exact ones."""
+    exact = table_profile(fx.action(spark, d)).select("column", F.col("distinct").alias("exact"))
+    off = F.abs(F.col("distinct") - F.col("exact")) / F.greatest("exact", F.lit(1))
+    return _sketches(spark, d).table_profile(fx.FIRST_DAY, fx.LAST_DAY).join(exact, "column").select(
+        "column", "n", "nulls", (off <= 0.05).alias("distinct_within_5_percent"))
+
+
 def _stored_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges, written and read back."""
     similarity, path = _basket_graph(spark, d), _new_folder(spark, "graph")
@@ -269,6 +285,8 @@ def queries() -> dict[str, Query]:
             "user_id", "creation_id").agg(F.max("action_ts").alias("action_ts")),
         "merging_table_compacted": lambda s, d: fx.zoneless(_merged(s, d).eventual()),
         "table_profile": lambda s, d: table_profile(fx.action(s, d)),
+        "table_profile_sketched": _profile_sketched,
+        "user_activity_sketched": lambda s, d: _sketches(s, d).user_activity(fx.FIRST_DAY, fx.LAST_DAY),
         "olap_copy": lambda s, d: fx.zoneless(olap_copy(fx.action(s, d), ACTION)),
         "graph_vertices": lambda s, d: graph_vertices(_basket_graph(s, d)),
         "graph_edges": lambda s, d: graph_edges(_basket_graph(s, d)),
@@ -546,6 +564,12 @@ def oracle_sql() -> dict[str, str]:
                 count(DISTINCT {c}) AS "distinct" FROM action"""
             for c in _ACTION_COLUMNS.split(", ")
         ),
+        "table_profile_sketched": f"WITH {_ACTION} " + " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", count(*) AS n, count(*) - count({c}) AS nulls, TRUE AS distinct_within_5_percent FROM action"""
+            for c in _ACTION_COLUMNS.split(", ")
+        ),
+        "user_activity_sketched": f"""WITH {_ACTION}
+            SELECT user_id, count(*) AS action_count, count(DISTINCT creation_id) AS creation_count FROM action GROUP BY user_id""",
         "olap_copy": f"""WITH {_ACTION}
             SELECT user_id, date_trunc('second', action_ts) AS action_ts, action_type, creation_id,
                    p_date FROM action""",

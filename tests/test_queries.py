@@ -13,7 +13,7 @@ TABLES = (
 ).split()
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-         "timestamp_ntz": "TIMESTAMP"}
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 ORDERED = {"actions_by_type", "actions_by_hour", "user_history", "user_item_history",
            "user_activity", "similar_items"}
 MAY_BE_EMPTY: set[str] = set()
