@@ -30,7 +30,7 @@ from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similari
 from covisit.plans.sketches import SketchStore
 from covisit.schemas import ACTION, olap_copy
 from covisit.session import shared_dir
-from covisit.sources import graph_store
+from covisit.sources import graph_store, tables
 from covisit.sources.merging import MergingTable
 from covisit.sources.offsets import read_log
 
@@ -147,6 +147,13 @@ def _profile_sketched(spark: SparkSession, d: str) -> DataFrame:
         "column", "n", "nulls", (off <= 0.05).alias("distinct_within_5_percent"))
 
 
+def _plane(spark: SparkSession, d: str) -> DataFrame:
+    """Actions, stored by user and item alike."""
+    action, path = fx.action(spark, d), _new_folder(spark, "plane")
+    tables.write_plane(action, path)
+    return spark.read.schema(ACTION).parquet(path)
+
+
 def _stored_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges, written and read back."""
     similarity, path = _basket_graph(spark, d), _new_folder(spark, "graph")
@@ -272,6 +279,12 @@ def queries() -> dict[str, Query]:
         "user_item_history": lambda s, d: fx.zoneless(
             reports.user_item_history(fx.action(s, d), USER, ITEM, fx.FIRST_DAY)
         ),
+        "item_actions_stored": lambda s, d: fx.zoneless(
+            reports.actions_in_range(_plane(s, d), FROM, TO).where(F.col("creation_id") == ITEM)
+        ),
+        "user_actions_stored": lambda s, d: fx.zoneless(
+            reports.actions_in_range(_plane(s, d), FROM, TO).where(F.col("user_id") == USER)
+        ),
         "user_activity": lambda s, d: reports.user_activity(
             fx.action(s, d), fx.FIRST_DAY, fx.LAST_DAY
         ),
@@ -547,6 +560,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_ACTION_COLUMNS} FROM action
             WHERE p_date >= '{fx.FIRST_DAY}' AND user_id = {USER} AND creation_id = {ITEM}
             ORDER BY action_ts DESC, creation_id DESC, action_type DESC, p_date DESC""",
+        "item_actions_stored": f"""WITH {_ACTION}
+            SELECT {_ACTION_COLUMNS} FROM action WHERE p_date BETWEEN '{FROM}' AND '{TO}' AND creation_id = {ITEM}""",
+        "user_actions_stored": f"""WITH {_ACTION}
+            SELECT {_ACTION_COLUMNS} FROM action WHERE p_date BETWEEN '{FROM}' AND '{TO}' AND user_id = {USER}""",
         "user_activity": f"""WITH {_ACTION}
             SELECT user_id, count(*) AS action_count, count(DISTINCT creation_id) AS creation_count
             FROM action WHERE p_date BETWEEN '{fx.FIRST_DAY}' AND '{fx.LAST_DAY}'

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +21,9 @@ PARTITION = "p_date"
 
 # what the fact table is clustered by within a day; the item only splits ties
 CLUSTER = ("p_date", "user_id", "action_ts", "creation_id")
+# columns of the layout in two dimensions, and into how many ranks each is cut (as bits)
+PLANE, RANK_BITS = ("user_id", "creation_id"), 6
+PAGE_ROWS = 8192  # fixed value: rows of the documented sparse index, here of a page
 
 
 def _quoted(table: str) -> str:
@@ -180,13 +186,54 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     )
 
 
+class DayTaken(RuntimeError):
+    """Another run owns the day, or has taken it over."""
+
+
+def _claim_path(spark: SparkSession, table: str, p_date: str) -> str:
+    return f"{_root(spark, table)}/_claims/{p_date}"
+
+
+@contextmanager
+def claimed_day(spark: SparkSession, table: str, p_date: str) -> Iterator[None]:
+    """Own a day of a table while the block runs, as a file that is created only if it is absent.
+
+    A run that finds the day taken is refused with ``DayTaken`` before it writes. A run that loses its claim (see
+    ``release_day``) fails at the end of the block, so it does not report a day that another may have written since.
+    """
+    path, owner = _claim_path(spark, table, parse_day(p_date).strftime("%Y%m%d")), uuid.uuid4().hex
+    try:
+        create_text(spark, path, owner)
+    except Py4JJavaError as refused:
+        if "FileAlreadyExists" not in str(refused.java_exception.getClass().getName()):
+            raise
+        raise DayTaken(f"{p_date} of {table} is being written by another run; if that one is dead, release it") from None
+    try:
+        yield
+        if read_text(spark, path) != owner:
+            raise DayTaken(f"{p_date} of {table} was taken over while it was written; run again")
+    finally:
+        if read_text(spark, path) == owner:
+            release_day(spark, table, p_date)
+
+
+def release_day(spark: SparkSession, table: str, p_date: str) -> None:
+    """Take away whatever claim there is on a day: for a run that died without giving it back."""
+    files, path = file_system(spark, _claim_path(spark, table, p_date))
+    files.delete(path, False)
+
+
 def overwrite_day(df: DataFrame, table: str, p_date: str) -> int:
     """Replace one day of the fact table by ``df`` and give the number of rows written.
 
     The day is named in the statement, so a run that yields no rows empties it too. Running it
-    again leaves the same table, provided that one run at a time owns the day.
+    again leaves the same table. One run at a time owns the day: another is refused (``DayTaken``).
     """
-    parse_day(p_date)
+    with claimed_day(df.sparkSession, table, p_date):
+        return _overwrite_owned_day(df, table, p_date)
+
+
+def _overwrite_owned_day(df: DataFrame, table: str, p_date: str) -> int:
     spark = df.sparkSession
     rows, seen = counted(df, f"rows_{uuid.uuid4().hex}")
     columns = [c for c in spark.table(table).columns if c != PARTITION]
@@ -265,3 +312,45 @@ def clustered(action: DataFrame) -> DataFrame:
 def write_clustered(action: DataFrame, table: str) -> None:
     """Replace the days in ``action`` by the same rows in clustered order."""
     overwrite_partitions(clustered(action), table)
+
+
+def _rank(value: Column, cuts: Sequence[int], low: int = 0) -> Column:
+    """How many of the sorted ``cuts`` are at most ``value``, in as many comparisons as the number has bits."""
+    if not cuts:
+        return F.lit(low)
+    middle = len(cuts) // 2
+    return F.when(value < F.lit(cuts[middle]), _rank(value, cuts[:middle], low)).otherwise(_rank(value, cuts[middle + 1 :], low + middle + 1))
+
+
+def plane_order(action: DataFrame, columns: Sequence[str] = PLANE, bits: int = RANK_BITS) -> Column:
+    """A number whose bits alternate between the ranks of the columns (Z-order): near numbers are near in each.
+
+    Ranks come from approximate quantiles, ``2 ** bits - 1`` cuts a column, which is all that the driver sees. Nulls are 0.
+    """
+    shares = [k / 2**bits for k in range(1, 2**bits)]
+    found = action.select(*(F.percentile_approx(c, shares).alias(c) for c in columns)).first()
+    order = F.lit(0)
+    for k, name in enumerate(columns):
+        rank = F.coalesce(F.when(F.col(name).isNotNull(), _rank(F.col(name), sorted(set(found[name] or [])))), F.lit(0))
+        for bit in range(bits):
+            order = order.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1), bit * len(columns) + k))
+    return order
+
+
+def clustered_plane(action: DataFrame) -> DataFrame:
+    """Rows ranged and sorted by day and Z-order: files, row groups and pages of a day hold few users and few items, so
+    scans for either skip most of it. ``clustered`` serves users alone, and better.
+
+    The range covers the full key, so a hot user's or item's rows split over tasks.
+    """
+    keys = [F.col("p_date"), F.col("_plane"), *(F.col(c) for c in PLANE), F.col("action_ts")]
+    rows = action.withColumn("_plane", plane_order(action))
+    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_plane")
+
+
+def write_plane(action: DataFrame, path: str, row_group_bytes: int = ROW_GROUP_BYTES) -> None:
+    """The rows of ``clustered_plane`` as Parquet below ``path``, a folder for each day, with pages of ``PAGE_ROWS`` rows."""
+    (
+        clustered_plane(action).write.option("parquet.page.row.count.limit", PAGE_ROWS).option("parquet.block.size", row_group_bytes)
+        .partitionBy(PARTITION).mode("overwrite").parquet(path)
+    )

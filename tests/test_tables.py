@@ -13,6 +13,8 @@ from covisit.schemas import ACTION, CLICK, EDGE, conform, olap_columns, olap_cop
 from covisit.session import Staged, shared_dir
 from covisit.sources import tables
 
+from .test_graph import scanned
+
 
 @pytest.fixture(scope="module")
 def db(spark):
@@ -226,3 +228,79 @@ def test_a_failed_staging_leaves_nothing(spark):
         Staged(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), "failing")
     folder = spark._jvm.java.io.File(f"{shared_dir(spark)}/staged")
     assert not [name for name in folder.list() or [] if name.startswith("failing")]
+
+
+def test_one_run_at_a_time_owns_a_day(spark, db, action):
+    tables.ensure_action_table(spark, "tt.owned")
+    day = action.where("p_date = '20240105'")
+    with tables.claimed_day(spark, "tt.owned", "20240105"):
+        with pytest.raises(tables.DayTaken):
+            tables.overwrite_day(day, "tt.owned", "20240105")
+        tables.overwrite_day(day.limit(0), "tt.owned", "20240106")  # another day
+    assert spark.table("tt.owned").count() == 0
+    assert tables.overwrite_day(day, "tt.owned", "20240105") == day.count()
+    bad = day.withColumn("user_id", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        tables.overwrite_day(bad, "tt.owned", "20240105")
+    assert tables.overwrite_day(day, "tt.owned", "20240105") == day.count()  # a failed run gives the day back
+    # a run that was given up, and comes back
+    with pytest.raises(tables.DayTaken, match="taken over"):
+        with tables.claimed_day(spark, "tt.owned", "20240105"):
+            tables.release_day(spark, "tt.owned", "20240105")
+            with tables.claimed_day(spark, "tt.owned", "20240105"):
+                pass
+            tables.create_text(spark, tables._claim_path(spark, "tt.owned", "20240105"), "someone")
+    tables.release_day(spark, "tt.owned", "20240105")
+    assert equal(spark.table("tt.owned"), day)
+
+
+def test_two_runs_at_once_leave_a_whole_day(spark, db, action):
+    from concurrent.futures import ThreadPoolExecutor
+
+    tables.ensure_action_table(spark, "tt.raced")
+    parts = [action.where("p_date = '20240105'"), action.where("p_date = '20240106'").withColumn("p_date", F.lit("20240105"))]
+
+    def run(part):
+        try:
+            return tables.overwrite_day(part, "tt.raced", "20240105")
+        except tables.DayTaken:
+            return None
+
+    for _ in range(2):
+        with ThreadPoolExecutor(2) as pool:
+            done = list(pool.map(run, parts))
+        won = [part for part, rows in zip(parts, done) if rows is not None]
+        assert won and any(equal(spark.table("tt.raced"), part) for part in won)
+
+
+def test_layout_in_two_dimensions(spark, tmp_path):
+    rows = spark.range(120_000).selectExpr(
+        "pmod(xxhash64(id), 3000) as user_id", "timestamp_seconds(id) as action_ts", "2 as action_type",
+        "pmod(xxhash64(id, 1), 2000) as creation_id", "if(id % 2 = 0, '20240101', '20240102') as p_date")
+    rows = rows.unionByName(rows.limit(5).withColumns({"user_id": F.lit(None).cast("long"), "creation_id": F.lit(None).cast("long")}))
+    path = str(tmp_path / "plane")
+    tables.write_plane(rows, path, row_group_bytes=32 * 1024)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    assert equal(stored, rows)
+    read = {}
+    for column in ("user_id", "creation_id"):
+        one = stored.where(F.col(column) == 77)
+        assert equal(one, rows.where(F.col(column) == 77))
+        read[column] = scanned(one)
+    assert max(read.values()) < 20_000  # either skips most of 120,000 rows
+    by_user = str(tmp_path / "by_user")
+    tables.clustered(rows).write.option("parquet.block.size", 32 * 1024).partitionBy("p_date").parquet(by_user)
+    assert scanned(spark.read.schema(rows.schema).parquet(by_user).where("creation_id = 77")) > 2 * read["creation_id"]
+
+
+def test_plane_order(spark):
+    rows = spark.createDataFrame([(u, i) for u in range(8) for i in range(8)], "user_id int, creation_id int")
+    found = {(r[0], r[1]): r[2] for r in rows.select("user_id", "creation_id", tables.plane_order(rows, bits=3)).collect()}
+
+    def spread(x):
+        return sum((x >> b & 1) << 2 * b for b in range(3))
+
+    # cuts are values themselves, so ranks may differ by one from the values, but keep their order
+    assert len(set(found.values())) >= 49
+    assert all(found[u, i] <= found[u + 1, i + 1] for u in range(7) for i in range(7))
+    assert found[0, 0] == min(found.values()) and found[7, 7] == max(found.values()) <= spread(7) * 3
