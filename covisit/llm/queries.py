@@ -14,6 +14,7 @@ from covisit.llm import fill_in_middle as op13
 from covisit.llm import html_extraction as op2
 from covisit.llm import line_dedup as op3
 from covisit.llm import ngram_join as op7
+from covisit.llm import oracles
 from covisit.llm import packing as op8
 from covisit.llm import pii as op1
 from covisit.llm import quality as op9
@@ -127,24 +128,11 @@ QUERIES: dict[str, Query] = {
     "op13_fill_in_middle": fill_in_middle,
 }
 
-# units of every text as a list; parts are slices of it
-_FILL_IN_MIDDLE = """
-WITH cut AS (
-  SELECT doc_id, coalesce(text, '') AS whole, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
-         sha256('1:' || doc_id) AS d FROM documents),
-drawn AS (
-  SELECT *, len(units) AS n, list_transform([0, 1, 2, 3], lambda k: CAST('0x' || substr(d, 8 * k + 1, 8) AS BIGINT)) AS h FROM cut),
-places AS (
-  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
-         CASE WHEN whole = '' OR contains(whole, '<P>') OR contains(whole, '<S>') OR contains(whole, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
-              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
-parts AS (
-  SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m, array_to_string(units[b + 1:n], '') AS s FROM places)
-SELECT doc_id, n, form,
-       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
-       sha256(CASE form WHEN 'plain' THEN whole WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
-              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
-       sha256(whole) AS restored_sha256
-FROM parts"""
-
-ORACLE_SQL: dict[str, str] = {"op13_fill_in_middle": _FILL_IN_MIDDLE}
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat_formatting": oracles.chat_formatting(CONFLICT),
+    "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op7_ngram_jaccard_join": oracles.NGRAM_JOIN,
+    "op9_quality_rules": oracles.quality_rules(),
+    "op12_centroid_clustering": oracles.centroid_clustering(),
+    "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
+}
