@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +35,16 @@ from covisit.sources import graph_store, tables
 from covisit.sources.merging import MergingTable
 from covisit.sources.offsets import read_log
 
-try:  # the subpackage and the pipeline may be absent
+try:  # the subpackage and the pipeline may be absent, and so may the libraries that they need
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL
     from corpus_pipeline import run as run_pipeline
     from covisit.llm.queries import ORACLE_SQL as LLM_SQL
     from covisit.llm.queries import QUERIES as LLM_QUERIES
 except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith(("covisit.llm", "corpus_pipeline")):
+    if (missing.name or "").startswith("covisit") and not missing.name.startswith("covisit.llm"):
         raise
+    if not (missing.name or "").startswith(("covisit.llm", "corpus_pipeline")):
+        warnings.warn(f"training-data queries are left out: {missing}", stacklevel=1)
     LLM_QUERIES, LLM_SQL = {}, {}
 else:
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}

@@ -48,6 +48,8 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> dict[str, int]:
     table = f"{a.database}.{a.table}"
     tables.ensure_database(spark, a.database)
     tables.ensure_action_table(spark, table)
+    if a.take_over:
+        tables.release_day(spark, table, a.p_date)
     if a.bad_records_path is None:
         # what is not kept is counted at least, by reason, while the accepted rows are written
         parsed = parse_actions(_raw(spark, a), a.p_date, a.align, a.precision)
@@ -158,6 +160,8 @@ def publish(spark: SparkSession, a: argparse.Namespace) -> int:
     table = f"{a.database}.{a.table}"
     tables.ensure_database(spark, a.database)
     tables.ensure_action_table(spark, table)
+    if a.take_over:
+        tables.release_day(spark, table, a.p_date)
     day = reports.actions_on_day(read_accepted(spark, a.accepted_path, a.p_date), a.p_date)
     return tables.overwrite_day(day, table, a.p_date)
 
@@ -232,6 +236,7 @@ def parser() -> argparse.ArgumentParser:
     p = job("ingest", ingest, "one day of messages into the action table")
     messages_from(p)
     p.add_argument("--ending-offsets", help="instead of the messages of --p-date")
+    p.add_argument("--take-over", action="store_true", help="the day of a run that died while it owned it")
     p.add_argument("--database", default="dwd")
     p.add_argument("--table", default="action")
 
@@ -243,6 +248,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--repeats-within", metavar="INTERVAL", help="count a message that is sent again within this time once")
 
     p = job("publish", publish, "a day of streamed rows into the action table")
+    p.add_argument("--take-over", action="store_true", help="the day of a run that died while it owned it")
     p.add_argument("--accepted-path", required=True)
     p.add_argument("--p-date", required=True)
     p.add_argument("--database", default="dwd")

@@ -13,6 +13,7 @@ from covisit.plans.ingest import ingest_actions
 from covisit.plans.similarity import item_similarity
 from covisit.sources import graph_store
 from covisit.sources.messages import read_files
+from covisit.sources.tables import DayTaken, _claim_path, claimed_day, create_text
 
 
 def same(left, right):
@@ -32,6 +33,11 @@ def test_pipeline(spark, sf, tmp_path):
     counts = {"accepted": accepted.count(), "rejected": rejected.count()}
     assert job(line) == counts
     assert job(line) == counts  # again: the same table
+    with claimed_day(spark, "dwd.action", "20240130"):
+        with pytest.raises(DayTaken):
+            job(line)
+    create_text(spark, _claim_path(spark, "dwd.action", "20240130"), "a run that died")
+    assert job(f"{line} --take-over") == counts
     assert same(spark.table("dwd.action"), accepted)
     reasons = {r.reason: r["count"] for r in rejected.groupBy("reason").count().collect()}
     assert job(f"ingest --path {raw} --p-date 20240129") == {"accepted": counts["accepted"], **reasons}

@@ -36,7 +36,8 @@ def test_every_query_has_sql():
     assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+# those of the training-data operators are compared by the tests of that folder, on smaller tables
+@pytest.mark.parametrize("name", sorted(set(registry.oracle_sql()) - set(registry.LLM_SQL)))
 def test_query(name, spark, sf, duck):
     ours = registry.queries()[name](spark, sf)
     theirs = duck.sql(registry.oracle_sql()[name])
