@@ -212,6 +212,43 @@ def test_trees_add_spans_that_the_base_misses(spark):
     assert text.startswith('the [SECRET]" ok and password: letters')
 
 
+def hard_spans(rng, count):
+    """(text, kind, span) that the base patterns miss, and look-alikes (kind None)."""
+    word = lambda a, b: "".join(rng.choice("bcdfghjklmnprstvw") for _ in range(rng.randint(a, b)))
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    out = []
+    for k in range(count):
+        card = "37" + number(12)
+        card += next(d for d in "0123456789" if luhn(card + d))
+        bad = card[:-1] + str((int(card[-1]) + 5) % 10)
+        for kind, span in (("email", f"{word(3, 8)} (at) {word(3, 8)} (dot) com"), ("ip", "2001:db8:" + ":".join(f"{rng.randint(1, 65535):x}" for _ in range(6))),
+                           ("card", card), ("secret", f"api_key: {word(5, 9)}{number(4)}{word(5, 9)}{number(5)}"), ("phone", f"({number(3)}) {number(3)}-{number(4)}"),
+                           (None, f"{word(3, 8)} @ noon"), (None, f"{rng.randint(10, 23)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}"), (None, bad),
+                           (None, f"password: {word(6, 12)}"), (None, f"{number(3)}/{number(3)}/{number(4)}"), (None, f"300.{number(3)}.1.{number(2)}")):
+            out.append((f"{word(3, 7)} {word(3, 7)} {span} {word(3, 7)}.", kind, span))
+    return out
+
+
+@pytest.mark.parametrize("count", [3, 150])
+def test_spans_that_the_base_misses_are_found_at_any_size(spark, count):
+    import random
+
+    made = hard_spans(random.Random(11), count)
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(spark, documents([text for text, _, _ in made]))).collect()}
+    right, wrong, lost = 0, [], []
+    for k, (text, kind, span) in enumerate(made):
+        got = [(s["kind"], text[s["start"] : s["end"]]) for s in found[k]]
+        right += got == [(kind, span)]
+        (lost if kind else wrong).extend([(span, got)] if (got != [(kind, span)] if kind else got) else [])
+    assert right >= 0.9 * 5 * count and len(wrong) <= 0.02 * right, (lost[:5], wrong[:5])
+
+
+def test_spans_that_reach_beyond_a_base_span_stay(spark):
+    texts = ["+1 (826) 555-4081 190.137.223.204", "a.b@c.de", "login 12.1.1.1 at fe80::1 port"]
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.personal_data(frame(spark, documents(texts))).collect()}
+    assert found == {0: [("ip", 18, 33), ("phone", 3, 17)], 1: [("email", 0, 8)], 2: [("ip", 6, 14), ("ip", 18, 25)]}
+
+
 def test_boosted_trees_and_thresholds():
     import numpy as np
 
