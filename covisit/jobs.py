@@ -31,7 +31,6 @@ from covisit.plans.similarity import (
     USER_CAP,
     StagedSimilarity,
     cap_losses,
-    item_similarity,
 )
 from covisit.schemas import CLICK, CLICK_CODE, SIMILARITY
 from covisit.session import Staged, session_builder
@@ -117,13 +116,12 @@ def similarity(spark: SparkSession, a: argparse.Namespace) -> int:
         print(f"{done.users_changed} users changed, {done.pairs_made} pairs made", file=sys.stderr)
         kept_up = store.similarity(a.top_k, a.symmetric, a.min_score, a.score_digits)
         return tables.replace_snapshot(kept_up, target, SIMILARITY)
-    if a.user_cap == 0:
-        whole = item_similarity(source, a.alpha, a.top_k, None, a.symmetric, a.min_score, a.score_digits)
-        return tables.replace_snapshot(whole, target, SIMILARITY)
     with StagedSimilarity(
-        source, a.alpha, a.top_k, a.user_cap, a.symmetric, a.min_score, a.score_digits,
+        source, a.alpha, a.top_k, a.user_cap or None, a.symmetric, a.min_score, a.score_digits,
     ) as neighbours:
         written = tables.replace_snapshot(neighbours, target, SIMILARITY)
+    if a.user_cap == 0:
+        return written
     lost = cap_losses(source, a.user_cap).first()
     print(f"the cap of {a.user_cap} left out {lost.events_cut} events of {lost.users_cut} users", file=sys.stderr)
     return written

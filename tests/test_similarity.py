@@ -205,3 +205,31 @@ def test_bad_parameters(spark):
 def test_all_scores(spark):
     rows = skewed(20, 12)
     same(answer(scores_from_sets(user_sets(interactions(spark, rows)))), brute(rows, top_k=10**6))
+
+
+def test_pairs_do_not_travel_as_rows_nor_pile_up_in_a_task(spark, monkeypatch):
+    """Anchors are shuffled, pairs are made behind the shuffle; a hot item's partners are dealt to several tasks."""
+    df = interactions(spark, skewed()).repartition(5)
+    for symmetric in (False, True):
+        lines = item_similarity(df, top_k=10, symmetric=symmetric)._jdf.queryExecution().executedPlan().toString().splitlines()
+        sent = next(k for k, line in enumerate(lines) if "REPARTITION_BY_NUM" in line and "item_i" in line)
+        made = next(k for k, line in enumerate(lines) if "Generate explode(coalesce(" in line)
+        assert made < sent and "near" in lines[sent + 1]
+    monkeypatch.setattr(pairing, "PAIRS_PER_ITEM", 20)
+    monkeypatch.setattr(pairing, "SUMMED_PER_TASK", 50)
+    for cap in (200, None):
+        for symmetric in (False, True):
+            want = brute(skewed(), top_k=10, symmetric=symmetric)
+            with (staged := StagedSimilarity(df, top_k=10, user_cap=cap, symmetric=symmetric)) as frame:
+                same(answer(frame), want)
+                assert "posexplode" in frame._jdf.queryExecution().logical().toString()
+            assert staged.pairs == 4005 + 59 * 3
+
+
+def test_ids_far_apart(spark):
+    """Distances between items that no int, or no long, holds."""
+    ids = {1: -(2**63), 2: -5, 3: 2**31, 4: 2**40, 9: 2**63 - 1}
+    rows = [(u, ids[i], t) for u, i, t in [*GOLDEN, (3, 1, 0), (3, 3, 0), (4, 4, 0), (4, 9, 0), (4, 1, 0)]]
+    for symmetric in (False, True):
+        for cap in (200, None):
+            same(answer(item_similarity(interactions(spark, rows), symmetric=symmetric, user_cap=cap)), brute(rows, top_k=100, symmetric=symmetric))
