@@ -30,7 +30,7 @@ from covisit.plans.rolling import RollingClicks
 from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
 from covisit.plans.sketches import SketchStore
 from covisit.schemas import ACTION, olap_copy
-from covisit.session import shared_dir
+from covisit.session import Staged, shared_dir
 from covisit.sources import graph_store, tables
 from covisit.sources.merging import MergingTable
 from covisit.sources.offsets import read_log
@@ -75,6 +75,11 @@ def _basket_graph(spark: SparkSession, d: str) -> DataFrame:
     return item_similarity(fx.basket(spark, d), top_k=TOP)
 
 
+def _kept_basket_graph(spark: SparkSession, d: str) -> DataFrame:
+    """The same, stored: what reads it several times, or samples it for ranges, computes it once."""
+    return Staged(_basket_graph(spark, d), "basket_graph").frame
+
+
 def _staged_similarity(spark: SparkSession, d: str) -> DataFrame:
     """The job's form. Its files stay in the shared folder, as the frame is read later."""
     return StagedSimilarity(fx.basket(spark, d), top_k=TOP).__enter__()
@@ -159,7 +164,7 @@ def _plane(spark: SparkSession, d: str) -> DataFrame:
 
 def _stored_graph(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges, written and read back."""
-    similarity, path = _basket_graph(spark, d), _new_folder(spark, "graph")
+    similarity, path = _kept_basket_graph(spark, d), _new_folder(spark, "graph")
     graph_store.write_edges(graph_edges(similarity), f"{path}/edges")
     edges = graph_store.read_edges(spark, f"{path}/edges")
     graph_store.write_vertices(graph_vertices(edges.withColumnsRenamed({"srcid": "item_i", "dstid": "item_j"})), f"{path}/vertices")
@@ -172,7 +177,7 @@ def _small_parts(spark: SparkSession, d: str) -> DataFrame:
 
 def _graph_by_key(spark: SparkSession, d: str) -> DataFrame:
     """Edges inserted with lower scores, then as they are, then some of them again."""
-    graph, edges = graph_store.KeyedGraph(spark, _new_folder(spark, "keyed"), STORE_BUCKETS), graph_edges(_basket_graph(spark, d))
+    graph, edges = graph_store.KeyedGraph(spark, _new_folder(spark, "keyed"), STORE_BUCKETS), graph_edges(_kept_basket_graph(spark, d))
     graph.insert_edges(edges.withColumn("simscore", F.col("simscore") / 2))
     graph.insert_edges(edges)
     graph.insert_edges(edges.where("srcid % 3 = 0"))
@@ -180,8 +185,8 @@ def _graph_by_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _twice(similarity: DataFrame) -> DataFrame:
-    """Every pair a second time, with a lower score."""
-    return similarity.unionByName(similarity.withColumn("score", F.col("score") / 2))
+    """Every pair a second time, with a lower score; the pairs are computed once."""
+    return similarity.withColumn("score", F.explode(F.array(F.col("score"), F.col("score") / 2)))
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
