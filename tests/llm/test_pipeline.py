@@ -11,7 +11,7 @@ from .tools import SMALL, frame, rows_of
 
 
 def test_registry():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert QUERIES.keys() <= __spark_entry__.queries().keys() and "pipeline" in __spark_entry__.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "packing"]
 

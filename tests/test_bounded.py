@@ -69,3 +69,12 @@ def test_no_rows_and_bad_share(spark):
         assert got.collect() == []
     with pytest.raises(ValueError, match="first_share"):
         BoundedSimilarity(empty, first_share=1.5)
+
+
+def test_pairs_of_both_steps_travel_as_anchors(spark):
+    frame = spark.createDataFrame(baskets(7, 60, 40, 20, 0.5), KIND)
+    for symmetric in (False, True):
+        with BoundedSimilarity(frame, top_k=3, user_cap=20, symmetric=symmetric) as got:
+            plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        sent = next(k for k, line in enumerate(plan) if "RepartitionByExpression" in line and "item_i" in line)
+        assert "Union" in plan[sent + 1] and any("explode(coalesce(" in line for line in plan[:sent])

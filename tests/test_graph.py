@@ -151,3 +151,12 @@ def test_inserts_by_key(spark, tmp_path):
     assert sorted(map(tuple, again.edges().collect())) == want
     with pytest.raises(Exception, match="null in not-null column"):
         graph.insert_edges(edges((1, None, 0.5)))
+
+
+def test_queries_compute_their_similarity_once(spark, sf):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["graph_edges_of_repeated_pairs"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    kept = entry._kept_basket_graph(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in kept and "Window" not in kept
