@@ -16,10 +16,14 @@ import numpy as np
 from covisit.llm.common import ranges
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
-#: Distinct pieces that a worker keeps before it starts anew.
-PIECES = 1_200_000
+#: Distinct pieces that a worker keeps; beyond them, those that it met once are forgotten.
+PIECES = 400_000
 #: Characters that are put together at once.
-_AT_ONCE = 4_000_000
+_AT_ONCE = 1_000_000
+#: New pieces that one call encodes. A call's own objects take several times the memory of the ids.
+_LEARNT = 2_000
+#: Stands alone between pieces of a tokenizer that drops white space: a token of its own there.
+_BAR = "|"
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 
@@ -60,12 +64,25 @@ class Pieces:
         #: With white space dropped before pieces are encoded, any blank separates. Else a blank
         #: belongs to the piece after it, and odd white space is left to the tokenizer.
         self._drops_space = self._tokenizer.normalizer is not None
+        bar = self._tokenizer.encode(_BAR, add_special_tokens=False).ids
+        self._bar = bar[0] if self._drops_space and len(bar) == 1 else None
         self._clear()
 
     def _clear(self) -> None:
         self._numbers = _Numbers()
         self._flat = np.zeros(0, np.uint32)
-        self._starts = self._lengths = np.zeros(0, np.int64)
+        self._starts = self._lengths = self._met = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the pieces that were met again, if they are half of PIECES at most."""
+        again = np.nonzero(self._met > 1)[0]
+        pieces, flat, starts, lengths = list(self._numbers), self._flat, self._starts[again], self._lengths[again]
+        self._clear()
+        if len(again) <= PIECES // 2:
+            for number in again:
+                self._numbers[pieces[number]] = len(self._numbers)
+            self._flat, self._lengths = flat[ranges(starts, lengths)], lengths
+            self._starts, self._met = np.cumsum(lengths) - lengths, np.zeros(len(again), np.int64)
 
     def _cut(self, text: str) -> list[str]:
         if self._drops_space:
@@ -74,15 +91,36 @@ class Pieces:
             return [text]
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
+    def _batch(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x.ids for x in self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
+
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in a row, and how many each has."""
+        if self._bar is None:
+            return self._batch(pieces)
+        odd = [k for k, p in enumerate(pieces) if _BAR in p]
+        plain = ["" if _BAR in p else p for p in pieces] if odd else pieces
+        flat = self._batch([f" {_BAR} ".join([*plain, ""])])[0]
+        bars = np.nonzero(flat == self._bar)[0]
+        flat, lengths = np.delete(flat, bars), np.diff(bars, prepend=-1) - 1
+        if odd:
+            ids, counts = self._batch([pieces[k] for k in odd])
+            flat = np.insert(flat, np.repeat((np.cumsum(lengths) - lengths)[odd], counts), ids)
+            lengths[odd] = counts
+        return flat, lengths
+
     def _learn(self) -> None:
         new, self._numbers.new = self._numbers.new, []
         if not new:
             return
-        ids = [x.ids for x in self._tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        found = [self._ids(new[k : k + _LEARNT]) for k in range(0, len(new), _LEARNT)]
+        lengths = np.concatenate([n for _, n in found])
         self._starts = np.concatenate([self._starts, len(self._flat) + np.cumsum(lengths) - lengths])
         self._lengths = np.concatenate([self._lengths, lengths])
-        self._flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))])
+        self._met = np.concatenate([self._met, np.zeros(len(new), np.int64)])
+        self._flat = np.concatenate([self._flat, *(ids for ids, _ in found)])
 
     def encode(self, texts: list[str | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, and ``end`` after them."""
@@ -97,7 +135,7 @@ class Pieces:
 
     def _together(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
         if len(self._numbers) > PIECES:
-            self._clear()
+            self._forget()
         number = self._numbers.__getitem__
         parts = []
         for text in texts:
@@ -106,6 +144,7 @@ class Pieces:
         self._learn()
         counts = np.fromiter(map(len, parts), np.int64, len(parts))
         numbers = np.concatenate(parts)
+        self._met += np.bincount(numbers, minlength=len(self._met))
         flat = self._flat[ranges(self._starts[numbers], self._lengths[numbers])]
         ends = np.concatenate([[0], np.cumsum(self._lengths[numbers])])[np.cumsum(counts)]
         last = np.array([end], np.uint32)

@@ -34,6 +34,36 @@ def test_pieces_of_odd_texts(name, texts):
     assert [x.tolist() for x in tokens.Pieces(name).encode(texts, 0)] == plain(name, texts, 0)
 
 
+@pytest.mark.parametrize("name", [tokens.WORD, tokens.BYTE])
+def test_pieces_of_texts_with_bars_and_of_more_words_than_are_kept(name, monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 40)
+    monkeypatch.setattr(tokens, "_AT_ONCE", 60)
+    monkeypatch.setattr(tokens, "_LEARNT", 7)
+    texts = ["a | b", "|", "||", "x| |y |", "# | #", "| \u0301", ".| ,", "\u2581|"] + [f"the w{k} of v{k % 9}, |{k}" for k in range(200)] + ODD
+    assert [x.tolist() for x in tokens.Pieces(name).encode(texts, 7)] == plain(name, texts, 7)
+
+
+@pytest.mark.parametrize("name", [tokens.WORD, tokens.BYTE])
+def test_memory_of_pieces_is_bounded(name, monkeypatch):
+    """No call gets all new pieces at once, those met once are forgotten, those met again are kept."""
+    monkeypatch.setattr(tokens, "PIECES", 3000)
+    own, calls = tokens.Pieces(name), []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **more):
+            calls.append(len(" ".join(texts).split()))
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    own._tokenizer = Counting(own._tokenizer)
+    for part in range(10):
+        list(own.encode([" ".join(f"the w{part}x{k}" for k in range(2900))], 7))
+    assert max(calls) <= 2 * 2000 + 2
+    assert len(own._numbers) <= 3000 + 2900 + 2 and sum(calls) < 2 * 10 * 2902 + 100
+
+
 def test_token_files_query(spark):
     rows = sorted(rows_of("documents"), key=lambda r: r["doc_id"])
     ids = plain(tokens.WORD, [r["text"] for r in rows], 2)
