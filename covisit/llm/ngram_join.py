@@ -7,7 +7,8 @@ Two sets link when 100 * common >= 85 * union. Equal sets are one representative
 - heavy sets (and light ones that may link to a heavy one) are listed under the first tokens of an
   order common to all, enough of them that linked sets share one. Within a list sets are held
   against the list's smallest first; what is connected then needs no link more, and only pairs of
-  different components are held against each other, each of them.
+  different components are held against each other, each of them. Near neighbours of a list come
+  first, then those ever further away: what a round connects makes no pairs in the next.
 
 x is where the counted rows of both parts cost least. The order puts shingles that many documents
 have last, so lists stay short.
@@ -22,7 +23,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covisit.llm.common import VOCABULARY, Vocabulary, bounded_join, columns, gram_hashes, mixed, numbered, ranges, slices, staged, with_key
@@ -36,6 +37,8 @@ COMPARED = 0.25
 #: A shingle is frequent if so many different sets among some million shingles in a row have it; the most
 #: frequent ones are kept, so many at most.
 FREQUENT, FREQUENT_MOST, COUNTED = 3, 4_000_000, 4_000_000
+#: The neighbours of a list that a round reaches, in those of the round before.
+WIDER = 4
 _BYTES = 4_000_000
 _FLAG = np.uint64(1 << 63)
 
@@ -211,8 +214,19 @@ def heavy_lists(sets: DataFrame, limit: int) -> DataFrame:
     return postings.repartition("token").mapInArrow(lists, "token long, b long, n long, place long, a long")
 
 
-def crossing_pairs(lists: DataFrame) -> DataFrame:
-    """a, b: pairs of a list whose components (column ``component``) differ and that may link.
+def apart(lists: DataFrame, parts: DataFrame, low: int) -> DataFrame:
+    """The lists of more than ``low`` sets that are not of one component, with ``component`` (by ``parts``: id, component)."""
+    whole = Window.partitionBy("token")
+    placed = lists.select("token", "b", "n", "place", "a").join(parts.withColumnRenamed("id", "b"), "b", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "b"))
+    placed = placed.withColumn("many", F.count(F.lit(1)).over(whole)).where(F.col("many") > low)
+    placed = placed.withColumn("least", F.min("component").over(whole)).withColumn("most", F.max("component").over(whole))
+    return placed.where("least < most").drop("many", "least", "most")
+
+
+def crossing_pairs(lists: DataFrame, low: int, high: int) -> DataFrame:
+    """a, b: pairs of a list whose components (column ``component``) differ and that may link, from ``low`` to
+    ``high`` - 1 places from each other.
 
     In the list of the first token that two sets share, all their common ones come from there on; what is
     left there must be enough. So a pair that links is found in that list.
@@ -228,9 +242,9 @@ def crossing_pairs(lists: DataFrame) -> DataFrame:
         for start, stop in zip(heads, np.append(heads[1:], len(token))):
             if (part[start:stop] == part[start]).all():
                 continue
-            for k in range(start, stop - 1):
+            for k in range(start, stop - low):
                 end = start + np.searchsorted(n[start:stop], 100 * n[k] // PERCENT, side="right")
-                with_ = np.arange(k + 1, end)
+                with_ = np.arange(k + low, min(end, k + high))
                 with_ = with_[(part[with_] != part[k]) & (a[with_] != b[k])]
                 with_ = with_[linked(np.minimum(left[with_], left[k]), n[with_], n[k])]
                 ones.append(np.full(len(with_), b[k]))
@@ -305,11 +319,13 @@ def keyed_components(keyed: DataFrame) -> DataFrame:
     lists = staged(heavy_lists(sets, limit), "lists")
     links = light.unionAll(verified(lists.where("a <> b").select("a", "b").distinct(), keyed, sets))
     parts = staged(components(links), "parts")
-    placed = lists.join(parts.withColumnRenamed("id", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    crossing = staged(crossing_pairs(placed), "crossing")
-    more = verified(crossing, keyed, sets)
-    if not more.isEmpty():
-        parts = components(links.unionAll(more))
+    low = 1
+    while not (lists := staged(apart(lists, parts, low), "apart")).isEmpty():
+        more = verified(crossing_pairs(lists, low, WIDER * low), keyed, sets)
+        if not more.isEmpty():
+            stars = parts.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            parts = staged(components(stars.unionAll(more)), "parts")
+        low *= WIDER
     parts = parts.withColumnRenamed("id", "rep")
     members = digests.drop("first").join(copies, ["n", "sum", "cross"], "left").join(parts, "rep", "left")
     return members.select("_key", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "_key").alias("component"))
