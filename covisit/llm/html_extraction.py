@@ -2,11 +2,11 @@
 
 A page is a stream of tags and text slots. Within a stream, neighbouring equal runs become repeated
 groups; two streams are aligned, and what only one has becomes an optional group; both are done
-again until nothing changes, page after page of a bounded sample of the host. The wrapper's text
+again until nothing changes, over all different streams of a host: some at a time, then the wrappers
+of these, until the host has one. The wrapper's text
 slots are then labelled by where they lie: under menus, headers, footers, sidebars, notices, adverts,
 forms, scripts or comments they are not main text, nor are slots outside every repetition and every
-article that have one and the same text on nearly all pages. A page is read by its host's labels; a place that the
-wrapper lacks is labelled by the same rules, so no text is lost to a bounded sample.
+article that have one and the same text on nearly all of all pages. A page is read by its host's labels.
 """
 
 from __future__ import annotations
@@ -15,19 +15,20 @@ import html
 import json
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from covisit.llm.common import bounded_join
+from covisit.llm.common import bounded_join, staged
 
-#: Pages of a host from which its wrapper is inferred: those with the least hashes of their ids.
-SAMPLE_PAGES = 12
-#: Tokens of a sampled page that are aligned; pages are read whole.
-SAMPLE_TOKENS = 3000
+#: Streams or wrappers of a host that are aligned in one group; their wrappers are aligned in the next round.
+ALIGNED = 16
+#: Tokens of a stream; a page of more is several streams, each with the open tags at its ends.
+STREAM_TOKENS = 3000
 #: A slot is template text if so many different pages, and this share of them, have one text there.
 SAME_PAGES, SAME_SHARE = 8, 0.9
 #: Longest run that is folded into a repeated group.
@@ -195,23 +196,32 @@ def align(wrapper: list[Item], stream: list[Item]) -> list[Item]:
     return out
 
 
-def token_stream(page: str) -> list[Item]:
-    """Opening and closing tags by their steps, and "#" for a text slot."""
+def token_streams(page: str) -> Iterator[list[Item]]:
+    """Opening and closing tags by their steps, and "#" for a text slot, STREAM_TOKENS or a few more at once."""
     out: list[Item] = []
+    path: list[tuple[str, str]] = []
     for kind, value, raw in tokens(page):
         item = ("#" if value.strip() else "") if kind == "text" else f"</{value}>" if kind == "close" else f"<{step_of(value, raw)}>"
         if item and not (item == "#" and out and out[-1] == "#"):
             out.append(item)
-        if len(out) >= SAMPLE_TOKENS:
-            break
-    return out
+        if kind == "open" and value not in VOID:
+            path.append((value, item))
+        elif kind == "close":
+            for k in reversed(range(len(path))):
+                if path[k][0] == value:
+                    del path[k:]
+                    break
+        if len(out) >= STREAM_TOKENS + len(path):
+            yield out + [f"</{name}>" for name, _ in reversed(path)]
+            out = [item for _, item in path]
+    if out:
+        yield out
 
 
-def infer(pages: list[str]) -> list[Item]:
-    """The wrapper of pages of one host: folded, aligned, and folded again until it is stable."""
+def aligned(streams: Iterable[list[Item]]) -> list[Item]:
+    """The wrapper of folded streams or wrappers: aligned, and folded again until it is stable."""
     wrapper: list[Item] | None = None
-    for page in pages:
-        stream = fold(token_stream(page))
+    for stream in streams:
         merged = stream if wrapper is None else align(wrapper, stream)
         while len(folded := fold(merged)) < len(merged):
             merged = folded
@@ -219,6 +229,11 @@ def infer(pages: list[str]) -> list[Item]:
     return wrapper or []
 
 
+def infer(pages: list[str]) -> list[Item]:
+    """The wrapper of pages of one host."""
+    return aligned(fold(stream) for page in pages for stream in token_streams(page))
+
+
 def repeated_paths(wrapper: list[Item]) -> set[tuple[str, ...]]:
     """Paths of text slots that lie in a repeated group."""
     found: set[tuple[str, ...]] = set()
@@ -243,20 +258,35 @@ def repeated_paths(wrapper: list[Item]) -> set[tuple[str, ...]]:
     return found
 
 
+def body_texts(page: str, labels: dict[tuple[str, ...], str]) -> set[tuple[tuple[str, ...], str]]:
+    """Path and text of the slots outside articles and noise. ``labels`` is filled as paths are met."""
+    found = set()
+    for path, text in slots(page):
+        if text and text.strip():
+            if path not in labels:
+                labels[path] = label(path)
+            if labels[path] == "body":
+                found.add((path, " ".join(text.split())))
+    return found
+
+
 def template_texts(pages: list[str], wrapper: list[Item]) -> dict[str, str]:
-    """Slots (as JSON paths) outside every repetition and article whose text nearly all of many different pages share."""
+    """Slots (as JSON paths) outside every repetition and article whose text nearly all of many different pages share.
+
+    ``wrappers`` is the same for tables.
+    """
     pages = list(dict.fromkeys(pages))
     if len(pages) < SAME_PAGES:
         return {}
     repeated = repeated_paths(wrapper)
     texts: dict[tuple[str, ...], Counter] = defaultdict(Counter)
     for page in pages:
-        for path, text in {(p, " ".join(t.split())) for p, t in slots(page) if t and t.strip()}:
+        for path, text in body_texts(page, {}):
             texts[path][text] += 1
     out = {}
     for path, counts in texts.items():
         text, n = counts.most_common(1)[0]
-        if n >= SAME_SHARE * len(pages) and path not in repeated and label(path) == "body":
+        if n >= SAME_SHARE * len(pages) and path not in repeated:
             out[json.dumps(path)] = text
     return out
 
@@ -287,19 +317,95 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host, template (JSON): for each host what its wrapper tells of its text slots."""
-    ids = pages.select(host_of(F.col("url")).alias("host"), "page_id").where("page_id IS NOT NULL")
-    first = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")
-    picked = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_PAGES).drop("n").distinct()
-    sample = bounded_join(pages.select("page_id", "html").where("html IS NOT NULL"), picked, ["page_id"], "inner", "sampled")
+def _hashes(path: tuple[str, ...], text: str) -> tuple[int, int]:
+    return tuple(xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in (json.dumps(path), text))
+
+
+def common_texts(rows: DataFrame) -> DataFrame:
+    """host, wanted (hashes of path and text): slots that have one text on nearly all different pages of ``rows`` (host, html)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels: dict[tuple[str, ...], str] = {}
+        for batch in batches:
+            digests, found = [], []
+            for page in batch.column("html").to_pylist():
+                if len(labels) > 100_000:
+                    labels.clear()
+                digests.append(xxhash.xxh3_128_digest(page))
+                found.append([{"path": p, "text": t} for p, t in (_hashes(*x) for x in body_texts(page, labels))])
+            yield pa.RecordBatch.from_pydict({
+                "host": batch.column("host"), "page": pa.array(digests, pa.binary()),
+                "slots": pa.array(found, pa.list_(pa.struct([("path", pa.int64()), ("text", pa.int64())])))})
+
+    pages = staged(rows.mapInArrow(run, "host string, page binary, slots array<struct<path:long,text:long>>"), "page-slots")
+    pages = pages.dropDuplicates(["host", "page"])
+    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= SAME_PAGES)
+    counts = pages.select("host", F.inline("slots")).groupBy("host", "path", "text").agg(F.count(F.lit(1)).alias("n"))
+    common = counts.where(F.col("n") >= SAME_SHARE * SAME_PAGES).join(totals, "host").where(F.col("n") >= SAME_SHARE * F.col("pages"))
+    common = common.groupBy("host", "path").agg(F.max_by("text", F.struct("n", "text")).alias("text"))
+    return common.groupBy("host").agg(F.collect_list(F.struct("path", "text")).alias("wanted"))
+
+
+def _tupled(item):
+    return item if isinstance(item, str) else tuple(map(_tupled, item))
+
+
+def host_wrappers(streams: DataFrame) -> DataFrame:
+    """host, wrapper (JSON) of all folded streams in ``streams`` (host, wrapper)."""
 
     def run(table: pa.Table) -> pa.Table:
-        found = sorted(zip(table.column("page_id").to_pylist(), table.column("html").to_pylist()))[:SAMPLE_PAGES]
-        texts = [h for _, h in found]
-        return pa.table({"host": [table.column("host")[0].as_py()], "template": [json.dumps(template_texts(texts, infer(texts)))]})
+        found = sorted(table.column("wrapper").to_pylist())
+        wrapper = aligned(list(map(_tupled, json.loads(w))) for w in found)
+        return pa.table({"host": [table.column("host")[0].as_py()], "wrapper": [json.dumps(wrapper)]})
+
+    order = Window.partitionBy("host").orderBy(F.xxhash64("wrapper"), "wrapper")
+    while True:
+        groups = streams.distinct().withColumn("of", F.floor((F.row_number().over(order) - 1) / ALIGNED))
+        streams = staged(groups.groupBy("host", "of").applyInArrow(run, "host string, wrapper string"), "wrappers")
+        if streams.groupBy("host").count().where("count > 1").isEmpty():
+            return streams
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """host, template (JSON): for each host what its wrapper, of all its pages, tells of its text slots.
+
+    Texts are counted first; streams of hosts without a text that nearly all pages share are not aligned.
+    """
+    rows = pages.select(host_of(F.col("url")).alias("host"), "html").where("html IS NOT NULL")
+    common = staged(common_texts(rows), "common")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels: dict[tuple[str, ...], str] = {}
+        for batch in batches:
+            found: dict[tuple, None] = {}
+            seen: set[tuple] = set()
+            for host, page, wanted in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wanted"))):
+                if len(labels) > 100_000:
+                    labels.clear()
+                wanted = {(w["path"], w["text"]) for w in wanted}
+                found.update(((host, None, json.dumps(p), t), None) for p, t in body_texts(page, labels) if _hashes(p, t) in wanted)
+                for stream in token_streams(page):
+                    key = (host, xxhash.xxh3_128_digest("\n".join(stream)))
+                    if key not in seen:
+                        seen.add(key)
+                        found[host, json.dumps(fold(stream)), None, None] = None
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*found)] if found else [pa.array([], pa.string())] * 4,
+                                             names=["host", "wrapper", "path", "text"])
+
+    parts = bounded_join(rows, common, ["host"], "inner", "common").mapInArrow(run, "host string, wrapper string, path string, text string")
+    parts = staged(parts, "streams")
+    texts = parts.where("path IS NOT NULL").groupBy("host").agg(F.collect_set(F.struct("path", "text")).alias("texts"))
+    found = host_wrappers(parts.where("wrapper IS NOT NULL").select("host", "wrapper")).join(texts, "host")
+
+    def template(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for wrapper, own in zip(batch.column("wrapper").to_pylist(), batch.column("texts").to_pylist()):
+                repeated = repeated_paths(list(map(_tupled, json.loads(wrapper))))
+                out.append(json.dumps({x["path"]: x["text"] for x in own if tuple(json.loads(x["path"])) not in repeated}, sort_keys=True))
+            yield pa.RecordBatch.from_pydict({"host": batch.column("host"), "template": pa.array(out, pa.string())})
 
-    return sample.select("host", "page_id", "html").groupBy("host").applyInArrow(run, "host string, template string")
+    return found.mapInArrow(template, "host string, template string")
 
 
 _TEXT = "page_id long, url string, text string, n_chars long"
@@ -309,11 +415,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html).
 
     Null html is empty, and a page without main text has an empty one. A null url belongs to a host of
-    its own, null page_ids are read by the rules alone if no page of their host has an id; repeated rows
-    are read row by row.
+    its own, pages with null page_ids count as others do; repeated rows are read row by row.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn("host", host_of(F.col("url")))
-    joined = bounded_join(rows, wrappers(pages.select("page_id", "url", "html")), ["host"], "left", "wrappers")
+    joined = bounded_join(rows, wrappers(pages.select("url", "html")), ["host"], "left", "wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates: dict[str | None, dict[str, str]] = {None: {}}

@@ -38,7 +38,7 @@ COMPARED = 0.25
 #: frequent ones are kept, so many at most.
 FREQUENT, FREQUENT_MOST, COUNTED = 3, 4_000_000, 4_000_000
 #: The neighbours of a list that a round reaches, in those of the round before.
-WIDER = 4
+WIDER = 8
 _BYTES = 4_000_000
 _FLAG = np.uint64(1 << 63)
 

@@ -48,6 +48,30 @@ def test_constant_text_of_articles_stays():
     assert read(pages[3], h.template_texts(pages, h.infer(pages))) == "Abstract\nOne title\nText 3"
 
 
+def test_a_long_page_is_several_streams_with_whole_paths(monkeypatch):
+    page = "<div><section>" + "<h4>a</h4>" * 20 + "<ul>" + "<li>x</li>" * 20 + "</ul></section></div>"
+    whole = [x for x in next(h.token_streams(page))]
+    monkeypatch.setattr(h, "STREAM_TOKENS", 10)
+    streams = list(h.token_streams(page))
+    assert len(streams) > 5 and all(s[:2] == ["<div>", "<section>"] for s in streams)
+    assert sum(len(s) for s in streams) >= len(whole)
+    assert {("div", "section", "h4"), ("div", "section", "ul", "li")} <= h.repeated_paths(h.infer([page]))
+
+
+def test_templates_come_from_all_pages_of_a_host(spark, monkeypatch):
+    """On no 12 of these pages can one tell what 90 % of all share, and only a few show a repetition."""
+    monkeypatch.setattr(h, "ALIGNED", 3)
+    pages = [f"<div><h6>{'Our site' if k % 100 < 91 else k}</h6><h5>{'Often' if k % 100 < 89 else k}</h5><ul>{'<li>Item</li>' * (1 + (k == 77))}</ul>"
+             + "<p>Text</p><h3>x</h3>" * (k % 7) + f"<p>Text {k}</p></div>" for k in range(200)]
+    rows = [{"page_id": k if k % 2 else None, "url": f"http://h/{k}", "html": p} for k, p in enumerate(pages)]
+    found = {r["host"]: r["template"] for r in h.wrappers(frame(spark, rows + rows[:60], SCHEMA).repartition(5)).collect()}
+    expected = h.template_texts(pages, h.infer(pages))
+    assert {k: h.json.loads(v) for k, v in found.items()} == {"h": expected} and "Our site" in expected.values()
+    assert not {"Often", "Item"} & set(expected.values())
+    texts = [r["text"] for r in h.main_texts(frame(spark, rows, SCHEMA)).collect()]
+    assert len(texts) == 200 and not any("Our site" in t for t in texts) and sum("Often" in t for t in texts) == 178
+
+
 def main_text(page):
     """The supplied pages' article, by their own simple form."""
     import html
