@@ -1,10 +1,11 @@
 """Personal data: candidate spans, scored by boosted trees, selected by calibrated thresholds.
 
 Generators propose spans that may overlap: the base patterns, and wide ones with high recall. Base
-spans that pass their check always stay. Strict grammars label candidates: a bounded sample of the
-labelled ones fits, for each kind, boosted trees over features of a span's format and of the text
-around it, and another sample sets the kind's threshold. Made-up texts of both labels, made by rule,
-belong to every sample, so each kind has a model whatever the corpus holds, at any size. Trees become
+spans that pass their check always stay. Strict grammars label candidates: one half of all, by hash,
+fits, for each kind, boosted trees over features of a span's format and of the text
+around it, and the other half sets the kind's threshold. Equal features are counted first, splits come
+from sums over all counted features. Made-up texts of both labels, made by rule,
+belong to each half, so each kind has a model whatever the corpus holds, at any size. Trees become
 column expressions, so all candidates, of all documents, are scored by Spark. Selected spans that
 overlap one another are one; those within a base span go.
 """
@@ -13,6 +14,8 @@ from __future__ import annotations
 
 import math
 import random
+from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -50,9 +53,9 @@ CUES = {
 
 @dataclass(frozen=True)
 class Fit:
-    """``sample``: labelled candidates of the corpus per kind, at most, for trees and thresholds together.
+    """``sample``: what a kind's candidates of the corpus weigh together, at most, half for each label; all of them count.
 
-    ``seeds``: made-up texts per kind and label that join them.
+    ``seeds``: made-up texts per kind and label that join them, each of weight 1.
     """
 
     sample: int = 4000
@@ -251,45 +254,84 @@ def seed_texts(count: int) -> list[str]:
     return out
 
 
-def _leaf(gradient: np.ndarray, curvature: np.ndarray) -> float:
-    return float(gradient.sum() / (curvature.sum() + 1.0))
+#: Per feature its values in ascending order, and the sums of gradients and curvatures at each.
+Sums = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
-def _best_split(x: np.ndarray, gradient: np.ndarray, curvature: np.ndarray) -> tuple[float, int, int]:
-    best = (0.0, -1, 0)
-    whole = gradient.sum() ** 2 / (curvature.sum() + 1.0)
-    for f in range(x.shape[1]):
-        order = np.argsort(x[:, f], kind="stable")
-        value, g, c = x[order, f], np.cumsum(gradient[order]), np.cumsum(curvature[order])
-        edges = np.nonzero(value[1:] != value[:-1])[0]
-        if not len(edges):
-            continue
-        gains = g[edges] ** 2 / (c[edges] + 1) + (g[-1] - g[edges]) ** 2 / (c[-1] - c[edges] + 1) - whole
-        k = int(np.argmax(gains))
-        if gains[k] > best[0] + 1e-9:
-            best = (float(gains[k]), f, int(value[edges[k]]))
+def _best_split(sums: Sums) -> tuple[float, int, int, tuple[float, float], tuple[float, float]]:
+    """Gain, feature and limit of the best split, and gradient and curvature below and above it; feature -1 if there is none."""
+    best = (0.0, -1, 0, (float(sums[0][1].sum()), float(sums[0][2].sum())), (0.0, 0.0))
+    for f, (values, g, c) in enumerate(sums):
+        g, c = np.cumsum(g), np.cumsum(c)
+        gains = g[:-1] ** 2 / (c[:-1] + 1) + (g[-1] - g[:-1]) ** 2 / (c[-1] - c[:-1] + 1) - g[-1] ** 2 / (c[-1] + 1)
+        if len(gains) and gains.max() > best[0] + 1e-9:
+            k = int(np.argmax(gains))
+            best = (float(gains[k]), f, int(values[k]), (float(g[k]), float(c[k])), (float(g[-1] - g[k]), float(c[-1] - c[k])))
     return best
 
 
-def boosted(x: np.ndarray, y: np.ndarray, fit: Fit) -> tuple[float, list]:
-    """Start score and trees of depth 2 for the log-odds of y; a tree is a leaf or (feature, limit, below, above)."""
-    start = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
-    score, trees = np.full(len(y), start), []
+def grown(starts: dict[str, float], sums: Callable[[dict, dict], dict[tuple[str, int], Sums]], fit: Fit) -> dict[str, list]:
+    """Per kind trees of depth 2 for the log-odds; a tree is a leaf or (feature, limit, below, above).
 
-    def grow(rows: np.ndarray, gradient: np.ndarray, curvature: np.ndarray, depth: int):
-        gain, f, limit = _best_split(x[rows], gradient[rows], curvature[rows]) if depth else (0.0, -1, 0)
-        if f < 0:
-            return fit.rate * _leaf(gradient[rows], curvature[rows])
-        below = rows[x[rows, f] <= limit]
-        above = rows[x[rows, f] > limit]
-        return f, limit, grow(below, gradient, curvature, depth - 1), grow(above, gradient, curvature, depth - 1)
+    ``sums(trees, splits)`` gives the sums, at the scores of these trees, of each kind's node 0, or, with its
+    split (feature, limit), of nodes 0 below and 1 above it.
+    """
+    trees: dict[str, list] = {kind: [] for kind in starts}
+    leaf = lambda side: fit.rate * side[0] / (side[1] + 1.0)
+
+    def node(split):
+        return (split[1], split[2], leaf(split[3]), leaf(split[4])) if split[1] >= 0 else leaf(split[3])
 
     for _ in range(fit.rounds):
-        p = 1 / (1 + np.exp(-score))
-        tree = grow(np.arange(len(y)), y - p, p * (1 - p), 2)
-        trees.append(tree)
-        score = score + np.array([evaluate(tree, row) for row in x])
-    return start, trees
+        tops = {kind: _best_split(x) for (kind, _), x in sums(trees, {}).items()}
+        splits = {kind: top[1:3] for kind, top in tops.items() if top[1] >= 0}
+        below = {key: _best_split(x) for key, x in sums(trees, splits).items()} if splits else {}
+        for kind, top in tops.items():
+            trees[kind].append((*splits[kind], node(below[kind, 0]), node(below[kind, 1])) if kind in splits else leaf(top[3]))
+    return trees
+
+
+def evaluated(tree, x: np.ndarray) -> np.ndarray:
+    if not isinstance(tree, tuple):
+        return np.full(len(x), tree)
+    return np.where(x[:, tree[0]] <= tree[1], evaluated(tree[2], x), evaluated(tree[3], x))
+
+
+#: Sums are over whole numbers, so that they don't depend on the order of rows: this many to one.
+_ONE = float(1 << 30)
+
+
+def memory_sums(rows: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]], starts: dict[str, float]) -> Callable[[dict, dict], dict]:
+    """``sums`` of ``grown`` from each kind's features and what each row weighs for either label (yes, no)."""
+    bins = {}
+    for kind, (x, _, _) in rows.items():
+        bins[kind] = []
+        for v in x.T:
+            _, at = np.unique(np.where(v < 64, v, 64 + np.floor(np.log2(np.maximum(v, 64) / 64) * 16)), return_inverse=True)
+            most = np.zeros(at.max() + 1, np.int64)
+            np.maximum.at(most, at, v)
+            bins[kind].append((most, at))
+
+    def sums(trees: dict, splits: dict) -> dict[tuple[str, int], Sums]:
+        out = {}
+        for kind, (x, yes, no) in rows.items():
+            if splits and kind not in splits:
+                continue
+            p = 1 / (1 + np.exp(-starts[kind] - sum(evaluated(t, x) for t in trees[kind])))
+            g, c = np.rint((yes - (yes + no) * p) * _ONE), np.rint((yes + no) * p * (1 - p) * _ONE)
+            nodes = x[:, splits[kind][0]] > splits[kind][1] if splits else np.zeros(len(x), bool)
+            for k in range(2 if splits else 1):
+                own = nodes == k
+                out[kind, k] = [(most, np.bincount(at[own], g[own], len(most)) / _ONE, np.bincount(at[own], c[own], len(most)) / _ONE) for most, at in bins[kind]]
+        return out
+
+    return sums
+
+
+def boosted(x: np.ndarray, y: np.ndarray, fit: Fit) -> tuple[float, list]:
+    """Start score and trees for the log-odds of y, from rows in memory."""
+    start = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    return start, grown({"": start}, memory_sums({"": (x, y, 1 - y)}, {"": start}), fit)[""]
 
 
 def evaluate(tree, row) -> float:
@@ -304,65 +346,132 @@ def _expression(tree, names: list[str]) -> Column:
     return F.when(F.col(names[tree[0]]) <= tree[1], _expression(tree[2], names)).otherwise(_expression(tree[3], names))
 
 
-def calibrated(scores: np.ndarray, y: np.ndarray, fit: Fit) -> float | None:
+def calibrated(scores: np.ndarray, y: np.ndarray, fit: Fit, weights: np.ndarray | None = None) -> float | None:
     """The middle between the least score from which on the wanted precision holds and the score below it."""
-    for limit in np.unique(scores):
-        chosen = y[scores >= limit]
-        if chosen.sum() < fit.least_of_each:
+    limits, at = np.unique(scores, return_inverse=True)
+    weights = np.ones(len(y)) if weights is None else weights
+    right, chosen = (np.cumsum(np.bincount(at, w, len(limits))[::-1])[::-1] for w in (weights * y, weights))
+    for k, limit in enumerate(limits):
+        if right[k] < fit.least_of_each:
             return None
-        if chosen.mean() >= fit.precision:
-            below = scores[scores < limit]
-            return float((limit + below.max()) / 2 if len(below) else limit)
+        if right[k] >= fit.precision * chosen[k]:
+            return float((limit + limits[k - 1]) / 2 if k else limit)
     return None
 
 
-def models(found: DataFrame, fit: Fit = Fit()) -> dict[str, tuple[float, list, float]]:
-    """Per kind the start score, trees and threshold; kinds whose sample can't hold the wanted precision are left out.
+def featured(found: DataFrame) -> DataFrame:
+    """Candidates with their label, features and half (0 for thresholds, 1 for trees)."""
+    half = F.pmod(F.xxhash64("_key", "generator", "start"), F.lit(2)).alias("half")
+    return labelled(found).withColumns(features()).select("_key", "kind", "start", "end", "base", "label", half, *features())
+
 
-    The sample is bounded: of each kind and label the candidates with the least hashes, cut by a limit on
-    hashes before they are ranked, and those of the seeds.
+#: So many counted features (22 numbers and two weights each) or fewer are summed in memory, more by Spark.
+MEMORY_ROWS = 50_000
+#: Scores are told apart by this much when a threshold is set.
+_STEP = 0.001
+
+
+def _whole(value: Column) -> Column:
+    return F.sum(F.round(value * _ONE).cast("long"))
+
+
+def _binned(value: Column) -> Column:
+    """Values below 64 one by one, larger ones by 16 bins to each doubling."""
+    return F.when(value < 64, value).otherwise(64 + F.floor(F.log2(F.greatest(value, F.lit(64)) / 64) * 16)).cast("long")
+
+
+def _scores(models: dict[str, tuple[float, list]], names: list[str]) -> Column:
+    """Start score and trees of each kind as one expression."""
+    score = F.lit(None).cast("double")
+    for kind, (start, trees) in models.items():
+        score = F.when(F.col("kind") == kind, reduce(lambda a, t: a + _expression(t, names), trees, F.lit(float(start)))).otherwise(score)
+    return score
+
+
+def weighed(rows: DataFrame, fit: Fit) -> DataFrame:
+    """kind, half, features, and what candidates of either label weigh (yes, no): all of ``rows`` and of the seeds.
+
+    A kind's label with more candidates than half of ``fit.sample`` weighs that much in all, each the same.
     """
-    names, most, scale = list(features()), fit.sample // 2, 1 << 30
-    place = F.xxhash64("_key", "generator", "start")
-    rows = labelled(found).withColumn("place", F.pmod(place, F.lit(scale)))
-    counts = rows.groupBy("kind", "label").count().collect()  # two rows a kind at most
-    limit = F.lit(0)
-    for r in counts:
-        share = min(1.0, (2 * most + 100) / r["count"])
-        limit = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), math.ceil(share * scale)).otherwise(limit)
-    order = Window.partitionBy("kind", "label").orderBy("place", "value", "_key", "generator", "start")
-    rows = rows.where(F.col("place") < limit).withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
-    one = found.sparkSession.range(0, 1, 1, 1)  # a row made by Spark itself, so that no Python worker starts
+    names, most = list(features()), fit.sample // 2
+    by = ["kind", "half", *names]
+    ones, zeros = F.sum("label"), F.sum(1 - F.col("label"))
+    own = staged(rows.groupBy(*by).agg(ones.alias("yes"), zeros.alias("no")), "counted")
+    share = F.lit(1.0), F.lit(1.0)
+    for r in own.groupBy("kind").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect():
+        share = tuple(F.when(F.col("kind") == r["kind"], min(1.0, most / max(1, r[c]))).otherwise(s) for c, s in zip(("yes", "no"), share))
+    own = own.select(*by, (F.col("yes") * share[0]).alias("yes"), (F.col("no") * share[1]).alias("no"))
+    one = rows.sparkSession.range(0, 1, 1, 1)  # a row made by Spark itself, so that no Python worker starts
     seeds = one.select(F.posexplode(F.split(F.lit("\n".join(seed_texts(fit.seeds))), "\n")).alias("k", "text"))
-    seeds = seeds.select((-1 - F.col("k")).cast("long").alias("_key"), "text")
-    made = labelled(candidates(seeds)).withColumn("place", F.lit(0).cast("long"))
-    made = made.withColumn("n", F.row_number().over(Window.partitionBy("kind", "label").orderBy(place, "value")))
-    sample = rows.unionByName(made).withColumns(features()).select("kind", "label", "n", *names).orderBy("kind", "label", "n", *names).collect()
+    seeds = candidates(seeds.select((-1 - F.col("k")).cast("long").alias("_key"), "text"))
+    place = Window.partitionBy("kind", "label").orderBy(F.xxhash64("_key", "generator", "start"), "value")
+    made = labelled(seeds).withColumn("half", (F.row_number().over(place) % 2).cast("long")).withColumns(features())
+    made = made.groupBy(*by).agg(ones.cast("double").alias("yes"), zeros.cast("double").alias("no"))
+    return staged(own.unionByName(made), "weighed")
+
+
+def table_sums(trained: DataFrame, starts: dict[str, float]) -> Callable[[dict, dict], dict]:
+    """``memory_sums`` for rows of any number (kind, yes, no, features)."""
+    names = list(features())
+
+    def sums(trees: dict, splits: dict) -> dict[tuple[str, int], Sums]:
+        p = 1 / (1 + F.exp(-_scores({kind: (start, trees[kind]) for kind, start in starts.items()}, names)))
+        node = F.lit(None).cast("int") if splits else F.lit(0)
+        for kind, (f, limit) in splits.items():
+            node = F.when(F.col("kind") == kind, (F.col(names[f]) > limit).cast("int")).otherwise(node)
+        own = trained.select("kind", node.alias("node"), "yes", (F.col("yes") + F.col("no")).alias("all"), p.alias("p"), F.array(*names).alias("values"))
+        cells = own.where("node IS NOT NULL").select(
+            "kind", "node", (F.col("yes") - F.col("all") * F.col("p")).alias("g"), (F.col("all") * F.col("p") * (1 - F.col("p"))).alias("c"),
+            F.posexplode("values").alias("f", "value"))
+        cells = cells.groupBy("kind", "node", "f", _binned(F.col("value")).alias("bin")).agg(
+            F.max("value").alias("value"), _whole(F.col("g")).alias("g"), _whole(F.col("c")).alias("c"))
+        found: dict = defaultdict(lambda: [[] for _ in names])
+        for r in cells.collect():  # some hundred bins of each feature at most
+            found[r["kind"], r["node"]][r["f"]].append((r["value"], r["g"] / _ONE, r["c"] / _ONE))
+        return {key: [tuple(map(np.array, zip(*sorted(x)))) for x in columns] for key, columns in sorted(found.items())}
+
+    return sums
+
+
+def models(rows: DataFrame, fit: Fit = Fit()) -> dict[str, tuple[float, list, float]]:
+    """Per kind the start score, trees and threshold, from all of ``rows`` (as ``featured``) and the seeds.
+
+    Kinds that can't hold the wanted precision are left out.
+    """
+    names = list(features())
+    vectors = weighed(rows, fit)
+    masses: dict[str, dict] = defaultdict(lambda: {0: (0.0, 0.0), 1: (0.0, 0.0)})
+    for r in vectors.groupBy("kind", "half").agg(_whole(F.col("yes")).alias("yes"), _whole(F.col("no")).alias("no")).collect():
+        masses[r["kind"]][r["half"]] = (r["yes"] / _ONE, r["no"] / _ONE)
+    starts = {kind: math.log((masses[kind][1][0] + 1) / (masses[kind][1][1] + 1)) for kind in KINDS
+              if min(*masses[kind][0], *masses[kind][1]) >= fit.least_of_each}
+    if not starts:
+        return {}
+    trained = vectors.where(F.col("half") == 1).where(F.col("kind").isin(*starts))
+    if trained.limit(MEMORY_ROWS + 1).count() <= MEMORY_ROWS:
+        table = trained.select("kind", "yes", "no", *names).toArrow()
+        x, yes, no, kinds = np.column_stack([table[c].to_numpy() for c in names]), table["yes"].to_numpy(), table["no"].to_numpy(), np.array(table["kind"].to_pylist())
+        sums = memory_sums({kind: (x[kinds == kind], yes[kinds == kind], no[kinds == kind]) for kind in starts}, starts)
+    else:
+        sums = table_sums(trained, starts)
+    trees = grown(starts, sums, fit)
+    score = F.round(_scores({kind: (start, trees[kind]) for kind, start in starts.items()}, names) / _STEP).cast("long")
+    held = vectors.where(F.col("half") == 0).where(F.col("kind").isin(*starts)).groupBy("kind", score.alias("score"))
+    held = held.agg(_whole(F.col("yes")).alias("yes"), _whole(F.col("no")).alias("no")).collect()
     out = {}
-    for kind in KINDS:
-        own = [r for r in sample if r["kind"] == kind]
-        x = np.array([[r[c] for c in names] for r in own], np.int64).reshape(-1, len(names))
-        y = np.array([r["label"] for r in own], float)
-        half = np.array([r["n"] % 2 == 0 for r in own], bool)
-        if min((y[half] == 1).sum(), (y[half] == 0).sum(), (y[~half] == 1).sum(), (y[~half] == 0).sum()) < fit.least_of_each:
-            continue
-        start, trees = boosted(x[half], y[half], fit)
-        scores = start + np.array([sum(evaluate(t, row) for t in trees) for row in x[~half]])
-        limit = calibrated(scores, y[~half], fit)
+    for kind, start in starts.items():
+        own = [(r["score"] * _STEP, label, r[c] / _ONE) for r in held if r["kind"] == kind for c, label in (("yes", 1.0), ("no", 0.0)) if r[c]]
+        limit = calibrated(*(np.array(x) for x in list(zip(*own))[:2]), fit, np.array([x[2] for x in own]))
         if limit is not None:
-            out[kind] = (start, trees, limit)
+            out[kind] = (start, trees[kind], limit)
     return out
 
 
-def _selected(found: DataFrame, trained: dict[str, tuple[float, list, float]]) -> DataFrame:
+def _selected(rows: DataFrame, trained: dict[str, tuple[float, list, float]]) -> DataFrame:
     """Candidates that reach their kind's threshold and aren't within a base span, those that overlap as one."""
-    names = list(features())
-    scored = staged(found.where(F.col("base") | F.col("kind").isin(*trained)).withColumns(features()), "features")
-    score = F.lit(None).cast("double")
-    for kind, (start, trees, limit) in trained.items():
-        total = reduce(lambda a, t: a + _expression(t, names), trees, F.lit(start - limit))
-        score = F.when(F.col("kind") == kind, total).otherwise(score)
-    scored = staged(scored.select("_key", "kind", "start", "end", "base", score.alias("score")), "scores").where("base OR score >= -1e-9")
+    score = _scores({kind: (start - limit, trees) for kind, (start, trees, limit) in trained.items()}, list(features()))
+    scored = rows.where(F.col("base") | F.col("kind").isin(*trained)).select("_key", "kind", "start", "end", "base", score.alias("score"))
+    scored = staged(scored, "scores").where("base OR score >= -1e-9")
     reach = Window.partitionBy("_key").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     scored = scored.withColumn("base_end", F.max(F.when(F.col("base"), F.col("end"))).over(reach))
     extra = scored.where(~F.col("base") & (F.coalesce("base_end", F.lit(0)) < F.col("end"))).select("_key", "kind", "start", "end", "score")
@@ -376,12 +485,12 @@ def _selected(found: DataFrame, trained: dict[str, tuple[float, list, float]]) -
 
 def spans(keyed: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """_key, kind, start, end, base of all spans to be redacted in ``keyed`` (_key, text)."""
-    found = staged(candidates(keyed), "candidates")
-    base = found.where("base").select("_key", "kind", "start", "end", F.lit(True).alias("base"))
-    trained = models(found, fit)
+    rows = staged(featured(staged(candidates(keyed), "candidates")), "features")
+    base = rows.where("base").select("_key", "kind", "start", "end", F.lit(True).alias("base"))
+    trained = models(rows, fit)
     if not trained:
         return base
-    return base.unionByName(_selected(found, trained).withColumn("base", F.lit(False)))
+    return base.unionByName(_selected(rows, trained).withColumn("base", F.lit(False)))
 
 
 def personal_data(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:

@@ -262,6 +262,15 @@ def test_boosted_trees_and_thresholds():
     assert pii.calibrated(scores, np.zeros(200), pii.Fit()) is None
 
 
+def test_models_come_from_all_candidates(spark):
+    """All candidates count: a label's 27,000 weigh as much together as the fit says, each the same."""
+    names = list(pii.features())
+    rows = spark.range(30_000).selectExpr("id AS _key", "'card' AS kind", "int(id % 10 <> 0) AS label", "id % 2 AS half", *(f"int(1000 + int(id % 10 = 0)) AS {c}" for c in names))
+    found = pii.weighed(rows, pii.Fit(sample=200, seeds=1)).where(f"{names[0]} >= 1000")
+    found = {(r["half"], r[names[0]]): (round(r["yes"], 6), round(r["no"], 6)) for r in found.collect()}
+    assert found == {(1, 1000): (round(100 * 15 / 27, 6), 0), (0, 1000): (round(100 * 12 / 27, 6), 0), (0, 1001): (0, 100)}
+
+
 def test_pii_of_odd_tables(spark):
     assert pii.personal_data(frame(spark, [])).count() == 0
     rows = [{"doc_id": None, "text": "a@b.c"}, {"doc_id": 1, "text": "a@b.c"}, {"doc_id": 1, "text": "a@b.c"}]
