@@ -22,11 +22,12 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from covisit.llm.common import VOCABULARY, Vocabulary, bounded_join, columns, gram_hashes, mixed, numbered, ranges, slices, staged, with_key
+from covisit.llm.common import bounded_join, columns, distinct_numbers, gram_hashes, mixed, ranges, slices, split_words, staged, with_key, word_hashes
 from covisit.llm.graph import components
 
 SHINGLE, PERCENT = 4, 85
@@ -59,14 +60,11 @@ def linked(common, a, b):
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     """Keys and shingle sets (sorted 63-bit hashes), some texts at a time."""
-    vocabulary = Vocabulary()
     for batch in batches:
         for part in slices(batch, _BYTES):
-            if len(vocabulary) > VOCABULARY:
-                vocabulary = Vocabulary()
-            texts = part.column("text").to_pylist()
-            numbers, counts = numbered((t.lower() if t else t for t in texts), vocabulary)
-            words = vocabulary.hashes()[numbers]
+            found, counts = split_words(pc.ascii_lower(part.column("text").view(pa.string())))
+            numbers, distinct = distinct_numbers(found)
+            words = word_hashes(distinct)[numbers]
             grams = gram_hashes(words, SHINGLE) >> np.uint64(1)
             sets, at = [], 0
             for n in counts.tolist():

@@ -15,16 +15,16 @@ occurrence; all others are reported. The words they cover are merged per documen
 from __future__ import annotations
 
 import struct
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covisit.llm.common import VOCABULARY, Vocabulary, gram_hashes, mixed, numbered, ranges, shuffle_partitions, slices, staged, with_key
+from covisit.llm.common import distinct_numbers, gram_hashes, mixed, ranges, shuffle_partitions, slices, split_words, staged, with_key, word_hashes
 
 WINDOW, ANCHOR = 20, 3
 #: Words of text for which there is one shard more.
@@ -210,8 +210,8 @@ def common_anchors(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none, words_seen, segments = np.zeros(0, np.uint64), 0, 0
-        for numbers, counts, _, vocabulary in _word_batches(batches):
-            _, _, _, found = anchors(vocabulary.hashes()[numbers], counts, none)
+        for numbers, counts, _, known in _word_batches(batches):
+            _, _, _, found = anchors(word_hashes(known)[numbers], counts, none)
             words_seen, segments = words_seen + len(numbers), segments + len(found)
             values, many = np.unique(found, return_counts=True)
             often = many >= max(4, len(found) / (4 * COMMON_SHARE))
@@ -226,15 +226,13 @@ def common_anchors(docs: DataFrame) -> tuple[np.ndarray, int]:
     return np.sort(np.array([r[0] for r in rows], np.uint64)), totals.get(-1, 0)
 
 
-def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Vocabulary]]:
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
     """Word numbers, words per text, keys, and what the numbers stand for, some texts at a time."""
-    vocabulary = Vocabulary()
     for batch in batches:
         for part in slices(batch, _BYTES):
-            if len(vocabulary) > VOCABULARY:
-                vocabulary = Vocabulary()
-            numbers, counts = numbered(part.column("text").to_pylist(), vocabulary)
-            yield numbers, counts, part.column("_key").to_numpy(zero_copy_only=False), vocabulary
+            words, counts = split_words(part.column("text"))
+            numbers, known = distinct_numbers(words)
+            yield numbers, counts, part.column("_key").to_numpy(zero_copy_only=False), known
 
 
 def _packed(arrays: list[np.ndarray]) -> bytes:
@@ -262,9 +260,11 @@ def segments(docs: DataFrame, common: np.ndarray, shards: int) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for numbers, counts, keys, vocabulary in _word_batches(batches):
-            words, known = vocabulary.hashes()[numbers], sorted(vocabulary)
-            numbers = np.argsort(np.fromiter(map(vocabulary.__getitem__, known), np.int64, len(known)))[numbers]  # in their order
+        for numbers, counts, keys, known in _word_batches(batches):
+            words = word_hashes(known)[numbers]
+            order = pc.array_sort_indices(pa.array(known, pa.binary())).to_numpy()
+            known = [known[k] for k in order.tolist()]
+            numbers = np.argsort(order)[numbers]  # in their order
             base = np.cumsum(counts) - counts
             text, start, windows, anchor = anchors(words, counts, held.value)
             length = windows + WINDOW - 1
@@ -312,15 +312,15 @@ def _repeats(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return key, start, start
     wanted = np.zeros(len(anchor), bool)
     wanted[of] = True
-    vocabulary: dict[bytes, int] = defaultdict(lambda: len(vocabulary))
-    sequences = []
+    spelt, places, many = [], [], 0
     for (_, lengths, spelled, local, *_), k in zip(parts, known):
         own, long = wanted[k : k + len(lengths)], lengths.astype(np.int64)
         numbers, inverse = np.unique(local[ranges((np.cumsum(long) - long)[own], long[own])], return_inverse=True)
-        spelt = spelled.tobytes().split(b" ")
-        sequences.append(np.array([vocabulary[spelt[n]] for n in numbers.tolist()], np.int64)[inverse])
+        spelt.append(pc.split_pattern(pa.array([spelled.tobytes()]).view(pa.string()), " ").flatten().take(pa.array(numbers)))
+        places.append(many + inverse)
+        many += len(numbers)
     length = np.where(wanted, length, 0)
-    words = np.concatenate(sequences)
+    words = pa.concat_arrays(spelt).dictionary_encode().indices.to_numpy()[np.concatenate(places)]
     # the text: every segment still in use, in the order of its first place
     order = np.lexsort((start, key))
     key, start, of = key[order], start[order], of[order]

@@ -185,9 +185,31 @@ def test_components(spark, pairs):
     assert {r["id"]: r["component"] for r in found} == {x: min(p) for x, p in parts.items() if len(p) > 1}
 
 
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(graph, "staged", lambda df, label: made.append(label) or df)
+    found = graph.components(spark.createDataFrame([(1, 2), (3, 1), (9, 5)], "a long, b long")).collect()
+    assert {r["id"]: r["component"] for r in found} == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5}
+    assert made == ["links"]
+
+
 # --- lines -----------------------------------------------------------------------------------
 
 
+def test_words_that_differ_tell_that_lines_are_alike(monkeypatch):
+    a = " ".join(f"word{k}" for k in range(40))
+    monkeypatch.setattr(line_dedup, "_middles", None)  # no distance is computed
+    assert line_dedup.edit_similarity(a, a.replace("word7 ", "other ").replace("word33", "w"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["ab", "abc", "b", "", "bca"]), max_size=7), st.lists(st.sampled_from(["ab", "abc", "b", "", "x"]), max_size=7))
+def test_edit_similarity_is_that_of_whole_texts(ours, theirs):
+    for other in (theirs, [*ours[:3], *theirs[:1], *ours[3:]], [*theirs[:1], *ours[1:]]):
+        a, b = " ".join(ours), " ".join(other)
+        assert line_dedup.edit_similarity(a, b) == (distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9))
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
