@@ -12,14 +12,16 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-from covisit.llm.common import ranges
+from covisit.llm.common import distinct_numbers, ranges
 
 WORD, BYTE = "word_bpe_49k.json", "byte_bpe_50k.json"
 #: Distinct pieces that a worker keeps; beyond them, those that it met once are forgotten.
 PIECES = 400_000
 #: Characters that are put together at once.
-_AT_ONCE = 1_000_000
+_AT_ONCE = 4_000_000
 #: New pieces that one call encodes. A call's own objects take several times the memory of the ids.
 _LEARNT = 2_000
 #: Stands alone between pieces of a tokenizer that drops white space: a token of its own there.
@@ -66,6 +68,11 @@ class Pieces:
         self._drops_space = self._tokenizer.normalizer is not None
         bar = self._tokenizer.encode(_BAR, add_special_tokens=False).ids
         self._bar = bar[0] if self._drops_space and len(bar) == 1 else None
+        #: Bytes that an id stands for, as both kinds spell a byte as one character: they tell where pieces end.
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self._sizes[number] = len(token.removesuffix("</w>"))
         self._clear()
 
     def _clear(self) -> None:
@@ -84,20 +91,57 @@ class Pieces:
             self._flat, self._lengths = flat[ranges(starts, lengths)], lengths
             self._starts, self._met = np.cumsum(lengths) - lengths, np.zeros(len(again), np.int64)
 
-    def _cut(self, text: str) -> list[str]:
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts' pieces in a row, and how many pieces each text has."""
+        odd = [] if self._drops_space else [k for k, text in enumerate(texts) if _odd(text)]
+        own = pa.array(texts, pa.string())
+        if odd:
+            own = pa.array(["" if o else t for o, t in zip(np.isin(np.arange(len(texts)), odd).tolist(), texts)], pa.string())
         if self._drops_space:
-            return text.replace("\n", " ").split(" ")
-        if _odd(text):
-            return [text]
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+            apart, own = " ", pc.replace_substring(own, "\n", " ")
+        else:
+            apart, own = "\0", pc.replace_substring(pc.replace_substring(own, " ", "\0 "), "\n", "\0\n")
+        lists = pc.split_pattern(own, apart)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers, distinct = distinct_numbers(lists.flatten(), apart.encode())
+        number = self._numbers.__getitem__
+        numbers = np.fromiter((number(p.decode()) for p in distinct), np.int64, len(distinct))[numbers]
+        for k, place in zip(odd, (np.cumsum(counts) - counts)[odd].tolist()):
+            numbers[place] = number(texts[k])
+        return numbers, counts
 
     def _batch(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [x.ids for x in self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
 
+    def _plain(self, piece: str) -> bool:
+        """Whether the ids of a row of such pieces are theirs in a row, and stand for all their bytes."""
+        if self._drops_space:
+            return piece.isascii() and piece.isprintable()
+        return piece[:1] in (" ", "\n") and len(piece) > 1 and " " not in piece[1:] and piece[1:].isprintable()
+
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces in a row, and how many each has."""
+        plain = np.fromiter(map(self._plain, pieces), bool, len(pieces))
+        joined = [p for p, one in zip(pieces, plain.tolist()) if one]
+        flat = self._batch([(" " if self._drops_space else "").join(joined)])[0]
+        ends = np.cumsum(np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in joined), np.int64, len(joined)))
+        sums = np.concatenate([[0], np.cumsum(self._sizes[flat])])
+        at = np.minimum(np.searchsorted(sums, ends), len(flat))
+        if not joined or sums[-1] != ends[-1] or (sums[at] != ends).any():
+            return self._apart(pieces)
+        if plain.all():
+            return flat, np.diff(at, prepend=0)
+        rest, counts = self._apart([p for p, one in zip(pieces, plain.tolist()) if not one])
+        lengths = np.zeros(len(pieces), np.int64)
+        lengths[plain], lengths[~plain] = np.diff(at, prepend=0), counts
+        both, starts = np.concatenate([flat, rest]), np.zeros(len(pieces), np.int64)
+        starts[plain], starts[~plain] = np.cumsum(lengths[plain]) - lengths[plain], len(flat) + np.cumsum(counts) - counts
+        return both[ranges(starts, lengths)], lengths
+
+    def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, by a token of its own between pieces, or one by one."""
         if self._bar is None:
             return self._batch(pieces)
         odd = [k for k, p in enumerate(pieces) if _BAR in p]
@@ -136,14 +180,8 @@ class Pieces:
     def _together(self, texts: list[str], end: int) -> Iterator[np.ndarray]:
         if len(self._numbers) > PIECES:
             self._forget()
-        number = self._numbers.__getitem__
-        parts = []
-        for text in texts:
-            pieces = self._cut(text)
-            parts.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
+        numbers, counts = self._cut(texts)
         self._learn()
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        numbers = np.concatenate(parts)
         self._met += np.bincount(numbers, minlength=len(self._met))
         flat = self._flat[ranges(self._starts[numbers], self._lengths[numbers])]
         ends = np.concatenate([[0], np.cumsum(self._lengths[numbers])])[np.cumsum(counts)]

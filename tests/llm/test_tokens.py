@@ -2,12 +2,13 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from covisit.llm import packing, token_files, tokens
+from covisit.llm import common, packing, token_files, tokens
 from covisit.llm.queries import QUERIES
 
 from .tools import SMALL, documents, frame, rows_of
@@ -144,3 +145,32 @@ def test_packing_of_odd_tables(spark):
     assert check_packing(rows, packed(frame(spark, rows)).collect()) > 0.9
     assert packed(frame(spark, [])).count() == 0
     assert packed(frame(spark, [{"doc_id": None, "text": "x"}, {"doc_id": None, "text": "x"}])).count() == 2
+
+
+@pytest.mark.parametrize("name", [tokens.WORD, tokens.BYTE])
+def test_new_pieces_are_one_text_without_separators(name):
+    own, given_texts, words = tokens.Pieces(name), [], []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **more):
+            given_texts.append(len(texts))
+            words.append(len(" ".join(texts).split()))
+            return self.tokenizer.encode_batch_fast(texts, **more)
+
+    own._tokenizer = Counting(own._tokenizer)
+    text = " ".join(f"w{k}x don't-{k} <|endoftext|>" for k in range(500)) + " é " + "|"
+    assert [x.tolist() for x in own.encode([text], 7)] == plain(name, [text], 7)
+    assert max(given_texts) <= 3 and sum(words) <= 1010
+
+
+def test_words_are_split_and_numbered_together():
+    texts = [b" a  b\x0ba ", None, b"", b" \t", "é x a".encode(), b"a\x1cb"]
+    words, counts = common.split_words(pa.array(texts, pa.binary()))
+    expected = [t.split() if t else [] for t in texts]
+    assert counts.tolist() == [len(x) for x in expected]
+    numbers, distinct = common.distinct_numbers(words)
+    assert [distinct[n] for n in numbers] == [w for x in expected for w in x] and len(distinct) == len(set(distinct))
+    assert common.split_words(pa.array([], pa.binary()))[1].tolist() == []
