@@ -45,6 +45,12 @@ class WaveletTree:
 
     def __init__(self, symbols: np.ndarray, bits: int):
         self.bits, self._ones, self._zeros = bits, [], []
+        # the last level holds the symbols in the order of their bits read backward: where each one begins there
+        backward, left = np.zeros(1 << bits, np.int64), np.arange(1 << bits)
+        for _ in range(bits):
+            backward, left = backward << 1 | left & 1, left >> 1
+        counts = np.bincount(symbols, minlength=1 << bits)[backward]
+        self._starts = (np.cumsum(counts) - counts)[backward]
         for level in reversed(range(bits)):
             bit = (symbols >> level & 1).astype(np.int32)
             self._ones.append(np.concatenate([np.zeros(1, np.int32), np.cumsum(bit, dtype=np.int32)]))
@@ -53,14 +59,13 @@ class WaveletTree:
 
     def ranks(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How often each symbol stands before ``low`` and before ``high``."""
-        start = np.zeros(len(symbols), np.int64)
         for k, level in enumerate(reversed(range(self.bits))):
             ones, zeros = self._ones[k], self._zeros[k]
             set_ = (symbols >> level & 1).astype(bool)
-            s, a, b = ones[start], ones[low], ones[high]
-            start = np.where(set_, zeros + s, start - s)
+            a, b = ones[low], ones[high]
             low = np.where(set_, zeros + a, low - a)
             high = np.where(set_, zeros + b, high - b)
+        start = self._starts[symbols]
         return low - start, high - start
 
 

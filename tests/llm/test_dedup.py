@@ -29,6 +29,25 @@ def hard_documents():
 # --- substrings ------------------------------------------------------------------------------
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 12), min_size=1, max_size=40))
+def test_ranks_look_up_two_bounds_a_level(symbols):
+    tree = substring_dedup.WaveletTree(np.array(symbols), 4)
+    lookups = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            lookups.append(at)
+            return np.asarray(self)[at]
+
+    tree._ones = [x.view(Counted) for x in tree._ones]
+    places = [(c, a, b) for c in range(16) for a in range(len(symbols) + 1) for b in range(a, len(symbols) + 1)]
+    low, high = tree.ranks(*(np.array(x) for x in zip(*places)))
+    assert low.tolist() == [symbols[:a].count(c) for c, a, _ in places]
+    assert high.tolist() == [symbols[:b].count(c) for c, _, b in places]
+    assert len(lookups) == 2 * 4
+
+
 def kept_words(rows):
     first, out = set(), {}
     for r in sorted(rows, key=lambda r: r["doc_id"]):
