@@ -396,9 +396,9 @@ def weighed(rows: DataFrame, fit: Fit) -> DataFrame:
     names, most = list(features()), fit.sample // 2
     by = ["kind", "half", *names]
     ones, zeros = F.sum("label"), F.sum(1 - F.col("label"))
-    own = staged(rows.groupBy(*by).agg(ones.alias("yes"), zeros.alias("no")), "counted")
+    own = rows.groupBy(*by).agg(ones.alias("yes"), zeros.alias("no"))
     share = F.lit(1.0), F.lit(1.0)
-    for r in own.groupBy("kind").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect():
+    for r in rows.groupBy("kind").agg(ones.alias("yes"), zeros.alias("no")).collect():
         share = tuple(F.when(F.col("kind") == r["kind"], min(1.0, most / max(1, r[c]))).otherwise(s) for c, s in zip(("yes", "no"), share))
     own = own.select(*by, (F.col("yes") * share[0]).alias("yes"), (F.col("no") * share[1]).alias("no"))
     one = rows.sparkSession.range(0, 1, 1, 1)  # a row made by Spark itself, so that no Python worker starts
@@ -406,7 +406,7 @@ def weighed(rows: DataFrame, fit: Fit) -> DataFrame:
     seeds = candidates(seeds.select((-1 - F.col("k")).cast("long").alias("_key"), "text"))
     place = Window.partitionBy("kind", "label").orderBy(F.xxhash64("_key", "generator", "start"), "value")
     made = labelled(seeds).withColumn("half", (F.row_number().over(place) % 2).cast("long")).withColumns(features())
-    made = made.groupBy(*by).agg(ones.cast("double").alias("yes"), zeros.cast("double").alias("no"))
+    made = made.groupBy(*by).agg(ones.cast("double").alias("yes"), zeros.cast("double").alias("no")).coalesce(1)  # as many whatever the corpus holds
     return staged(own.unionByName(made), "weighed")
 
 
@@ -471,7 +471,7 @@ def _selected(rows: DataFrame, trained: dict[str, tuple[float, list, float]]) ->
     """Candidates that reach their kind's threshold and aren't within a base span, those that overlap as one."""
     score = _scores({kind: (start - limit, trees) for kind, (start, trees, limit) in trained.items()}, list(features()))
     scored = rows.where(F.col("base") | F.col("kind").isin(*trained)).select("_key", "kind", "start", "end", "base", score.alias("score"))
-    scored = staged(scored, "scores").where("base OR score >= -1e-9")
+    scored = scored.where("base OR score >= -1e-9")
     reach = Window.partitionBy("_key").orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
     scored = scored.withColumn("base_end", F.max(F.when(F.col("base"), F.col("end"))).over(reach))
     extra = scored.where(~F.col("base") & (F.coalesce("base_end", F.lit(0)) < F.col("end"))).select("_key", "kind", "start", "end", "score")
@@ -485,7 +485,7 @@ def _selected(rows: DataFrame, trained: dict[str, tuple[float, list, float]]) ->
 
 def spans(keyed: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """_key, kind, start, end, base of all spans to be redacted in ``keyed`` (_key, text)."""
-    rows = staged(featured(staged(candidates(keyed), "candidates")), "features")
+    rows = staged(featured(candidates(keyed)), "features")  # each file that a task writes starts processes, so few frames are staged
     base = rows.where("base").select("_key", "kind", "start", "end", F.lit(True).alias("base"))
     trained = models(rows, fit)
     if not trained:

@@ -275,3 +275,17 @@ def test_pii_of_odd_tables(spark):
     assert pii.personal_data(frame(spark, [])).count() == 0
     rows = [{"doc_id": None, "text": "a@b.c"}, {"doc_id": 1, "text": "a@b.c"}, {"doc_id": 1, "text": "a@b.c"}]
     assert [len(r["spans"]) for r in pii.personal_data(frame(spark, rows)).collect()] == [1, 1, 1]
+
+
+def test_candidates_are_staged_once_and_weights_once(spark, monkeypatch):
+    labels = []
+
+    def staged(df, label, real=pii.staged):
+        labels.append(label)
+        return real(df, label)
+
+    monkeypatch.setattr(pii, "staged", staged)
+    texts = [f"mail to name{k}@host.org or name{k} (at) host (dot) org, from 10.0.0.{k}" for k in range(30)]
+    found = pii.personal_data(frame(spark, documents(texts))).collect()
+    assert labels == ["features", "weighed"]
+    assert all({s["kind"] for s in r["base_spans"]} == {"email", "ip"} for r in found) and len(found) == 30
