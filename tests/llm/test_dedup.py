@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from covisit.llm import graph, line_dedup, ngram_join, substring_dedup
+from covisit.llm.common import mixed, word_hashes
 from covisit.llm.queries import QUERIES
 
 from .tools import SMALL, documents, frame, rows_of, words
@@ -317,3 +319,20 @@ def test_lines_of_odd_tables(spark):
     rows = [{"doc_id": 5, "text": "a b c d e"}, {"doc_id": 5, "text": "a b c d e"}, {"doc_id": None, "text": "A b c d e"}]
     found = line_dedup.deduplicated(frame(spark, rows)).collect()
     assert sorted((r["doc_id"] is None, r["n_removed"]) for r in found) == [(False, 1), (False, 1), (True, 0)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("aBcd \u00c9\u0130\u03a3\u03c3_-.\t\x1c\u2028\u0663\u00b2059\n\U0001d7ce\u4e2d"), max_size=60))
+def test_a_text_is_read_at_once_as_its_lines_are(text):
+    found, digits = line_dedup.spaced(text)
+    assert [x.split() for x in found.split("\n")] == [re.findall(r"[^\W_]+", x.lower()) for x in text.split("\n")]
+    assert digits == bool(re.search(r"\d", text))
+
+
+def test_simhashes_of_long_lines_count_every_word():
+    lines = [[f"w{k % 7}" for k in range(n)] for n in (5, 254, 255, 256, 510, 511, 3000)]
+    expected = []
+    for line in lines:
+        bits = np.unpackbits(mixed(word_hashes([w.encode() for w in line])).view(np.uint8).reshape(-1, 8), axis=1).astype(int)
+        expected.append(np.packbits(2 * bits.sum(0) > len(line)).view(np.uint64)[0])
+    assert line_dedup.SimHashes().of_joined([" ".join(x) for x in lines]).tolist() == [int(x) for x in expected]
