@@ -7,6 +7,8 @@ sums ``2 * w_u * w_v`` over the pairs of their common users, computed from two s
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,12 +230,20 @@ def sizes(sets: DataFrame, both: bool = False) -> tuple[int, list[tuple[int, int
     return found["pairs"], [tuple(row) for row in found["hot"]]
 
 
-def sums_of_anchors(anchor_rows: DataFrame, tasks: int, hot: list[tuple[int, int]] | None = None) -> DataFrame:
+#: Pairs of one item among which those with one common user are told apart in one array.
+SORTED_MOST = 1_000_000
+
+
+def sums_of_anchors(
+    anchor_rows: DataFrame, tasks: int, hot: list[tuple[int, int]] | None = None, lone: int | None = None
+) -> DataFrame:
     """``pair_sums`` of the pairs that anchors stand for, in ``tasks`` tasks by ``item_i``.
 
-    What is sent are the anchors: four bytes a pair where the items of a user lie within 2^31 of each other, as distances, and
-    eight elsewhere. Pairs are made where they are added up, so none of them travels as a row. ``hot`` names items and the
-    parts into which their partners are dealt, by hash; with None the tasks are those of ``item_i`` alone, and Spark knows.
+    What is sent are the anchors, as distances: two bytes a pair where the items of a user lie within 2^15 of each other, three
+    within 2^23, four within 2^31, and eight elsewhere. Pairs are made where they are added up, so none of them travels as a row. ``hot``
+    names items and the parts into which their partners are dealt, by hash; with None the tasks are those of ``item_i`` alone, and Spark
+    knows. With a number as ``lone``, pairs of one common user, which score 0, may be missing but for those with the ``lone`` smallest
+    partners of an item: lists of that length hold no others.
     """
     kept, keys = _kept(anchor_rows), ["item_i"]
     rows = anchor_rows
@@ -248,13 +258,13 @@ def sums_of_anchors(anchor_rows: DataFrame, tasks: int, hot: list[tuple[int, int
         rows = rows.join(F.broadcast(parts), "item_i", "left").select(
             "item_i", *kept, F.posexplode(F.when(F.col("parts").isNull(), F.array("later")).otherwise(cut)).alias("part", "later"))
     if dict(rows.dtypes)["item_i"] == "bigint":
-        first, last = (F.try_subtract(F.get("later", at), F.col("item_i")) for at in (F.lit(0), F.size("later") - 1))
-        close = F.coalesce((first > -(2**31)) & (last < 2**31), F.lit(False))
-        near = F.when(close, F.transform("later", lambda x: (x - F.col("item_i")).cast("int")))
-        rows = rows.select(*keys, *kept, near.alias("near"), F.when(~close, F.col("later")).alias("far")).repartition(tasks, *keys)
-        rows = rows.select(
-            *keys, *kept, F.when(F.col("near").isNull(), F.lit(0).cast("bigint")).otherwise(F.col("item_i")).alias("from"),
-            F.explode(F.coalesce(F.col("near").cast("array<bigint>"), F.col("far"))).alias("to"))
+        rows = rows.select(*keys, *kept, *_distances()).repartition(tasks, *keys).select(*keys, *kept, _near(), "far")
+        listed = [F.col("near").cast("array<bigint>"), F.col("far")]
+        if lone is not None:
+            rows = _with_candidates(rows, keys, lone)
+            listed.insert(0, F.array_intersect("near", "candidates").cast("array<bigint>"))
+        base = F.when(F.col("far").isNull(), F.col("item_i")).otherwise(F.lit(0).cast("bigint"))
+        rows = rows.select(*keys, *kept, base.alias("from"), F.explode(F.coalesce(*listed)).alias("to"))
         rows = rows.select(*keys, *kept, (F.col("from") + F.col("to")).alias("item_j"))
     else:
         rows = rows.repartition(tasks, *keys).select(*keys, *kept, F.explode("later").alias("item_j"))
@@ -262,6 +272,55 @@ def sums_of_anchors(anchor_rows: DataFrame, tasks: int, hot: list[tuple[int, int
     return _summed(rows, [*keys, "item_j"]).select("item_i", "item_j", *SUMS)
 
 
+def _distances() -> list[Column]:
+    """``near_low, near_high, near_whole, far``: the sorted ``later`` less ``item_i`` in as few bytes as hold it, the others null.
+
+    ``near_low`` has the lower 16 bits, with their sign, and ``near_high``, unless all of it is 0, what is above; elements are known not to be null.
+    """
+    first, last = (F.try_subtract(F.get("later", at), F.col("item_i")) for at in (F.lit(0), F.size("later") - 1))
+
+    def within(most: int) -> Column:
+        return F.coalesce((first >= -most) & (last < most), F.lit(False))
+
+    def each(of: Callable[[Column], Column]) -> Column:
+        return F.transform("later", lambda x: F.coalesce(of((x - F.col("item_i")).cast("int")), F.lit(0)))
+
+    def low(x: Column) -> Column:
+        return F.shiftright(F.shiftleft(x, 16), 16)
+
+    short, three, four = within(2**15), within(2**23 - 2**15), within(2**31)
+    return [
+        F.when(three, each(low).cast("array<smallint>")).alias("near_low"),
+        F.when(three & ~short, each(lambda x: F.shiftright(x - low(x), 16)).cast("array<tinyint>")).alias("near_high"),
+        F.when(four & ~three, each(lambda x: x)).alias("near_whole"),
+        F.when(~four, F.transform("later", lambda x: F.coalesce(x, F.lit(0).cast("bigint")))).alias("far"),
+    ]
+
+
+def _near() -> Column:
+    """``near``: whole distances again, null where they are ``far``."""
+    joined = F.zip_with("near_high", "near_low", lambda high, low: F.coalesce(high.cast("int") * F.lit(2**16) + low, F.lit(0)))
+    return F.coalesce(joined, F.col("near_low").cast("array<int>"), F.col("near_whole")).alias("near")
+
+
+def _with_candidates(rows: DataFrame, keys: list[str], lone: int) -> DataFrame:
+    """Anchors with the distances of ``candidates``: partners with two common users or more, and the ``lone`` smallest ones.
+
+    All distances of an item are sorted in one array, where a partner of several users stands beside itself. Null, which
+    stands for all partners, is given where that takes too long an array or saves too little, and where distances are ``far``.
+    """
+    item = rows.groupBy(*keys).agg(F.collect_list(F.struct(*(c for c in rows.columns if c not in keys))).alias("anchors"))
+    item = item.select(*keys, "anchors", F.array_remove(F.flatten(F.col("anchors")["near"]), 0).alias("all"))
+    item = item.select(*keys, "anchors", F.when(F.size("all") <= SORTED_MOST, F.sort_array("all")).alias("all"))
+    item = item.select(*keys, "anchors", "all", F.filter("all", lambda x, at: x == F.get("all", at + 1)).alias("several"))
+    least = F.array_distinct(F.slice("all", 1, F.size("several") + lone))  # holds that many others, or all there are
+    found = F.concat("several", least) if lone else F.col("several")
+    item = item.select(*keys, "anchors", F.size("all").alias("pairs"), found.alias("candidates"))
+    # each anchor is held against the candidates anew
+    few = F.size("anchors").cast("bigint") * F.size("candidates") <= F.col("pairs") * 4
+    return item.select(*keys, F.when(few, F.col("candidates")).alias("candidates"), F.inline("anchors"))
+
+
 def _summed(pairs: DataFrame, keys: list[str]) -> DataFrame:
     sign = F.col("sign") if "sign" in pairs.columns else None
     n = F.count(F.lit(1)) if sign is None else F.sum(sign).cast("bigint")

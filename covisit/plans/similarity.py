@@ -75,18 +75,20 @@ def pairs_at_most(interactions: DataFrame, user_cap: int) -> tuple[int, int]:
     return found["pairs"], found["most"] * user_cap
 
 
-def sums_from_sets(sets: DataFrame, largest_set: int | None = USER_CAP, both: bool = False, pairs: int | None = None) -> DataFrame:
+def sums_from_sets(
+    sets: DataFrame, largest_set: int | None = USER_CAP, both: bool = False, pairs: int | None = None, lone: int | None = None
+) -> DataFrame:
     """The sums of all pairs of ``sets`` (of ``uncapped_cells``, if there is no ``largest_set``).
 
     Unless their number, ``pairs``, is given, with the promise that no item has too many for one task, one job
     over the sets counts them first: both sides of the shuffle get as many tasks as the pairs call for.
     Adaptive execution would size them by the bytes of the sets, which pairing multiplies by up to half the
-    user cap. ``both`` gives each pair under both items.
+    user cap. ``both`` gives each pair under both items. ``lone`` is that of ``sums_of_anchors``.
     """
     pairs, hot = sizes(sets, both) if pairs is None else (pairs * (2 if both else 1), [])
     spread = spread_sets(sets, pairs)
     rows = cell_anchors(spread, both) if largest_set is None else anchors(spread, largest_set, both)
-    return sums_of_anchors(rows, _tasks(sets, pairs, pairing.SUMMED_PER_TASK), hot)
+    return sums_of_anchors(rows, _tasks(sets, pairs, pairing.SUMMED_PER_TASK), hot, lone)
 
 
 def spread_sets(sets: DataFrame, pairs: int) -> DataFrame:
@@ -135,10 +137,15 @@ def item_similarity(
     return _listed(sets, top_k, user_cap, symmetric, min_score, score_digits, few)
 
 
+def lone_listed(top_k: int, min_score: float | None) -> int:
+    """How many pairs of one common user, which score 0, a list can hold."""
+    return 0 if min_score is not None and min_score > 0 else top_k
+
+
 def _listed(
     sets: DataFrame, top_k: int, user_cap: int | None, symmetric: bool, min_score: float | None, score_digits: int, pairs: int | None = None
 ) -> DataFrame:
-    scores = scores_of_sums(sums_from_sets(sets, user_cap, symmetric, pairs), score_digits)
+    scores = scores_of_sums(sums_from_sets(sets, user_cap, symmetric, pairs, lone_listed(top_k, min_score)), score_digits)
     return neighbours(scores, top_k, False, min_score)  # sums of both directions are there already
 
 

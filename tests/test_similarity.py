@@ -1,5 +1,6 @@
 """Similarity against brute force, under skew, and in every physical form."""
 
+import random
 from collections import defaultdict
 from itertools import combinations
 
@@ -13,7 +14,7 @@ from covisit import fixtures as fx
 from covisit.operators import pairing
 from covisit.operators.pairing import item_pairs
 from covisit.plans.click_window import latest_clicks
-from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, user_sets
+from covisit.plans.similarity import StagedSimilarity, cap_losses, item_similarity, scores_from_sets, sums_from_sets, user_sets
 
 
 def interactions(spark, rows):
@@ -233,3 +234,42 @@ def test_ids_far_apart(spark):
     for symmetric in (False, True):
         for cap in (200, None):
             same(answer(item_similarity(interactions(spark, rows), symmetric=symmetric, user_cap=cap)), brute(rows, top_k=100, symmetric=symmetric))
+
+
+def test_pairs_of_one_common_user_are_told_apart_before_sums(spark, monkeypatch):
+    """Lists need sums of pairs with several common users, and of the few smallest partners; no other pair is summed."""
+    rng = random.Random(1)
+    rows = [(u, i, 0) for u in range(60) for i in rng.sample(range(300), 12)] + [(100 + u, 400 + u + 40 * k, 0) for u in range(3) for k in range(2)]
+    sets = user_sets(interactions(spark, rows)).cache()
+    for both in (False, True):
+        every = {(r.item_i, r.item_j): tuple(r[c] for c in pairing.SUMS) for r in sums_from_sets(sets, both=both).collect()}
+        for lone in (0, 2):
+            of = defaultdict(list)
+            for i, j in sorted(every):
+                of[i].append(j)
+            want = {k: v for k, v in every.items() if v[0] > 1 or k[1] in of[k[0]][:lone]}
+            got = {(r.item_i, r.item_j): tuple(r[c] for c in pairing.SUMS) for r in sums_from_sets(sets, both=both, lone=lone).collect()}
+            assert want.items() <= got.items() <= every.items()
+            assert len(got) < 0.6 * len(every)
+    monkeypatch.setattr(pairing, "SORTED_MOST", 3)
+    got = {(r.item_i, r.item_j): tuple(r[c] for c in pairing.SUMS) for r in sums_from_sets(sets, both=True, lone=0).collect()}
+    assert got.items() <= every.items() and all(k in got for k, v in every.items() if v[0] > 1)
+    assert answer(item_similarity(interactions(spark, rows), min_score=1e-3)) == {
+        k: v for k, v in answer(item_similarity(interactions(spark, rows))).items() if v >= 1e-3}
+
+
+@pytest.mark.parametrize("step, kind", [(1, "near_low"), (2**15, "near_high"), (2**17, "near_high"), (2**24, "near_whole"), (2**32, "far")])
+def test_distances_take_as_few_bytes_as_hold_them(spark, step, kind):
+    rows = [(u, i * step - (i % 3), u) for u in range(4) for i in range(-3, 4) if (u + i) % 3]
+    df = interactions(spark, rows)
+    for symmetric in (False, True):
+        for top_k in (2, 100):
+            got = answer(item_similarity(df, top_k=top_k, symmetric=symmetric))
+            want = brute(rows, top_k=top_k, symmetric=symmetric)
+            assert len(got) == len(want)
+            if top_k == 100:
+                same(got, want)
+    sent = pairing.anchors(user_sets(df), 200).select(*pairing._distances())
+    assert sent.where(f"{kind} IS NOT NULL").count() > 0
+    used = {"near_low": {"smallint"}, "near_high": {"tinyint"}, "near_whole": {"int"}, "far": {"bigint"}}
+    assert {t.removeprefix("array<").removesuffix(">") for c, t in sent.dtypes if c == kind} == used[kind]
