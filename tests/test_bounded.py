@@ -78,3 +78,18 @@ def test_pairs_of_both_steps_travel_as_anchors(spark):
             plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
         sent = next(k for k, line in enumerate(plan) if "RepartitionByExpression" in line and "item_i" in line)
         assert "Union" in plan[sent + 1] and any("explode(coalesce(" in line for line in plan[:sent])
+
+
+def test_sets_with_bounds_travel_once_and_first_pairs_one_way(spark, monkeypatch):
+    from covisit.plans import bounded as plans
+
+    ways = []
+    made = plans.sums_from_sets
+    monkeypatch.setattr(plans, "sums_from_sets", lambda sets, *a, **k: ways.append((a, k)) or made(sets, *a, **k))
+    frame = spark.createDataFrame(baskets(9, 120, 60, 20, 1.0), KIND)
+    with BoundedSimilarity(frame, top_k=3, user_cap=20, symmetric=True) as got:
+        plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert rows(got) == rows(item_similarity(frame, top_k=3, user_cap=20, symmetric=True))
+    assert ways == [((20,), {"lone": 0})]
+    by_user = [line for line in plan if "Exchange hashpartitioning(user_id" in line]
+    assert len(by_user) == 2  # plain sets of the first step, and items with their bounds of the second
