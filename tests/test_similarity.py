@@ -268,3 +268,9 @@ def test_distances_take_as_few_bytes_as_hold_them(spark, step, kind):
     assert sent.where(f"{kind} IS NOT NULL").count() > 0
     used = {"near_low": {"smallint"}, "near_high": {"tinyint"}, "near_whole": {"int"}, "far": {"bigint"}}
     assert {t.removeprefix("array<").removesuffix(">") for c, t in sent.dtypes if c == kind} == used[kind]
+
+
+def test_an_item_without_partners_in_a_part_is_not_far(spark):
+    """One such anchor would have all pairs of its item summed."""
+    none = spark.sql("SELECT 5L AS item_i, CAST(array() AS array<bigint>) AS later").select(*pairing._distances()).first()
+    assert (none.near_low, none.far) == ([], None)
